@@ -1,0 +1,91 @@
+import json
+import random
+
+import pytest
+
+from tests.conftest import rows_of
+from wattloom.operators.alerts import overshoot_alerts
+from wattloom.operators.readings import parse_json, record_mains_power
+from wattloom.sources import tables
+from wattloom.sources.records import stream_values
+from wattloom.streaming import power as P
+
+START = 1_303_171_200
+READINGS = "house_id bigint, date string, ts bigint, zip string, label string, meter_id string, power double"
+
+
+def write_records(folder, name, stamps, seed=1):
+    rng = random.Random(seed)
+    lines = [
+        json.dumps(
+            {
+                "timestamp": str(ts),
+                "houseId": rng.randrange(3),
+                "zip": f"0000{rng.randrange(2)}",
+                "readings": [{"meterId": str(m), "power": str(rng.randrange(1, 400) / 4), "label": "mains"} for m in (1, 2)],
+            }
+        )
+        for ts in stamps
+    ]
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text("\n".join(lines + ["{broken"]) + "\n")
+
+
+def stream_of(spark, folder):
+    return record_mains_power(parse_json(stream_values(spark, "text", str(folder), maxFilesPerTrigger="1")))
+
+
+def batch_of(spark, folder):
+    return record_mains_power(parse_json(spark.read.text(str(folder))))
+
+
+@pytest.mark.parametrize("merge", [False, True])
+def test_windows_of_a_stream_equal_the_batch(spark, tmp_path, merge):
+    source, root = tmp_path / "in", str(tmp_path / "out")
+    for i in range(3):
+        write_records(source, f"{i}.json", range(START + i * 40, START + 400, 7), seed=i)
+    for _ in range(2):
+        windows = P.mains_power_windows(stream_of(spark, source))
+        P.start_mains_power(windows, root, f"{root}/checkpoint", trigger=None, merge=merge).awaitTermination()
+        live = tables.read(spark, root, tables.RT_POWER) if merge else tables.read_latest(spark, root, tables.RT_POWER)
+        assert rows_of(live) == rows_of(P.mains_power_windows(batch_of(spark, source)).select(live.columns))
+        # New files, then the same stream goes on from its checkpoint.
+        write_records(source, "late.json", range(START - 500, START + 200, 31), seed=9)
+
+
+def test_watermark_closes_windows(spark, tmp_path):
+    source, root = tmp_path / "in", str(tmp_path / "out")
+    write_records(source, "0.json", range(START, START + 7200, 60))
+    windows = P.mains_power_windows(stream_of(spark, source), watermark="1 hour")
+    P.start_mains_power(windows, root, f"{root}/checkpoint", trigger=None).awaitTermination()
+    expected = P.mains_power_windows(batch_of(spark, source))
+    live = tables.read_latest(spark, root, tables.RT_POWER)
+    assert rows_of(live) == rows_of(expected.select(live.columns))
+
+
+def test_each_batch_gives_its_own_rows(spark, tmp_path):
+    source, root = tmp_path / "in", str(tmp_path / "out")
+    for i in range(3):
+        write_records(source, f"{i}.json", range(START, START + 60, 3), seed=i)
+    P.start_batch_power(stream_of(spark, source), root, f"{root}/checkpoint", trigger=None).awaitTermination()
+    log = tables.read_log(spark, root, P.BATCH_POWER)
+    assert log.select("batch_id").distinct().count() == 3
+    total = sum(row[0] for row in rows_of(log, "watts_sum"))
+    assert total == pytest.approx(sum(row[0] for row in rows_of(batch_of(spark, source), "power")))
+    assert rows_of(log.groupBy("batch_id", "house_id", "date", "zip").count(), "count")[-1] == (1,)
+
+
+@pytest.mark.parametrize("salts", [1, 4])
+def test_alerts_of_a_stream_equal_the_batch(spark, tmp_path, salts):
+    rng = random.Random(5)
+    rows = [(rng.randrange(3), "2011-04-19", START + i, "z", "x", str(rng.randrange(1, 4)), rng.random() * 100) for i in range(300)]
+    source, root = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.createDataFrame(rows, READINGS).repartition(3).write.parquet(source)
+    stats = [(h, m, 60.0 + h) for h in range(3) for m in ("1", "2")]
+    spark.createDataFrame(stats, "house_id bigint, meter_id string, p97 double").write.parquet(f"{root}/stats")
+    stored = spark.read.parquet(f"{root}/stats")
+    stream = spark.readStream.schema(READINGS).option("maxFilesPerTrigger", 1).parquet(source)
+    P.start_alerts(stream, stored, root, f"{root}/checkpoint", 0.1, salts, trigger=None).awaitTermination()
+    expected = overshoot_alerts(spark.read.parquet(source), stored, 0.1)
+    assert rows_of(spark.read.parquet(f"{root}/{P.ALERTS}")) == rows_of(expected)
+    assert expected.count() > 10

@@ -41,15 +41,14 @@ def meter_day_energy(readings: DataFrame, unique_seconds: bool = False) -> DataF
     rows = readings.withColumn("n_readings", F.lit(1).cast("bigint")) if unique_seconds else collapse_ties(readings)
     in_order = Window.partitionBy(*METER_DAY).orderBy("ts", "label", "power")
     held = (F.lead("ts").over(in_order) - F.col("ts")) * F.col("power")
+    # The first label is the same on every row of a meter-day, so it can be grouped by; that keeps
+    # the aggregate a hash aggregate over numbers, on the distribution the window already has.
     days = (
         rows.select(*METER_DAY, "ts", "label", "power", "n_readings")
         .withColumn("joules", held)
-        .groupBy(*METER_DAY)
-        .agg(
-            F.min(F.struct("ts", "label", "power"))["label"].alias("first_label"),
-            F.sum("joules").alias("joules"),
-            F.sum("n_readings").alias("n_readings"),
-        )
+        .withColumn("first_label", F.first("label").over(in_order))
+        .groupBy(*METER_DAY, "first_label")
+        .agg(F.sum("joules").alias("joules"), F.sum("n_readings").alias("n_readings"))
     )
     single = F.col("n_readings") <= 1
     return days.select(

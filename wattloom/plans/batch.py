@@ -18,14 +18,14 @@ ENERGY_COLUMNS = ["house_id", "date", "zip", "label", "kwh"]
 def run_batch(records: DataFrame, root: str, unique_seconds: bool = False) -> None:
     """Fill mains_energy, appliance_energy, appliance_share, geo_energy and meter_stats.
 
-    Records are parsed and expanded once, into a readings table in the working folder. Hourly
-    input is already in date order, so that write needs no shuffle. The statistics and the energy
-    each scan the readings once; all other tables come from the label-days, which are smaller than
-    the readings by the number of seconds in a day and are written before they are used.
+    Records are parsed and expanded once, into a readings table in the working folder, without a
+    shuffle. The statistics and the energy each scan it once, reading only the columns they need;
+    all other tables come from the label-days, which are smaller than the readings by the number
+    of readings in a day and are written before they are used.
     """
     spark = records.sparkSession
     readings_path = fresh_dir(spark, "readings")
-    with_layer(expand_readings(records)).write.partitionBy("date").parquet(readings_path)
+    with_layer(expand_readings(records)).write.parquet(readings_path)
     readings = spark.read.schema(READINGS).parquet(readings_path)
 
     tables.upsert(meter_p97(readings), root, tables.METER_STATS)

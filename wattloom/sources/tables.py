@@ -144,10 +144,12 @@ def overwrite(rows: DataFrame, root: str, table: Table) -> None:
 def append_batch(rows: DataFrame, root: str, table: Table, batch_id: int) -> None:
     """Add the rows of one micro-batch as their own (date, batch_id) folders.
 
-    A batch that is run again replaces its own folders, so nothing is counted twice.
+    A batch that is run again replaces its own folders, so nothing is counted twice. The rebalance
+    keeps a small batch from leaving one small file per task and date.
     """
     (
         rows.select(*table.all_columns, F.lit(batch_id).cast("bigint").alias("batch_id"))
+        .hint("rebalance", table.partition)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(table.partition, "batch_id")
