@@ -98,8 +98,11 @@ def scale_power(readings: DataFrame, houses: DataFrame) -> DataFrame:
 
 
 def zip_difference(full: DataFrame, used: DataFrame) -> DataFrame:
-    """Zip codes of ``full`` that are not in ``used``, each once."""
-    return full.select("zip").subtract(used.select("zip"))
+    """Zip codes of ``full`` that are not in ``used``, each once.
+
+    ``used`` may be a column of readings: its copies are merged before they are shuffled.
+    """
+    return full.select("zip").subtract(used.select("zip").distinct())
 
 
 def sample_zips(zips: DataFrame, n: int, seed: int = 0) -> DataFrame:

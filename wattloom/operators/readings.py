@@ -36,11 +36,15 @@ def only_layer(readings: DataFrame, layer: str) -> DataFrame:
 
 
 def parse_json(values: DataFrame, column: str = "value") -> DataFrame:
-    """JSON text (a topic value or a line) to compact records; other columns are kept."""
+    """JSON text (a topic value or a line) to compact records; other columns are kept.
+
+    The one-element ``inline`` keeps a later filter above the parse. As a plain projection the
+    filter would be pushed below it and parse every text a second time.
+    """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
     parsed = F.from_json(F.col(column).cast("string"), COMPACT_WITH_CORRUPT, options)
     rest = [c for c in values.columns if c != column]
-    return values.select(*rest, parsed.alias("record")).select(*rest, "record.*")
+    return values.select(*rest, F.inline(F.array(parsed)))
 
 
 def flag_records(records: DataFrame) -> DataFrame:

@@ -8,8 +8,6 @@ from wattloom.operators.energy import geo_energy, label_day_energy, meter_day_en
 from wattloom.operators.readings import APPLIANCE, MAINS, expand_readings, with_layer
 from wattloom.operators.share import appliance_share
 from wattloom.operators.stats import meter_p97
-from wattloom.schema import READINGS
-from wattloom.session import fresh_dir
 from wattloom.sources import tables
 
 ENERGY_COLUMNS = ["house_id", "date", "zip", "label", "kwh"]
@@ -23,16 +21,10 @@ def run_batch(records: DataFrame, root: str, unique_seconds: bool = False) -> No
     all other tables come from the label-days, which are smaller than the readings by the number
     of readings in a day and are written before they are used.
     """
-    spark = records.sparkSession
-    readings_path = fresh_dir(spark, "readings")
-    with_layer(expand_readings(records)).write.parquet(readings_path)
-    readings = spark.read.schema(READINGS).parquet(readings_path)
-
+    readings = tables.stage(with_layer(expand_readings(records)), "readings")
     tables.upsert(meter_p97(readings), root, tables.METER_STATS)
 
-    label_path = fresh_dir(spark, "label-days")
-    label_day_energy(meter_day_energy(readings, unique_seconds)).write.parquet(label_path)
-    label_days = spark.read.parquet(label_path)
+    label_days = tables.stage(label_day_energy(meter_day_energy(readings, unique_seconds)), "label-days")
     mains, appliances = (label_days.where(label_days["layer"] == layer) for layer in (MAINS, APPLIANCE))
 
     tables.upsert(mains.select(*ENERGY_COLUMNS), root, tables.MAINS_ENERGY)

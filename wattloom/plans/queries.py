@@ -196,7 +196,7 @@ def q_rt_batch_power_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_overshoot_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     readings = _readings(spark, sf_dir)
-    return overshoot_alerts(readings, meter_p97(readings), MARGIN)
+    return overshoot_alerts(readings, tables.stage(meter_p97(readings), "stats"), MARGIN)
 
 
 def q_overshoot_alerts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -239,21 +239,23 @@ def q_clean_days_common(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_clean_day_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = readings_of_days(_readings(spark, sf_dir), _clean_days(spark, sf_dir))
+    clean = tables.stage(_clean_days(spark, sf_dir), "clean-days")
+    kept = readings_of_days(_readings(spark, sf_dir), clean)
     return kept.select("house_id", "meter_id", "ts", "power", "day_start")
 
 
 def q_replicate_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     step = F.pmod(F.col("house_id") * 7 + F.col("meter_id").cast("bigint") * 3, F.lit(11))
     factor = F.lit(0.95) + F.lit(0.01) * step
-    return replicate_days(_readings(spark, sf_dir), _clean_days(spark, sf_dir), factor=factor, shift=-HOUR_STEP)
+    clean = tables.stage(_clean_days(spark, sf_dir), "clean-days")
+    return replicate_days(_readings(spark, sf_dir), clean, factor=factor, shift=-HOUR_STEP)
 
 
 def q_label_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     readings = _readings(spark, sf_dir)
     keys = ("house_id", "meter_id")
     labels = readings.groupBy(*keys).agg(F.min("label").alias("label"))
-    return lookup_labels(readings, labels, keys).select("house_id", "ts", "meter_id", "label", "power")
+    return lookup_labels(readings, tables.stage(labels, "labels"), keys).select("house_id", "ts", "meter_id", "label", "power")
 
 
 def q_house_assign(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,6 @@ COMPACT = f"timestamp string, houseId bigint, zip string, readings array<{READIN
 CORRUPT_COLUMN = "_corrupt_record"
 COMPACT_WITH_CORRUPT = f"{COMPACT}, {CORRUPT_COLUMN} string"
 
-READINGS = "house_id bigint, ts bigint, zip string, label string, meter_id string, power double, layer string, date string"
 READING_COLUMNS = ["house_id", "date", "ts", "zip", "label", "meter_id", "power"]
 
 LABELS = "source_house int, meter_id string, label string"

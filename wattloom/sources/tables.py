@@ -14,6 +14,9 @@ from wattloom.session import fresh_dir
 # Partitions of the meter statistics, which have no date to go by.
 HOUSE_SHARDS = 64
 
+# Up to this many partition values (days or shards) are listed in the filter of an upsert.
+LISTED_PARTITIONS = 4_000
+
 
 @dataclass(frozen=True)
 class Table:
@@ -99,10 +102,24 @@ def _replace_partitions(rows: DataFrame, table: Table, path: str) -> None:
     )
 
 
-def _stage(rows: DataFrame, spark: SparkSession, schema: str, name: str) -> DataFrame:
-    path = fresh_dir(spark, name)
+def stage(rows: DataFrame, name: str) -> DataFrame:
+    """Write ``rows`` to the working folder and read them back.
+
+    This cuts the lineage and, before a join, tells the planner the size of a derived list: a small
+    one is broadcast and the big side is not shuffled at all, a big one is joined by a shuffle.
+    """
+    path = fresh_dir(rows.sparkSession, name)
     rows.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def _touched(stored: DataFrame, fresh: DataFrame, partition: str) -> DataFrame:
+    """The stored rows in partitions that ``fresh`` has rows for; other folders are not read."""
+    wanted = fresh.select(partition).distinct()
+    listed = [row[0] for row in wanted.limit(LISTED_PARTITIONS + 1).collect()]
+    if len(listed) <= LISTED_PARTITIONS:
+        return stored.where(F.col(partition).isin(listed))
+    return stored.join(wanted, partition, "left_semi")
 
 
 def upsert(rows: DataFrame, root: str, table: Table) -> None:
@@ -122,22 +139,20 @@ def upsert(rows: DataFrame, root: str, table: Table) -> None:
         .agg(F.max(F.struct(*values)).alias("v"))
         .select(*[F.col(f"v.{c}").alias(c) if c in values else F.col(c) for c in table.all_columns])
     )
-    fresh = _stage(table.with_partition(settled), spark, table.schema, f"{table.name}-new")
+    fresh = stage(table.with_partition(settled), f"{table.name}-new")
     old = _stored(spark, path, table.schema)
     if old is None:
         _replace_partitions(fresh, table, path)
         return
-    touched = fresh.select(table.partition).distinct()
-    kept = old.join(touched, table.partition, "left_semi").join(fresh.select(*table.key), list(table.key), "left_anti")
+    same_days = _touched(old, fresh, table.partition)
+    kept = same_days.join(fresh.select(*table.key), list(table.key), "left_anti")
     merged = kept.select(*fresh.columns).unionByName(fresh)
-    _replace_partitions(_stage(merged, spark, table.schema, f"{table.name}-merged"), table, path)
+    _replace_partitions(stage(merged, f"{table.name}-merged"), table, path)
 
 
 def overwrite(rows: DataFrame, root: str, table: Table) -> None:
     """Replace whole partitions, for a run that covers them completely."""
-    staged = _stage(
-        table.with_partition(rows.select(*table.all_columns)), rows.sparkSession, table.schema, f"{table.name}-new"
-    )
+    staged = stage(table.with_partition(rows.select(*table.all_columns)), f"{table.name}-new")
     _replace_partitions(staged, table, table_path(root, table))
 
 
