@@ -53,7 +53,7 @@ def test_no_python_and_no_cross_join_in_plans(spark, name):
 
 @pytest.mark.parametrize("name, exchanges", [
     ("geo_energy", 4), ("meter_day_energy", 2), ("appliance_share", 4), ("meter_p97", 1), ("channel_counts", 1),
-    ("pack_readings", 2), ("rt_mains_power", 1), ("layer_split", 0),
+    ("pack_readings", 3), ("rt_mains_power", 1), ("layer_split", 0),
 ])
 def test_number_of_exchanges(spark, name, exchanges):
     plan = final_plan(queries()[name](spark, SF_DIR))

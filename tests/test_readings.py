@@ -124,6 +124,15 @@ def test_many_copies_survive_packing(readings_of, monkeypatch):
     assert rows_of(R.expand_readings(packed)) == rows_of(frame)
 
 
+def test_one_per_meter_gives_the_same_records(readings_of):
+    rows = [(h, str(m), TS + s, f"l{m}", m * 1.25) for h in (1, 2) for m in (1, 2, 3, 11) for s in range(5)]
+    quick = R.pack_readings(readings_of(*rows), one_per_meter=True)
+    assert rows_of(quick.select(F.to_json(F.struct("*")))) == rows_of(
+        R.pack_readings(readings_of(*rows)).select(*quick.columns).select(F.to_json(F.struct("*")))
+    )
+    assert quick._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
 def test_step_takes_the_time_of_the_first_channel(readings_of):
     base = TS - TS % 60
     frame = readings_of((1, "2", base + 3, "mains", 7), (1, "1", base + 9, "mains", 8), (1, "1", base + 30, "mains", 1))

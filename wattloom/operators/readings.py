@@ -15,7 +15,8 @@ APPLIANCE = "appliance"
 # Fixed value: channels up to this number are mains, the others are appliances.
 LAST_MAINS_CHANNEL = 2
 
-# Copies of one reading are numbered through in blocks of this size, so that no array outgrows it.
+# Records of one house and step are built in blocks of this many, so that no array and no task
+# outgrows it.
 COPY_BLOCK = 10_000
 
 
@@ -94,7 +95,27 @@ def rejected_readings(records: DataFrame) -> DataFrame:
     return _exploded(records).where(F.col("power").isNull()).drop("power")
 
 
-def pack_readings(readings: DataFrame, step: int = 1) -> DataFrame:
+def _numbered(stepped: DataFrame, unit: list[str]) -> DataFrame:
+    """Readings with the number, from 1, of the record they go to, and the block it lies in."""
+    counted = stepped.groupBy(*unit, "meter_id", "ts", "label", "power").agg(F.count(F.lit(1)).alias("copies"))
+    in_order = Window.partitionBy(*unit, "meter_id").orderBy("ts", "label", "power")
+    last = F.sum("copies").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+    def block_of(number: Column) -> Column:
+        return F.floor((number - F.lit(1)) / F.lit(COPY_BLOCK))
+
+    from_no = F.greatest(F.col("last_no") - F.col("copies"), F.col("block") * F.lit(COPY_BLOCK)) + F.lit(1)
+    to_no = F.least(F.col("last_no"), (F.col("block") + F.lit(1)) * F.lit(COPY_BLOCK))
+    blocks = F.sequence(block_of(F.col("last_no") - F.col("copies") + F.lit(1)), block_of(F.col("last_no")))
+    return (
+        counted.withColumn("last_no", last)
+        .withColumn("block", F.explode(blocks))
+        .repartition(*unit, "block")
+        .withColumn("record_no", F.explode(F.sequence(from_no, to_no)))
+    )
+
+
+def pack_readings(readings: DataFrame, step: int = 1, one_per_meter: bool = False) -> DataFrame:
     """Flat readings to compact records, the inverse of :func:`expand_readings`.
 
     A record holds one layer of one house and time step, with at most one reading per meter; the
@@ -102,27 +123,18 @@ def pack_readings(readings: DataFrame, step: int = 1) -> DataFrame:
     its first channel. With ``step=1`` expanding the records gives back exactly the readings.
 
     Equal readings are counted before the shuffle and numbered by a running sum, so a pile of
-    copies crosses the network once. One hash distribution on (house, zip, layer, step) then serves
-    both the numbering and the collecting, and an array is bounded by the meters of the layer.
+    copies crosses the network once; its records are then built block by block, each block in a
+    task of its own. ``one_per_meter=True`` skips all that, for readings known to have one row per
+    meter and step, and needs a single shuffle.
     """
     unit = ["house_id", "zip", "layer", "step_start"]
-    counted = (
-        with_layer(readings)
-        .withColumn("step_start", bucket_floor(F.col("ts"), step))
-        .groupBy(*unit, "meter_id", "ts", "label", "power")
-        .agg(F.count(F.lit(1)).alias("copies"))
-    )
-    in_order = Window.partitionBy(*unit, "meter_id").orderBy("ts", "label", "power")
-    running = F.sum("copies").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    block_end = F.least(F.col("block") + F.lit(COPY_BLOCK - 1), F.col("last_no"))
-    numbered = (
-        counted.repartition(*unit)
-        .withColumn("last_no", running)
-        .withColumn("block", F.explode(F.expr(f"sequence(last_no - copies + 1, last_no, {COPY_BLOCK}L)")))
-        .withColumn("record_no", F.explode(F.sequence(F.col("block"), block_end)))
-    )
+    stepped = with_layer(readings).withColumn("step_start", bucket_floor(F.col("ts"), step))
+    if one_per_meter:
+        numbered, record = stepped.withColumn("record_no", F.lit(1).cast("bigint")), unit
+    else:
+        numbered, record = _numbered(stepped, unit), [*unit, "block"]
     entry = F.struct(F.col("meter_id").try_cast("int").alias("channel"), "meter_id", "power", "label", "ts")
-    packed = numbered.groupBy(*unit, "record_no").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
+    packed = numbered.groupBy(*record, "record_no").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
     return packed.select(
         F.get("entries", F.lit(0))["ts"].cast("string").alias("timestamp"),
         F.col("house_id").alias("houseId"),
