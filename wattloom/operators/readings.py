@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattloom.functions.days import bucket_floor, ts_to_date
+from wattloom.functions.days import DATE_FORMAT, bucket_floor, ts_to_date
 from wattloom.functions.parsing import parse_power, parse_seconds
 from wattloom.schema import COMPACT_WITH_CORRUPT, CORRUPT_COLUMN, READING_COLUMNS
 
@@ -64,12 +64,12 @@ def rejected_records(records: DataFrame) -> DataFrame:
     return flag_records(records).where(F.col("reject_reason").isNotNull())
 
 
-def _exploded(records: DataFrame) -> DataFrame:
+def _exploded(records: DataFrame, date_format: str = DATE_FORMAT) -> DataFrame:
     usable = flag_records(records).where(F.col("reject_reason").isNull())
     ts = parse_seconds(F.col("timestamp"))
     return usable.select(
         F.col("houseId").alias("house_id"),
-        ts_to_date(ts).alias("date"),
+        ts_to_date(ts, date_format).alias("date"),
         ts.alias("ts"),
         "zip",
         F.explode("readings").alias("reading"),
@@ -85,9 +85,9 @@ def _exploded(records: DataFrame) -> DataFrame:
     )
 
 
-def expand_readings(records: DataFrame) -> DataFrame:
+def expand_readings(records: DataFrame, date_format: str = DATE_FORMAT) -> DataFrame:
     """One row per reading; house, zip and time repeated. An empty record gives no row."""
-    return _exploded(records).where(F.col("power").isNotNull()).select(*READING_COLUMNS)
+    return _exploded(records, date_format).where(F.col("power").isNotNull()).select(*READING_COLUMNS)
 
 
 def rejected_readings(records: DataFrame) -> DataFrame:

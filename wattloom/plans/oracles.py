@@ -97,6 +97,12 @@ ZIP_TABLE = """
 zip_table AS (
   SELECT printf('%05d', c_custkey) AS zip, c_name AS primary_city, c_mktsegment AS type FROM customer)"""
 
+KNOWN_HOUSES = """
+known AS (
+  SELECT c_custkey AS house_id, CAST(c_nationkey % 5 + 1 AS INTEGER) AS source_house,
+         printf('%05d', c_custkey) AS zip, 1 + c_nationkey / CAST(100 AS DOUBLE) AS scale
+  FROM customer WHERE c_mktsegment = 'HOUSEHOLD')"""
+
 
 def _draw(seed: int) -> str:
     digest = f"md5(CAST(house_id AS VARCHAR) || '|{seed}')"
@@ -120,6 +126,11 @@ SELECT CAST(ts AS VARCHAR) AS timestamp, house_id, zip, layer, record_no,
 FROM packed GROUP BY ts, house_id, zip, layer, record_no""",
         "expand_readings": flat_readings,
         "json_ingest": f"WITH {READINGS} SELECT house_id, ts, zip, label, meter_id, power FROM readings",
+        "json_quarantine": f"""WITH {READINGS}, {PACKED.format(step=1)},
+good AS (SELECT DISTINCT ts, house_id, zip, layer, record_no FROM packed)
+SELECT 'accepted' AS reason, count(*) AS n_records FROM good
+UNION ALL SELECT 'timestamp', count(*) FROM events
+UNION ALL SELECT 'malformed', count(*) FROM documents""",
         "hourly_scan": f"""{flat_readings}
 WHERE strftime(to_timestamp(ts) AT TIME ZONE 'UTC', '%Y-%m-%d-%H') BETWEEN '2024-01-10-06' AND '2024-01-12-17'""",
         "meter_day_energy": f"""WITH {ENERGY}
@@ -181,11 +192,7 @@ FROM readings r JOIN targets t ON r.house_id = t.house_id
 labels_of AS (SELECT house_id, meter_id, min(label) AS label FROM readings GROUP BY house_id, meter_id)
 SELECT r.house_id, r.ts, r.meter_id, l.label, r.power
 FROM readings r LEFT JOIN labels_of l USING (house_id, meter_id)""",
-        "house_assign": f"""WITH {ZIP_TABLE},
-known AS (
-  SELECT c_custkey AS house_id, CAST(c_nationkey % 5 + 1 AS INTEGER) AS source_house,
-         printf('%05d', c_custkey) AS zip, 1 + c_nationkey / CAST(100 AS DOUBLE) AS scale
-  FROM customer WHERE c_mktsegment = 'HOUSEHOLD'),
+        "house_assign": f"""WITH {ZIP_TABLE}, {KNOWN_HOUSES},
 numbered AS (
   SELECT zip, row_number() OVER (ORDER BY substr(md5(zip || '|0'), 1, 3), zip) - 1 AS idx FROM zip_table),
 houses AS (SELECT DISTINCT user_id AS house_id FROM events),
@@ -203,6 +210,10 @@ FROM drawn d JOIN numbered n USING (idx) LEFT JOIN known k ON k.house_id = d.hou
 unused AS (SELECT zip FROM zip_table EXCEPT SELECT zip FROM readings),
 chosen AS (SELECT zip FROM unused ORDER BY md5(zip || '|7'), zip LIMIT 50)
 SELECT zip, primary_city, type FROM zip_table JOIN chosen USING (zip)""",
+        "channel_files": f"""WITH {READINGS}
+SELECT house_id, meter_id, ts, CAST(printf('%.2f', power) AS DOUBLE) AS power FROM readings""",
+        "clean_day_files": f"WITH {CLEAN} SELECT house_id, day_start FROM clean",
+        "house_files": f"WITH {KNOWN_HOUSES} SELECT house_id, source_house, zip, scale FROM known",
         "table_upsert": f"""WITH {ENERGY},
 latest AS (SELECT house_id, date, zip, label, kwh FROM label_days WHERE layer = 'mains'),
 earlier AS (

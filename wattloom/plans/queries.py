@@ -23,6 +23,7 @@ from wattloom.operators.readings import (
     APPLIANCE,
     MAINS,
     expand_readings,
+    flag_records,
     only_layer,
     pack_readings,
     parse_json,
@@ -35,7 +36,7 @@ from wattloom.operators.share import appliance_share, appliance_share_joined
 from wattloom.operators.stats import meter_p97
 from wattloom.plans.batch import run_batch
 from wattloom.session import fresh_dir, tune
-from wattloom.sources import tables
+from wattloom.sources import files, tables
 from wattloom.sources.events import read_known_houses, read_readings, read_zip_table, stream_readings
 from wattloom.sources.records import read_hourly, write_hourly
 from wattloom.streaming.power import ALERTS, BATCH_POWER, mains_power_windows, start_alerts, start_batch_power, start_mains_power
@@ -107,6 +108,16 @@ def q_json_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_json_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good messages mixed with JSON of another kind and with plain prose, counted by what is wrong."""
+    messages = to_messages(pack_readings(_readings(spark, sf_dir)), "meters_hf", "meters_lf").select("value")
+    other = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("props").alias("value"))
+    prose = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("text").alias("value"))
+    flagged = flag_records(parse_json(messages.unionByName(other).unionByName(prose)))
+    reason = F.coalesce("reject_reason", F.lit("accepted")).alias("reason")
+    return flagged.groupBy(reason).agg(F.count(F.lit(1)).alias("n_records"))
+
+
 def q_hourly_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_dir(spark, "hourly")
     write_hourly(pack_readings(_readings(spark, sf_dir)), path)
@@ -273,6 +284,24 @@ def q_zip_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refresh_zips(read_zip_table(spark, sf_dir), _readings(spark, sf_dir), NEW_ZIPS, ZIP_SEED)
 
 
+def q_channel_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_dir(spark, "channels")
+    files.write_channels(_readings(spark, sf_dir), path)
+    return files.read_channels(spark, path)
+
+
+def q_clean_day_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_dir(spark, "clean-day-files")
+    files.write_clean_days(_clean_days(spark, sf_dir), path)
+    return files.read_clean_days(spark, path)
+
+
+def q_house_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_dir(tune(spark), "houses")
+    files.write_houses(read_known_houses(spark, sf_dir), path)
+    return files.read_houses(spark, path)
+
+
 def q_table_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A first run that knows one mains meter, replaced by a second that knows both."""
     mains = only_layer(_readings(spark, sf_dir), MAINS)

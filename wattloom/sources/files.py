@@ -9,13 +9,14 @@ from wattloom.functions.parsing import parse_power, parse_seconds
 from wattloom.functions.units import two_decimals
 from wattloom.schema import ZIPS, ZIPS_INDEXED
 
-# Fixed value: where a channel file is kept.
-CHANNEL_PATH = r"house_(\d+)/channel_(\d+)\.dat"
-HOUSE_PATH = r"house_(\d+)/"
+# Where the files of a house and a channel are kept, by hand or by our writers.
+CHANNEL_PATH = r"house_(?:id=)?(\d+)/(?:channel_(\d+)\.dat|meter_id=(\d+)/)"
+HOUSE_PATH = r"house_(?:id=)?(\d+)/"
 
 
 def _fields(spark: SparkSession, paths: tuple[str, ...]) -> DataFrame:
-    lines = spark.read.text(list(paths)).where(F.length(F.trim("value")) > 0)
+    reader = spark.read.schema("value string").option("recursiveFileLookup", True)
+    lines = reader.text(list(paths)).where(F.length(F.trim("value")) > 0)
     return lines.select(F.split(F.trim("value"), r"\s+").alias("f"), F.col("_metadata.file_path").alias("file"))
 
 
@@ -23,7 +24,7 @@ def read_channels(spark: SparkSession, *paths: str) -> DataFrame:
     """``house_<h>/channel_<c>.dat`` files: (house_id, meter_id, ts, power); bad lines are null."""
     return _fields(spark, paths).select(
         F.regexp_extract("file", CHANNEL_PATH, 1).try_cast("bigint").alias("house_id"),
-        F.regexp_extract("file", CHANNEL_PATH, 2).alias("meter_id"),
+        F.concat(*[F.regexp_extract("file", CHANNEL_PATH, group) for group in (2, 3)]).alias("meter_id"),
         parse_seconds(F.get("f", F.lit(0))).alias("ts"),
         parse_power(F.get("f", F.lit(1))).alias("power"),
     )
@@ -69,7 +70,10 @@ def _write_lines(df: DataFrame, path: str, partitions: list[str], columns: list)
 
 
 def write_channels(readings: DataFrame, path: str) -> None:
-    """``ts power`` lines, two decimals, below house_id= and meter_id= folders, in time order."""
+    """``ts power`` lines, two decimals, below house_id= and meter_id= folders, in time order.
+
+    A busy channel is split into several files by time.
+    """
     ordered = readings.repartitionByRange("house_id", "meter_id", "ts").sortWithinPartitions("house_id", "meter_id", "ts")
     columns = [F.col("ts").cast("string"), two_decimals(F.col("power"))]
     _write_lines(ordered, path, ["house_id", "meter_id"], columns)
