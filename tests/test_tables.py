@@ -102,3 +102,23 @@ def test_only_a_local_master_may_do_without():
     with pytest.raises(ValueError):
         session.workspace(FakeSession("yarn"))
     assert session.workspace(FakeSession("local[2]")) == session.workspace(FakeSession("local[2]"))
+
+
+def test_empty_input_is_no_error(spark, tmp_path):
+    root = str(tmp_path)
+    nothing = energy(spark, (1, "2011-05-21", "m", 1)).where("false")
+    T.upsert(nothing, root, T.MAINS_ENERGY)
+    assert stored(spark, root) == []
+    T.upsert(energy(spark, (1, "2011-05-21", "m", 1)), root, T.MAINS_ENERGY)
+    T.upsert(nothing, root, T.MAINS_ENERGY)
+    T.append_batch(nothing, root, T.MAINS_ENERGY, 0)
+    assert len(stored(spark, root)) == 1
+    assert T.read_latest(spark, root, T.MAINS_ENERGY).count() == 0
+
+
+def test_many_partitions_fall_back_to_a_join(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(T, "LISTED_PARTITIONS", 1)
+    root = str(tmp_path)
+    T.upsert(energy(spark, *[(h, f"2011-05-{d}", "m", 1) for h in (1, 2) for d in (20, 21, 22)]), root, T.MAINS_ENERGY)
+    T.upsert(energy(spark, (1, "2011-05-20", "m", 5), (1, "2011-05-21", "m", 6)), root, T.MAINS_ENERGY)
+    assert sorted(row[-1] for row in stored(spark, root)) == [1.0, 1.0, 1.0, 1.0, 5.0, 6.0]

@@ -15,7 +15,10 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Streaming state on local disk instead of the heap.
+}
+
+# For sessions of our own: streaming state on local disk instead of the heap.
+STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
@@ -29,7 +32,7 @@ def build_session(app: str = "wattloom", master: str | None = None, time_zone: s
     builder = SparkSession.builder.appName(app).config("spark.sql.session.timeZone", time_zone)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_CONF, **conf}.items():
+    for key, value in {**RUNTIME_CONF, **STATE_CONF, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

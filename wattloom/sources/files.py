@@ -72,7 +72,8 @@ def _write_lines(df: DataFrame, path: str, partitions: list[str], columns: list)
 def write_channels(readings: DataFrame, path: str) -> None:
     """``ts power`` lines, two decimals, below house_id= and meter_id= folders, in time order.
 
-    A busy channel is split into several files by time.
+    A busy channel is split into several files by time. Like the other per-house text files these
+    are for the few source houses; the data of many houses goes to Parquet.
     """
     ordered = readings.repartitionByRange("house_id", "meter_id", "ts").sortWithinPartitions("house_id", "meter_id", "ts")
     columns = [F.col("ts").cast("string"), two_decimals(F.col("power"))]
