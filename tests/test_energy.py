@@ -5,7 +5,14 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from tests.conftest import rows_of
-from wattloom.operators.energy import collapse_ties, daily_energy, geo_energy, label_day_energy, meter_day_energy
+from wattloom.operators.energy import (
+    collapse_ties,
+    daily_energy,
+    geo_energy,
+    label_day_energy,
+    largest_meter_day,
+    meter_day_energy,
+)
 
 DAY = 1_700_006_400  # midnight UTC
 
@@ -17,7 +24,7 @@ def energy_of(frame, **kw):
 def test_worked_example(readings_of):
     frame = readings_of((1, "3", DAY + 1, "4", 3), (1, "3", DAY + 5, "2", 7), (1, "3", DAY + 3, "5", 9))
     assert energy_of(frame) == [(1, "3", "4", 24.0, 3)]
-    assert energy_of(frame, unique_seconds=True) == [(1, "3", "4", 24.0, 3)]
+    assert energy_of(frame, collapse=False) == [(1, "3", "4", 24.0, 3)]
 
 
 def test_single_reading_is_none(readings_of):
@@ -100,4 +107,9 @@ reading = st.tuples(
 @settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(reading, min_size=1, max_size=40))
 def test_energy_is_the_riemann_sum_in_any_order(readings_of, rows):
-    assert energy_of(readings_of(*rows)) == riemann(rows)
+    assert energy_of(readings_of(*rows)) == energy_of(readings_of(*rows), collapse=False) == riemann(rows)
+
+
+def test_largest_meter_day(readings_of):
+    frame = readings_of(*[(1, "1", DAY + s, "m", 1) for s in (1, 1, 2)], (1, "1", DAY + 86400, "m", 1), (2, "1", DAY, "m", 1))
+    assert rows_of(largest_meter_day(frame)) == [(3,)]

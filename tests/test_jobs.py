@@ -12,6 +12,7 @@ from wattloom.operators.energy import label_day_energy, meter_day_energy
 from wattloom.operators.readings import expand_readings, pack_readings, parse_json, to_messages
 from wattloom.operators.share import appliance_share
 from wattloom.operators.stats import meter_p97
+from wattloom.plans import batch
 from wattloom.plans.batch import run_batch
 from wattloom.plans.prep import clean_days_of, replay_records
 from wattloom.sources import tables
@@ -78,7 +79,9 @@ def random_readings(spark, n=4000):
     ).withColumn("date", F.from_unixtime("ts", "yyyy-MM-dd"))
 
 
-def test_batch_job_from_json(spark, tmp_path):
+@pytest.mark.parametrize("moderate", [1_000_000, 1])
+def test_batch_job_from_json(spark, tmp_path, monkeypatch, moderate):
+    monkeypatch.setattr(batch, "MODERATE_METER_DAY", moderate)
     readings = random_readings(spark)
     lines, root = f"{tmp_path}/lines", f"{tmp_path}/tables"
     to_messages(pack_readings(readings), "hf", "lf").select("value").write.text(lines)
@@ -130,6 +133,6 @@ def test_a_hot_meter_and_second_stay_exact(spark):
     both = cold.unionByName(hot)
     one = F.col("house_id").eqNullSafe(1) & (F.col("meter_id") == "1") & (F.col("zip") == "00000") & (F.col("date") == "2011-04-19")
     collapsed = meter_day_energy(both).where(one).first()
-    plain = meter_day_energy(both, unique_seconds=True).where(one).first()
+    plain = meter_day_energy(both, collapse=False).where(one).first()
     assert collapsed.n_readings == plain.n_readings > 2000
     assert collapsed.joules == pytest.approx(plain.joules)

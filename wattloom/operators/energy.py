@@ -27,7 +27,13 @@ def collapse_ties(readings: DataFrame) -> DataFrame:
     )
 
 
-def meter_day_energy(readings: DataFrame, unique_seconds: bool = False) -> DataFrame:
+def largest_meter_day(readings: DataFrame) -> DataFrame:
+    """One row: the number of readings of the busiest meter-day. Counts are combined where they are read."""
+    counts = readings.groupBy(*METER_DAY).agg(F.count(F.lit(1)).alias("n_readings"))
+    return counts.agg(F.max("n_readings").alias("n_readings"))
+
+
+def meter_day_energy(readings: DataFrame, collapse: bool = True) -> DataFrame:
     """Left Riemann sum of power over time for each (house, meter, zip, date), in joules.
 
     Readings are taken in (ts, label, power) order and each holds until the next one of the same
@@ -35,10 +41,10 @@ def meter_day_energy(readings: DataFrame, unique_seconds: bool = False) -> DataF
     gives label 'NONE' and 0 J.
 
     After the collapse a window partition has at most one row per second of the day and label
-    (90,000 on the longest day), whatever the input holds. ``unique_seconds=True`` skips the
-    collapse and its shuffle, for readings known to have one row per meter and second.
+    (90,000 on the longest day), whatever the input holds. ``collapse=False`` gives the same result
+    and saves a shuffle; it is for readings whose meter-days are known to be of moderate size.
     """
-    rows = readings.withColumn("n_readings", F.lit(1).cast("bigint")) if unique_seconds else collapse_ties(readings)
+    rows = collapse_ties(readings) if collapse else readings.withColumn("n_readings", F.lit(1).cast("bigint"))
     in_order = Window.partitionBy(*METER_DAY).orderBy("ts", "label", "power")
     held = (F.lead("ts").over(in_order) - F.col("ts")) * F.col("power")
     # The first label is the same on every row of a meter-day, so it can be grouped by; that keeps
@@ -69,9 +75,9 @@ def label_day_energy(meter_days: DataFrame) -> DataFrame:
     )
 
 
-def daily_energy(readings: DataFrame, layer: str, unique_seconds: bool = False) -> DataFrame:
+def daily_energy(readings: DataFrame, layer: str, collapse: bool = True) -> DataFrame:
     """kWh per house, date, zip and label of one layer."""
-    days = meter_day_energy(only_layer(readings, layer), unique_seconds)
+    days = meter_day_energy(only_layer(readings, layer), collapse)
     return label_day_energy(days).select("house_id", "date", "zip", "label", "kwh")
 
 

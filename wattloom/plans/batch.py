@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from wattloom.operators.energy import geo_energy, label_day_energy, meter_day_energy
+from wattloom.operators.energy import geo_energy, label_day_energy, largest_meter_day, meter_day_energy
 from wattloom.operators.readings import APPLIANCE, MAINS, expand_readings, with_layer
 from wattloom.operators.share import appliance_share
 from wattloom.operators.stats import meter_p97
@@ -13,18 +13,28 @@ from wattloom.sources import tables
 ENERGY_COLUMNS = ["house_id", "date", "zip", "label", "kwh"]
 
 
-def run_batch(records: DataFrame, root: str, unique_seconds: bool = False) -> None:
+# A meter-day of up to this many readings is sorted in one task without a second thought; a meter
+# that reports every second has 86,400.
+MODERATE_METER_DAY = 1_000_000
+
+
+def run_batch(records: DataFrame, root: str) -> None:
     """Fill mains_energy, appliance_energy, appliance_share, geo_energy and meter_stats.
 
     Records are parsed and expanded once, into a readings table in the working folder, without a
     shuffle. The statistics and the energy each scan it once, reading only the columns they need;
     all other tables come from the label-days, which are smaller than the readings by the number
     of readings in a day and are written before they are used.
+
+    A count per meter-day, over the key columns only, decides whether ties have to be collapsed
+    before the energy window. Ordinary data then shuffles the readings once.
     """
     readings = tables.stage(with_layer(expand_readings(records)), "readings")
     tables.upsert(meter_p97(readings), root, tables.METER_STATS)
 
-    label_days = tables.stage(label_day_energy(meter_day_energy(readings, unique_seconds)), "label-days")
+    busiest = largest_meter_day(readings).first()[0] or 0
+    meter_days = meter_day_energy(readings, collapse=busiest > MODERATE_METER_DAY)
+    label_days = tables.stage(label_day_energy(meter_days), "label-days")
     mains, appliances = (label_days.where(label_days["layer"] == layer) for layer in (MAINS, APPLIANCE))
 
     tables.upsert(mains.select(*ENERGY_COLUMNS), root, tables.MAINS_ENERGY)

@@ -39,7 +39,7 @@ def _trigger(args: argparse.Namespace) -> str | None:
 
 
 def batch(spark: SparkSession, args: argparse.Namespace) -> None:
-    run_batch(read_records(spark, *args.records), args.root, args.unique_seconds)
+    run_batch(read_records(spark, *args.records), args.root)
 
 
 def live(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -96,7 +96,6 @@ def _parser() -> argparse.ArgumentParser:
 
     sub = job("batch", batch, "root")
     sub.add_argument("--records", nargs="+", required=True)
-    sub.add_argument("--unique-seconds", action="store_true")
 
     sub = job("live", live, "root", "checkpoint")
     streaming(sub)
