@@ -122,3 +122,9 @@ def test_many_partitions_fall_back_to_a_join(spark, tmp_path, monkeypatch):
     T.upsert(energy(spark, *[(h, f"2011-05-{d}", "m", 1) for h in (1, 2) for d in (20, 21, 22)]), root, T.MAINS_ENERGY)
     T.upsert(energy(spark, (1, "2011-05-20", "m", 5), (1, "2011-05-21", "m", 6)), root, T.MAINS_ENERGY)
     assert sorted(row[-1] for row in stored(spark, root)) == [1.0, 1.0, 1.0, 1.0, 5.0, 6.0]
+
+
+def test_export_by_format(spark, tmp_path):
+    rows = energy(spark, (1, "2011-05-21", "m", 1))
+    T.export(rows, T.MAINS_ENERGY, "json", path=f"{tmp_path}/json")
+    assert rows_of(spark.read.schema(ENERGY).json(f"{tmp_path}/json")) == rows_of(rows)

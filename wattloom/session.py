@@ -15,6 +15,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Compressed files count for four times their size when the planner looks for a side to broadcast.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
 }
 
 # For sessions of our own: streaming state on local disk instead of the heap.

@@ -125,10 +125,10 @@ def _touched(stored: DataFrame, fresh: DataFrame, partition: str) -> DataFrame:
 def upsert(rows: DataFrame, root: str, table: Table) -> None:
     """Insert ``rows``; a stored row with the same key is replaced.
 
-    Rows of one key inside ``rows`` are settled by the largest value. The new rows are written to
-    the working folder first, then merged with the stored rows of the touched partitions into a
-    second working table, and only that replaces the partitions. The plan that replaces them thus
-    never reads them, and running the upsert again after a failure gives the same table.
+    Rows of one key inside ``rows`` are settled by the largest value. If the table exists, the new
+    rows are written to the working folder, merged with the stored rows of the touched partitions
+    into a second working table, and only that replaces the partitions. The plan that replaces them
+    thus never reads them, and running the upsert again after a failure gives the same table.
     """
     spark = rows.sparkSession
     path = table_path(root, table)
@@ -139,11 +139,11 @@ def upsert(rows: DataFrame, root: str, table: Table) -> None:
         .agg(F.max(F.struct(*values)).alias("v"))
         .select(*[F.col(f"v.{c}").alias(c) if c in values else F.col(c) for c in table.all_columns])
     )
-    fresh = stage(table.with_partition(settled), f"{table.name}-new")
     old = _stored(spark, path, table.schema)
     if old is None:
-        _replace_partitions(fresh, table, path)
+        _replace_partitions(table.with_partition(settled), table, path)
         return
+    fresh = stage(table.with_partition(settled), f"{table.name}-new")
     same_days = _touched(old, fresh, table.partition)
     kept = same_days.join(fresh.select(*table.key), list(table.key), "left_anti")
     merged = kept.select(*fresh.columns).unionByName(fresh)
@@ -192,6 +192,11 @@ def read(spark: SparkSession, root: str, table: Table) -> DataFrame:
     return spark.read.schema(table.schema).parquet(table_path(root, table)).select(*table.all_columns)
 
 
+def export(rows: DataFrame, table: Table, fmt: str, mode: str = "append", **options: str) -> None:
+    """Hand the rows of a table to another store through its Spark connector."""
+    rows.select(*table.all_columns).write.format(fmt).options(**options).mode(mode).save()
+
+
 def geo_on_date(geo: DataFrame, date: str | Column) -> DataFrame:
     """Energy of every zip on one date; reads that date's folder only."""
     return geo.where(F.col("date") == date)
