@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from tests.conftest import rows_of
 from wattloom.operators import dimensions as D
 

@@ -13,9 +13,6 @@ COMPACT_WITH_CORRUPT = f"{COMPACT}, {CORRUPT_COLUMN} string"
 
 READING_COLUMNS = ["house_id", "date", "ts", "zip", "label", "meter_id", "power"]
 
-LABELS = "source_house int, meter_id string, label string"
-HOUSES = "house_id bigint, source_house int, zip string, scale double"
-
 ZIP_COLUMNS = [
     ("_idx", "int"),
     ("zip", "string"),
