@@ -61,7 +61,7 @@ def test_blocks_split_as_the_pattern_does(texts):
     find = bpe._matcher(public_tokenizers.PATTERN)
     block = bpe._Block(pa.array(texts, pa.large_string()), find)
     for text, numbers in zip(texts, block.sequences):
-        words = [block.words[i] for i in numbers]
+        words = [block.words[int(i)].as_py() for i in numbers]
         assert "".join(words) == text
         assert [i for w in words for i in REAL.encode_ordinary(w)] == REAL.encode_ordinary(text)
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -37,6 +38,7 @@ _LEVEL = 3
 
 # A single blank before a visible character, after a visible one, is always where a pre-token begins.
 # Texts with any other blank next to white space are matched as a whole.
+_OTHER_SPACE = r"[\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 _IRREGULAR = r"[\s\x0B]\x20|\x20[\s\x0B]|^\x20|\x20$"
 
 
@@ -57,51 +59,70 @@ def _matcher(pattern: str) -> Callable[[str], list[str]]:
     return regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
 
 
+# A blank or none, letters that every version of Unicode has as such, and plain punctuation: two pre-tokens at most.
+_SIMPLE = r"^(?P<head> ?[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}]+)(?P<tail>[.,;:!?]*)$"
+
+
 class _Block:
-    """Distinct pre-tokens of a block, and for each text the numbers of its pre-tokens in order."""
+    """Distinct pre-tokens of a block, and for each text the numbers of its pre-tokens in order.
+
+    Texts are cut at single blanks. Only the distinct pieces, and whole texts with other blanks next to
+    white space, meet the pattern; for most pieces, letters and punctuation, its result is known.
+    """
 
     def __init__(self, texts: pa.Array, find: Callable[[str], list[str]]):
-        numbers: dict[str, int] = {}
         odd = pc.match_substring_regex(texts, _IRREGULAR).to_numpy(zero_copy_only=False)
-        odd |= pc.invert(pc.string_is_ascii(texts)).to_numpy(zero_copy_only=False) & pc.match_substring_regex(
-            texts, r"[\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-        ).to_numpy(zero_copy_only=False)
-        self.sequences: list[np.ndarray] = [np.empty(0, np.uint32)] * len(texts)
+        odd = odd | pc.match_substring_regex(texts, _OTHER_SPACE).to_numpy(zero_copy_only=False)
 
-        regular = texts.filter(pa.array(~odd))
-        pieces = pc.split_pattern(regular, " ")
+        pieces = pc.split_pattern(texts.filter(pa.array(~odd)), " ")
         units = pieces.flatten().dictionary_encode()
-        unit_of = units.indices.to_numpy()
         starts = pieces.offsets.to_numpy().astype(np.int64)
         starts -= starts[0]
-        first = np.zeros(len(unit_of), bool)
-        first[starts[:-1]] = True  # the first piece of a text has no blank before it
-
-        def parts(piece: str) -> list[int]:
-            return [numbers.setdefault(word, len(numbers)) for word in find(piece)]
-
-        names = units.dictionary.to_pylist()
-        plain, blank = {}, {}
-        for at in np.unique(unit_of[first]):
-            plain[at] = parts(names[at])
-        for at in np.unique(unit_of[~first]):
-            blank[at] = parts(" " + names[at])
-        n = len(names)
-        lists = [plain.get(i, []) for i in range(n)] + [blank.get(i, []) for i in range(n)]
-        lengths = np.array([len(x) for x in lists], np.int64)
-        flat = np.array([x for part in lists for x in part], np.uint32)
-        heads = np.concatenate([[0], np.cumsum(lengths)])
-        use = np.where(first, unit_of, unit_of + n)
-        counts = lengths[use] if len(use) else np.empty(0, np.int64)
-        ends = np.cumsum(counts)
-        places = np.repeat(heads[use] - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)
-        sequence = flat[places]
+        n = len(units.dictionary)
+        use = units.indices.to_numpy().astype(np.int64) + n  # with a blank before it
+        use[starts[:-1]] -= n  # the first piece of a text has none
+        present = np.zeros(2 * n, bool)
+        present[use] = True
+        uses = np.flatnonzero(present)
+        use = (np.cumsum(present) - 1)[use]
+
+        names = units.dictionary.take(pa.array(uses % max(n, 1)))
+        blank = pa.array(np.array(["", " "], object)[(uses >= n).astype(int)], names.type)
+        names = pc.binary_join_element_wise(blank, names, pa.scalar("", names.type))
+        parts = pc.extract_regex(names, _SIMPLE)
+        simple = pc.is_valid(parts).to_numpy(zero_copy_only=False)
+        known = parts.filter(pa.array(simple))
+        heads, tails = known.field("head"), known.field("tail")
+        tailed = pc.binary_length(tails).to_numpy() > 0
+        others = [find(name) for name in names.filter(pa.array(~simple)).to_pylist()]
+        whole = [find(text) for text in texts.filter(pa.array(odd)).to_pylist()]
+        pool = pa.concat_arrays(
+            [heads.cast(pa.string()), tails.filter(pa.array(tailed)).cast(pa.string())]
+            + [pa.array(chain.from_iterable(x), pa.string()) for x in (others, whole)]
+        ).dictionary_encode()
+        self.words, codes = pool.dictionary, pool.indices.to_numpy()
+
+        # Where the pre-tokens of each use are in the pool.
+        counts = np.empty(len(uses), np.int64)
+        counts[simple] = 1 + tailed
+        counts[~simple] = [len(x) for x in others]
+        first = np.concatenate([[0], np.cumsum(counts)])
+        at = np.empty(first[-1], np.int64)
+        n_heads, n_tails, n_others = len(heads), int(tailed.sum()), sum(map(len, others))
+        at[first[:-1][simple]] = np.arange(n_heads)
+        at[first[:-1][simple][tailed] + 1] = n_heads + np.arange(n_tails)
+        at[np.repeat(~simple, counts)] = n_heads + n_tails + np.arange(n_others)
+
+        ends = np.cumsum(counts[use])
+        sequence = codes[at[np.repeat(first[use] - (ends - counts[use]), counts[use]) + np.arange(ends[-1] if len(ends) else 0)]]
         bounds = np.concatenate([[0], ends])[starts]
-        for row, (a, b) in zip(np.flatnonzero(~odd), zip(bounds[:-1], bounds[1:])):
-            self.sequences[row] = sequence[a:b]
-        for row in np.flatnonzero(odd):
-            self.sequences[row] = np.array(parts(texts[row].as_py()), np.uint32)
-        self.words = list(numbers)
+        self.sequences: list[np.ndarray] = [np.empty(0, np.int32)] * len(texts)
+        for row, low, high in zip(np.flatnonzero(~odd), bounds[:-1], bounds[1:]):
+            self.sequences[row] = sequence[low:high]
+        low = n_heads + n_tails + n_others
+        for row, found in zip(np.flatnonzero(odd), whole):
+            self.sequences[row] = codes[low : low + len(found)]
+            low += len(found)
 
 
 def _block_number(ids: pa.Array, texts: pa.Array) -> int:
@@ -123,14 +144,9 @@ def _cut(pattern: str, words: bool):
             texts = filled(batch.column(1))
             number = _block_number(batch.column(0), texts)
             block = _Block(texts, find)
+            sequence = np.concatenate(block.sequences)
             # The most frequent words get the smallest numbers, which pack best.
-            counts = np.zeros(len(block.words), np.int64)
-            for s in block.sequences:
-                counts += np.bincount(s, minlength=len(counts)) if len(s) > len(counts) // 8 else 0
-            small = [s for s in block.sequences if len(s) <= len(counts) // 8]
-            if small:
-                counts += np.bincount(np.concatenate(small), minlength=len(counts))
-            order = np.argsort(-counts, kind="stable")
+            order = np.argsort(-np.bincount(sequence, minlength=len(block.words)), kind="stable")
             rank = np.empty(len(order), np.uint32)
             rank[order] = np.arange(len(order), dtype=np.uint32)
             if words:
@@ -138,13 +154,12 @@ def _cut(pattern: str, words: bool):
                     [
                         pa.array(np.full(len(order), number, np.int64)),
                         pa.array(rank.astype(np.int32)),
-                        pa.array(block.words, pa.string()),
+                        block.words,
                     ],
                     names=["block", "word_no", "word"],
                 )
                 continue
-            numbers = rank[np.concatenate(block.sequences)] if len(rank) else np.empty(0, np.uint32)
-            planes = np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, 4).T)
+            planes = np.ascontiguousarray(rank[sequence].view(np.uint8).reshape(-1, 4).T)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([number]),
@@ -275,10 +290,12 @@ def decode(tokens_of: DataFrame, tokens: DataFrame, ids_col: str = "ids") -> Dat
 
 def _encoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str, text_col: str, finish, schema: str) -> DataFrame:
     source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    # The same exchange by word serves the distinct words and the join that takes their results back.
+    # The same exchange by word serves the distinct words and the join that takes their results back; so
+    # that both plans ask it for the same columns, the distinct words look at all of them.
     sent = source.mapInArrow(_cut(pattern, words=True), _WORDS).repartition("word")
     encode: Column = _word_encoder(ranks, pattern)(F.col("word"))
-    distinct = sent.groupBy("word").agg(F.count(F.lit(1)).alias("n_blocks")).select("word", encode.alias("ids"))
+    distinct = sent.groupBy("word").agg(F.max("block").alias("b"), F.max("word_no").alias("w"))
+    distinct = distinct.where("b IS NOT NULL AND w IS NOT NULL").select("word", encode.alias("ids"))
     results = decoded_words(distinct, token_bytes(docs.sparkSession, ranks))
     packs = sent.join(results, "word").select("block", "word_no", "ids", "decoded").mapInArrow(_pack, _PACKED)
     places = source.mapInArrow(_cut(pattern, words=False), _PLACES)
