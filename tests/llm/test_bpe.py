@@ -88,4 +88,4 @@ def test_lost_words_are_an_error():
     places = pa.table({"doc_ids": [[1]], "lengths": [[1]], "places": [press.compress(b"\0\0\0\0")]})
     packs = pa.table({"pack": pa.array([], pa.binary())})
     with pytest.raises(RuntimeError):
-        bpe._assemble(bpe._digests)(7, places, packs)
+        bpe._assemble(bpe._digests, pa.array([], pa.large_binary()))(7, places, packs)

@@ -2,8 +2,8 @@
 
 Texts are cut into blocks of documents. A block sends each distinct pre-token once, and keeps one row per
 document with the positions of its pre-tokens, packed. The pre-tokens of all blocks are shuffled by word,
-each distinct word is encoded once and decoded by a join with the table of token bytes, and the results
-go back to their blocks, where the documents are put together by position.
+each distinct word is encoded once, and its ids go back to the blocks that have it. There they are joined
+with the table of token bytes, once for each distinct word, and documents are put together by position.
 """
 
 from __future__ import annotations
@@ -14,13 +14,13 @@ from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
+import tiktoken
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -173,57 +173,60 @@ def _cut(pattern: str, words: bool):
     return cut
 
 
-def _word_encoder(ranks: dict[bytes, int], pattern: str):
-    @F.pandas_udf("array<int>")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import tiktoken
+def _encode_words(ranks: dict[bytes, int], pattern: str):
+    """Rows come sorted by word: each distinct word is encoded once, and its ids go to all its blocks.
 
+    All that a batch has for the same block becomes one packed row.
+    """
+
+    def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = tiktoken.Encoding("corpus", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        for words in batches:
-            yield pd.Series([encoding.encode_ordinary(word) for word in words])
+        press = zstandard.ZstdCompressor(level=_LEVEL)
+        last: tuple[str | None, list[int]] = (None, [])
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            words = batch.column(2).dictionary_encode()
+            names = words.dictionary.to_pylist()
+            lists = [last[1] if name == last[0] else encoding.encode_ordinary(name) for name in names]
+            last = (names[-1], lists[-1])
+            ids = pa.array(lists, pa.list_(pa.int32())).take(words.indices)
+
+            owner = batch.column(0).to_numpy()
+            order = np.argsort(owner, kind="stable")
+            owner = owner[order]
+            cuts = np.concatenate([[0], np.flatnonzero(np.diff(owner)) + 1, [len(owner)]])
+            rest = pa.record_batch([batch.column(1), ids], names=["word_no", "ids"]).take(pa.array(order))
+            packs = []
+            for low, high in zip(cuts[:-1], cuts[1:]):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, rest.schema) as writer:
+                    writer.write_batch(rest.slice(low, high - low))
+                packs.append(press.compress(sink.getvalue().to_pybytes()))
+            yield pa.RecordBatch.from_arrays([pa.array(owner[cuts[:-1]]), pa.array(packs, pa.binary())], names=["block", "pack"])
 
     return encode
 
 
-def _pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for all results that a batch has for the same block."""
-    press = zstandard.ZstdCompressor(level=_LEVEL)
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        owner = batch.column(0).to_numpy()
-        order = np.argsort(owner, kind="stable")
-        owner = owner[order]
-        cuts = np.concatenate([[0], np.flatnonzero(np.diff(owner)) + 1, [len(owner)]])
-        rest = batch.select([1, 2, 3]).take(pa.array(order))
-        packs = []
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, rest.schema) as writer:
-                writer.write_batch(rest.slice(a, b - a))
-            packs.append(press.compress(sink.getvalue().to_pybytes()))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(owner[cuts[:-1]]), pa.array(packs, pa.binary())], names=["block", "pack"]
-        )
-
-
 def _unpack(pack: bytes) -> pa.Table:
     return pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(pack)).read_all()
 
 
-def _assemble(finish: Callable[[pa.ListArray, pa.Array], Callable[[np.ndarray], tuple]]):
-    """Documents of one block from its words' results and its documents' positions."""
+def _assemble(finish: Callable[[pa.ListArray, pa.Array], Callable[[np.ndarray], tuple]], tokens: pa.Array):
+    """Documents of one block from its words' ids and its documents' positions.
+
+    ``tokens`` is the token-byte table by id; the ids of each distinct word are joined with it.
+    """
 
     def assemble(block: int, places: pa.Table, packs: pa.Table) -> list[tuple]:
         parts = [_unpack(p) for p in packs["pack"].to_pylist()]
-        words = pa.concat_tables(parts).combine_chunks() if parts else None
-        n_words = words.num_rows if words else 0
-        make = None
-        if words:
-            words = words.take(pa.array(np.argsort(words["word_no"].to_numpy())))
-            make = finish(words["ids"].combine_chunks(), words["decoded"].combine_chunks())
-        else:
-            make = finish(pa.array([], pa.list_(pa.int32())), pa.array([], pa.binary()))
+        n_words, ids = 0, pa.array([], pa.list_(pa.int32()))
+        if parts:
+            words = pa.concat_tables(parts).combine_chunks()
+            n_words = words.num_rows
+            ids = words["ids"].combine_chunks().take(pa.array(np.argsort(words["word_no"].to_numpy())))
+        pieces = pa.LargeListArray.from_arrays(ids.offsets.cast(pa.int64()), tokens.take(ids.values))
+        make = finish(ids, pc.binary_join(pieces, pa.scalar(b"", tokens.type)))
         rows = []
         for doc_ids, lengths, pack in zip(*(places[c].to_pylist() for c in ("doc_ids", "lengths", "places"))):
             planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(pack) if sum(lengths) else b"", np.uint8)
@@ -263,43 +266,30 @@ def _digests(ids: pa.ListArray, decoded: pa.Array):
     return make
 
 
-def decoded_words(words: DataFrame, tokens: DataFrame) -> DataFrame:
-    """word, ids with the bytes that the ids stand for, by a join with the token-byte table.
-
-    The table has one row per vocabulary entry and is broadcast; an id outside the vocabulary gives null.
-    """
-    pieces = words.select("*", F.posexplode_outer("ids").alias("at", "token_id")).join(F.broadcast(tokens), "token_id", "left")
-    ordered = F.array_sort(F.collect_list(F.when(F.col("token").isNotNull(), F.struct("at", "token"))))
-    joined = F.aggregate(ordered, F.lit(b""), lambda done, x: F.concat(done, x["token"]))
-    return pieces.groupBy("word").agg(
-        F.first("ids").alias("ids"),
-        F.when(F.count("token") == F.count("token_id"), joined).alias("decoded"),
-    )
-
-
 def decode(tokens_of: DataFrame, tokens: DataFrame, ids_col: str = "ids") -> DataFrame:
     """``tokens_of`` with the column ``decoded``: the bytes of its ids, by a join with the token-byte table.
 
-    Null ids give null, no ids give no bytes, an unknown id gives null. Rows keep their other columns.
+    The table has one row per vocabulary entry and is broadcast. Null ids give null, no ids give no
+    bytes, an unknown id gives null. Rows keep their other columns.
     """
     ids = tokens_of.select(F.col(ids_col).alias("ids")).where(F.col("ids").isNotNull()).distinct()
-    keyed = ids.withColumn("word", F.to_json(F.struct("ids")))
-    decoded = decoded_words(keyed, tokens).select(F.col("ids").alias(ids_col), "decoded")
-    return tokens_of.join(decoded, ids_col, "left")
+    pieces = ids.select("ids", F.posexplode_outer("ids").alias("at", "token_id")).join(F.broadcast(tokens), "token_id", "left")
+    ordered = F.array_sort(F.collect_list(F.when(F.col("token").isNotNull(), F.struct("at", "token"))))
+    joined = F.aggregate(ordered, F.lit(b""), lambda done, x: F.concat(done, x["token"]))
+    decoded = pieces.groupBy("ids").agg(F.when(F.count("token") == F.count("token_id"), joined).alias("decoded"))
+    return tokens_of.join(decoded.withColumnRenamed("ids", ids_col), ids_col, "left")
 
 
 def _encoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str, text_col: str, finish, schema: str) -> DataFrame:
     source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    # The same exchange by word serves the distinct words and the join that takes their results back; so
-    # that both plans ask it for the same columns, the distinct words look at all of them.
-    sent = source.mapInArrow(_cut(pattern, words=True), _WORDS).repartition("word")
-    encode: Column = _word_encoder(ranks, pattern)(F.col("word"))
-    distinct = sent.groupBy("word").agg(F.max("block").alias("b"), F.max("word_no").alias("w"))
-    distinct = distinct.where("b IS NOT NULL AND w IS NOT NULL").select("word", encode.alias("ids"))
-    results = decoded_words(distinct, token_bytes(docs.sparkSession, ranks))
-    packs = sent.join(results, "word").select("block", "word_no", "ids", "decoded").mapInArrow(_pack, _PACKED)
+    # A block sends a word once, so the most frequent word has no more rows here than there are blocks.
+    sent = source.mapInArrow(_cut(pattern, words=True), _WORDS).repartition("word").sortWithinPartitions("word")
+    packs = sent.mapInArrow(_encode_words(ranks, pattern), _PACKED)
     places = source.mapInArrow(_cut(pattern, words=False), _PLACES)
-    assemble = _assemble(finish)
+    table = [b""] * (max(ranks.values(), default=-1) + 1)
+    for token, rank in ranks.items():
+        table[rank] = token
+    assemble = _assemble(finish, pa.array(table, pa.large_binary()))
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
