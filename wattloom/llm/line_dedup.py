@@ -126,4 +126,4 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_i
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     runs = repeated_lines(texts, min_words).groupBy("doc_id", "first_line").agg(F.max("last_line").alias("last_line"))
     lists = stage(runs.groupBy("doc_id").agg(F.collect_list(F.struct("first_line", "last_line")).alias("runs")), "removed-runs")
-    return texts.join(lists, "doc_id", "left").select("doc_id", "text", "runs").mapInArrow(_cut, _CLEAN)
+    return texts.join(lists.hint("merge"), "doc_id", "left").select("doc_id", "text", "runs").mapInArrow(_cut, _CLEAN)

@@ -135,7 +135,8 @@ def cross_entropy_difference(
     """
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     chosen = stage(labels.where(is_target).select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct(), "target-ids")
-    flagged = texts.join(chosen.withColumn("is_target", F.lit(True)), "doc_id", "left")
+    # The list of targets grows with the corpus, so it is not broadcast where it happens to be short.
+    flagged = texts.join(chosen.withColumn("is_target", F.lit(True)).hint("merge"), "doc_id", "left")
     model = fit(flagged.select("doc_id", "text", "is_target"))
     sent = docs.sparkSession.sparkContext.broadcast((model.grams, model.losses))
     return texts.mapInArrow(_score(sent), _SCORED).withColumn("difference", F.col("target_loss") - F.col("background_loss"))
