@@ -1,12 +1,16 @@
 """Near-duplicates by MinHash: many universal hash minima, bands, signature and full-set checks.
 
 Documents with the same shingle set form a class, whose smallest identifier stands for it. Only these
-go on. Documents that agree in a band form a bucket. In each round every bucket sends its members to
-one hub, so a bucket of n documents makes n - 1 pairs and never all of them. A pair is confirmed on its
-full sets. What a round leaves open is settled by the next, with another hub: a member that is not
-linked to the hub may still be linked to one that is not the hub's. Since 1 - similarity is a metric,
-most of those can be ruled out: where p is linked to hub h and q is not, d(p, q) >= d(h, q) - d(h, p).
-Rounds go on until no bucket has an open pair, so every pair that shares a band is decided.
+go on. Documents that agree in a band form a bucket, and buckets with the same smallest member, their
+leader, form one group, so that copies which meet in many bands are compared once. A group is compared
+with a bounded number of its members, the hubs: first by signature, which lets most chance meetings go,
+then on full sets. Members stream past the hubs in slices; a task holds the sets of the hubs only and
+puts out links that connect something new, never all pairs.
+
+Groups of up to ``HUBS`` documents are so decided in one round. In larger ones the rest meets again in
+the next round, but for what is settled: documents that are connected already, and, as 1 - similarity is a
+metric, connected ones too near to the leader to be linked to any that is not connected. Rounds go on until
+nothing is left, so every pair of documents that share a band is decided.
 """
 
 from __future__ import annotations
@@ -33,11 +37,14 @@ SEED = 20_24
 
 # A signature estimate is trusted only this many standard errors (0.029 at most) away from the bound.
 DOUBT = 0.18
-# Members compared with one copy of a hub's set.
-SLICE = 256
+# Members of a group that the others are compared with in a round, and the shingles of their sets.
+HUBS, HUB_SHINGLES = 512, 4_000_000
+# Members compared with one copy of the hubs.
+SLICE = 2048
 
 _SIGNED = "doc_id bigint, n_shingles bigint, set_id binary, bands array<bigint>, sketch binary"
-_JUDGED = "hub bigint, doc_id bigint, linked boolean, distance double"
+_RATED = "leader bigint, doc_id bigint, near boolean, distance double"
+_JUDGED = "leader bigint, doc_id bigint, other bigint, distance double"
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -133,110 +140,186 @@ def _sign(size: int):
     return sign
 
 
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple, int, int]]:
+    """Stretches of rows with the same (leader, slice)."""
+    keys = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+    start = 0
+    for at in range(1, len(keys) + 1):
+        if at == len(keys) or keys[at] != keys[start]:
+            yield keys[start], start, at
+            start = at
+
+
 def _estimate(percent: int):
-    """Pairs whose signatures leave the bound within reach go on; the others get a distance they surely have."""
+    """Which members may be linked to a hub, or hubs to a member, and a distance each surely has from its leader.
+
+    Rows come sorted by (leader, slice), the hubs of each slice first.
+    """
 
     def estimate(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, hubs, sketches, touched = None, [], [], np.zeros(0, bool)
+
+        def rows_of_hubs() -> list[tuple]:
+            return [(at[0], hub, True, None) for hub, hit in zip(hubs, touched) if hit]
+
+        def out(rows: list[tuple]) -> pa.RecordBatch:
+            types = (pa.int64(), pa.int64(), pa.bool_(), pa.float64())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["leader", "doc_id", "near", "distance"])
+
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            one, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in (2, 3))
-            same = (one == two).mean(axis=1)
-            likely = (same - 1 / 256) / (255 / 256)
-            near = likely + DOUBT >= percent / 100
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(1),
-                    pa.array([None if n else False for n in near], pa.bool_()),
-                    pa.array(np.clip(1 - likely - DOUBT, 0, 1)),
-                ],
-                names=["hub", "doc_id", "linked", "distance"],
-            )
+            rows = []
+            members, ids = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            data = batch.column(4).to_pylist()
+            for key, start, end in _runs(batch):
+                if key != at:
+                    if at:
+                        rows += rows_of_hubs()
+                    at, hubs, sketches, touched = key, [], [], np.zeros(0, bool)
+                for row in range(start, end):
+                    sketch = np.frombuffer(data[row], np.uint8)
+                    if not members[row]:
+                        hubs.append(ids[row])
+                        sketches.append(sketch)
+                        continue
+                    if isinstance(sketches, list):
+                        sketches, touched = np.array(sketches).reshape(-1, BANDS * ROWS), np.zeros(len(hubs), bool)
+                    likely = ((sketches == sketch).mean(axis=1) - 1 / 256) / (255 / 256)
+                    others = np.array(hubs) != ids[row]
+                    near = (likely + DOUBT >= percent / 100) & others
+                    touched |= near
+                    lead = [x for x, hub in zip(likely, hubs) if hub == key[0]]
+                    rows.append((key[0], ids[row], bool(near.any()), float(np.clip(1 - max(lead) - DOUBT, 0, 1)) if lead else 0.0))
+            if rows:
+                yield out(rows)
+        if at and touched.any():
+            yield out(rows_of_hubs())
 
     return estimate
 
 
+class _Hubs:
+    """The sets of the hubs of one slice, and which of them are connected by links found here."""
+
+    def __init__(self, percent: int):
+        self.percent, self.ids, self.sets = percent, [], []
+        self.found: dict[int, int] = {}
+        self.ready = False
+
+    def _root(self, node: int) -> int:
+        while self.found.setdefault(node, node) != node:
+            self.found[node] = node = self.found[self.found[node]]
+        return node
+
+    def _prepare(self) -> None:
+        sizes = [len(x) for x in self.sets]
+        shingles = np.concatenate(self.sets) if self.sets else np.empty(0, np.uint64)
+        order = np.argsort(shingles, kind="stable")
+        self.shingles, self.owner = shingles[order], np.repeat(np.arange(len(sizes)), sizes)[order]
+        self.sizes, self.ready = np.array(sizes), True
+
+    def links(self, doc_id: int, shingles: np.ndarray, leader: int) -> tuple[list[int], float | None]:
+        """Hubs to link to so that all that is linked is connected, and the distance from the leader."""
+        if not self.ready:
+            self._prepare()
+        low, high = (np.searchsorted(self.shingles, shingles, side) for side in ("left", "right"))
+        counts = high - low
+        places = np.repeat(low - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+        shared = np.bincount(self.owner[places], minlength=len(self.ids))
+        unions = np.maximum(self.sizes + len(shingles) - shared, 1)
+        new = []
+        for at in np.flatnonzero(100 * shared >= self.percent * unions):
+            hub = self.ids[at]
+            if hub != doc_id and self._root(hub) != self._root(doc_id):
+                self.found[self._root(doc_id)] = self._root(hub)
+                new.append(hub)
+        lead = [1 - shared[at] / unions[at] for at, hub in enumerate(self.ids) if hub == leader]
+        return new, (float(max(lead)) if lead else None)
+
+
 def _confirm(size: int, percent: int):
-    """Compare full sets in a stream sorted by (hub, slice), in which the hub's texts come first."""
+    """Links on full sets, in a stream sorted by (leader, slice) in which the hubs' texts come first."""
 
     def confirm(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, hubs = None, []
+        at, hubs = None, None
         for batch in blocks(batches, 4):
             out = []
             head = zip(*(batch.column(c).to_pylist() for c in range(4)))
-            for (hub, part, is_member, doc_id), shingles in zip(head, shingle_sets(batch.column(4), size)):
-                if (hub, part) != at:
-                    at, hubs = (hub, part), []
-                if not is_member:
-                    hubs.append(shingles)
+            for (leader, part, member, doc_id), shingles in zip(head, shingle_sets(batch.column(4), size)):
+                if (leader, part) != at:
+                    at, hubs = (leader, part), _Hubs(percent)
+                if not member:
+                    hubs.ids.append(doc_id)
+                    hubs.sets.append(shingles)
                     continue
-                best = (False, 1.0)
-                for other in hubs:
-                    small, large = sorted((shingles, other), key=len)
-                    spot = np.minimum(np.searchsorted(large, small), max(len(large) - 1, 0))
-                    shared = int((large[spot] == small).sum()) if len(small) else 0
-                    union = len(small) + len(large) - shared
-                    if union:
-                        best = max(best, (100 * shared >= percent * union, 1 - shared / union), key=lambda x: -x[1])
-                out.append((hub, doc_id, *best))
+                new, distance = hubs.links(doc_id, shingles, leader)
+                out += [(leader, doc_id, other, distance) for other in new or [None]]
             if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.bool_(), pa.float64()))],
-                    names=["hub", "doc_id", "linked", "distance"],
-                )
+                types = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=["leader", "doc_id", "other", "distance"])
 
     return confirm
 
 
-def _judge(pairs: DataFrame, signed: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """hub, doc_id, linked, distance (for unlinked pairs a lower bound) of distinct pairs."""
-    sketches = signed.select("doc_id", "sketch")
-    hubs = sketches.select(F.col("doc_id").alias("hub"), F.col("sketch").alias("hub_sketch"))
-    both = pairs.join(hubs, "hub").join(sketches, "doc_id").select("hub", "doc_id", "hub_sketch", "sketch")
-    guessed = stage(both.mapInArrow(_estimate(percent), _JUDGED), "estimates")
-    open_pairs = guessed.where("linked IS NULL").select("hub", "doc_id").distinct()
-
-    # A hub with very many members is compared slice by slice, each with its own copy of the hub's text.
-    slices = open_pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / SLICE).alias("slices"))
-    dealt = stage(
-        open_pairs.join(slices, "hub").select("hub", F.pmod(F.xxhash64("doc_id"), "slices").alias("slice"), "doc_id"),
-        "open-pairs",
-    )
-    used = stage(dealt.select("doc_id").unionByName(dealt.select(F.col("hub").alias("doc_id"))).distinct(), "pair-ids")
-    bodies = texts.join(used, "doc_id", "left_semi")
-    members = dealt.join(bodies, "doc_id").select("hub", "slice", F.lit(1).alias("member"), "doc_id", "text")
-    heads = dealt.select("hub", "slice").distinct().join(bodies.withColumnRenamed("doc_id", "hub"), "hub")
-    heads = heads.select("hub", "slice", F.lit(0).alias("member"), F.col("hub").alias("doc_id"), "text")
-    order = ["hub", "slice", "member", "doc_id"]
-    sorted_rows = members.unionByName(heads).repartition("hub", "slice").sortWithinPartitions(*order)
-    confirmed = sorted_rows.mapInArrow(_confirm(size, percent), _JUDGED)
-    ruled_out = guessed.where("NOT linked")
-    return ruled_out.unionByName(confirmed).groupBy("hub", "doc_id").agg(F.max("linked").alias("linked"), F.min("distance").alias("distance"))
+def _past_hubs(group: DataFrame, values: DataFrame, value: str) -> DataFrame:
+    """Rows (leader, doc_id, is_hub) with a value, dealt and sorted so that the members of each slice follow its hubs."""
+    slices = group.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / SLICE).alias("slices"))
+    valued = group.join(slices, "leader").join(values, "doc_id")
+    members = valued.select("leader", F.pmod(F.xxhash64("doc_id"), "slices").alias("slice"), F.lit(1).alias("member"), "doc_id", value)
+    hubs = valued.where("is_hub").select("leader", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slices") - 1)).alias("slice"), F.lit(0).alias("member"), "doc_id", value)
+    return members.unionByName(hubs).repartition("leader", "slice").sortWithinPartitions("leader", "slice", "member", "doc_id")
 
 
 def similar_links(signed: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Confirmed links hub, doc_id that connect all similar documents of ``signed`` that share a band."""
-    spark = signed.sparkSession
-    members = signed.select(F.explode("bands").alias("bucket"), "doc_id")
-    crowded = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("hub")).where("n > 1 AND hub IS NOT NULL")
-    left = stage(members.join(crowded.select("bucket"), "bucket"), "buckets")
-    known = spark.createDataFrame([], _JUDGED)
+    """Confirmed links doc_id, other that connect all similar documents of ``signed`` that share a band."""
     reach = 1 - percent / 100 + 1e-9
-    while not left.isEmpty():
-        hubs = left.groupBy("bucket").agg(F.min("doc_id").alias("hub"))
-        star = stage(left.join(hubs, "bucket").where("doc_id <> hub"), "stars")
-        fresh = star.select("hub", "doc_id").distinct().join(known, ["hub", "doc_id"], "left_anti")
-        judged = stage(_judge(fresh, signed, texts, size, percent), "judged")
-        known = known.unionByName(judged)
-
-        rated = star.join(known, ["hub", "doc_id"])
-        far = rated.where("NOT linked").groupBy("bucket").agg(F.min("distance").alias("nearest"))
-        open_rows = rated.join(far, "bucket").where(~F.col("linked") | (F.col("distance") >= F.col("nearest") - reach))
-        rest = stage(open_rows.select("bucket", "doc_id"), "open-buckets")
-        pairs_left = rest.groupBy("bucket").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
-        left = stage(rest.join(pairs_left.select("bucket"), "bucket"), "buckets")
-    return known.where("linked").select("hub", "doc_id")
+    members = signed.select(F.explode("bands").alias("bucket"), "doc_id")
+    crowded = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    left = stage(members.join(crowded, "bucket"), "buckets")
+    sketches, sizes = signed.select("doc_id", "sketch"), signed.select("doc_id", "n_shingles")
+    links, first_round = None, True
+    while True:
+        leaders = left.groupBy("bucket").agg(F.min("doc_id").alias("leader"))
+        led = stage(left.join(leaders, "bucket"), "led-buckets")
+        group = led.select("leader", "doc_id").distinct().join(sizes, "doc_id")
+        totals = group.groupBy("leader").agg(F.least(F.lit(float(HUBS)) / F.count(F.lit(1)), F.lit(float(HUB_SHINGLES)) / F.sum("n_shingles")).alias("share"))
+        draw = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 30)) / float(1 << 30)
+        is_hub = (F.col("doc_id") == F.col("leader")) | (draw < F.col("share"))
+        group = stage(group.join(totals, "leader").select("leader", "doc_id", is_hub.alias("is_hub")), "groups")
+
+        rated = _past_hubs(group, sketches, "sketch").mapInArrow(_estimate(percent), _RATED)
+        rated = stage(rated.groupBy("leader", "doc_id").agg(F.max("near").alias("near"), F.min("distance").alias("distance")), "rated")
+        near = stage(group.join(rated.where("near"), ["leader", "doc_id"]).select("leader", "doc_id", "is_hub"), "near-groups")
+        wanted = stage(near.select("doc_id").distinct(), "near-ids")
+        # The first list grows with the corpus and is never broadcast.
+        bodies = texts.join(wanted.hint("merge") if first_round else wanted, "doc_id", "left_semi")
+        judged = stage(_past_hubs(near, bodies, "text").mapInArrow(_confirm(size, percent), _JUDGED), "judged")
+        found = judged.where("other IS NOT NULL").select("doc_id", "other")
+        links, first_round = (found if links is None else links.unionByName(found)), False
+
+        # Who is left: members of buckets with two or more that were no hubs.
+        rest = led.join(group.where("NOT is_hub").select("leader", "doc_id"), ["leader", "doc_id"])
+        several = rest.groupBy("bucket").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("bucket")
+        rest = stage(rest.join(several, "bucket"), "rest")
+        if rest.isEmpty():
+            return links
+        roots = connected_components(links, "doc_id", "other")
+        exact = judged.groupBy("leader", "doc_id").agg(F.max("distance").alias("exact"))
+        known = rest.join(rated, ["leader", "doc_id"]).join(exact, ["leader", "doc_id"], "left").select("bucket", "leader", "doc_id", "exact", "distance")
+        rooted = known.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+        lead = roots.select(F.col("node").alias("leader"), F.col("root").alias("lead_root"))
+        rooted = rooted.join(lead, "leader", "left").withColumn(
+            "inside", F.coalesce("root", "doc_id") == F.coalesce("lead_root", "leader")
+        )
+        # Lower bounds will do for those outside; a connected one without an exact distance may be anywhere.
+        distance = F.coalesce("exact", F.when(F.col("inside"), 1.0).otherwise(F.col("distance")))
+        rooted = stage(rooted.select("bucket", "doc_id", "inside", distance.alias("distance")), "rooted")
+        far = rooted.where("NOT inside").groupBy("bucket").agg(F.min("distance").alias("nearest"))
+        open_rows = rooted.join(far, "bucket").where(~F.col("inside") | (F.col("distance") >= F.col("nearest") - reach))
+        open_rows = open_rows.select("bucket", "doc_id")
+        several = open_rows.groupBy("bucket").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("bucket")
+        left = stage(open_rows.join(several, "bucket"), "buckets")
+        if left.isEmpty():
+            return links
 
 
 def near_dedup(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -252,8 +335,8 @@ def near_dedup(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, id_
     signed = stage(texts.mapInArrow(_sign(size), _SIGNED), "signatures")
     named = signed.where("doc_id IS NOT NULL AND n_shingles > 0")
     classes = stage(named.groupBy("set_id").agg(F.min("doc_id").alias("first_id")), "same-sets")
-    first = stage(named.join(classes, (named["set_id"] == classes["set_id"]) & (named["doc_id"] == classes["first_id"])).select("doc_id", "bands", "sketch").distinct(), "first-of-sets")
-    roots = connected_components(similar_links(first, texts, size, percent), "hub", "doc_id")
+    first = stage(named.join(classes, (named["set_id"] == classes["set_id"]) & (named["doc_id"] == classes["first_id"])).select("doc_id", "n_shingles", "bands", "sketch").dropDuplicates(["doc_id", "bands"]), "first-of-sets")
+    roots = connected_components(similar_links(first, texts, size, percent), "doc_id", "other")
 
     owners = classes.join(roots, classes["first_id"] == roots["node"], "left").select("set_id", F.coalesce("root", "first_id").alias("component_id"))
     sets = signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("set_id")).alias("set_id"))
