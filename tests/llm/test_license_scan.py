@@ -1,0 +1,54 @@
+from wattloom.llm.license_scan import RULES, SENTENCES, scan_licenses
+
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+
+
+def test_texts(spark):
+    rows = [
+        (1, f"Copyright (c) 2020 X\n\n{MIT}"),
+        (2, "Prose. Released under the MIT License.\nMore prose.\nLicensed under CC BY-NC 4.0."),
+        (3, "LICENSED UNDER THE APACHE LICENSE, VERSION 2.0"),
+        (4, "No word of it here. " * 5000),
+        (5, "A licence nobody knows.\nThis is licensed oddly. Released under the MIT License."),
+        (6, None),
+        (7, ""),
+        (None, "Released under the MIT License."),
+    ]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id bigint, text string, licenses string")
+    found = {r.doc_id: (r.licenses, r.n_licenses, r.n_unknown) for r in scan_licenses(docs).collect()}
+    assert found == {
+        1: ("MIT", 1, found[1][2]),
+        2: ("CC-BY-NC-4.0,MIT", 2, 0),
+        3: ("Apache-2.0", 1, 0),
+        4: ("", 0, 0),
+        5: ("MIT", 1, 2),
+        6: ("", 0, 0),
+        7: ("", 0, 0),
+        None: ("MIT", 1, 0),
+    }
+
+
+def test_longer_rules_come_first():
+    for at, (name, rule) in enumerate(RULES):
+        assert all(part in SENTENCES for part in rule.split())
+        assert not any(later != name and f" {r} " in f" {rule} " for later, r in RULES[:at])
+
+
+def test_empty_table(spark):
+    assert scan_licenses(spark.createDataFrame([], "doc_id bigint, text string")).collect() == []

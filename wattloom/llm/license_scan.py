@@ -43,8 +43,7 @@ SENTENCES = {
     "AllRights": "all rights reserved",
 }
 
-# Ordered rules, from a sequence of identifiers to a licence. Between two of them, ``*`` stands
-# for any other sentences that may speak of a licence.
+# Ordered rules, from a sequence of identifiers to a licence.
 RULES = [
     ("BSD-3-Clause", "BsdGrant BsdSource BsdBinary BsdNames"),
     ("BSD-2-Clause", "BsdGrant BsdSource BsdBinary"),
@@ -74,7 +73,7 @@ RULES = [
 CRITICAL = ["licen", "copyright", "permission", "permitted", "redistribut", "warrant", "liable", "rights reserved", "free software", "promote products"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-END = r"[.!?:;]+[\x20\x09-\x0D]+"
+END = r"[.!?:;]+[\x20\x09-\x0D]+|\n[\x20\x09\x0D]*\n"
 BREAK = END + r"|\n"
 UNKNOWN = "?"
 
@@ -111,7 +110,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """One row per row of ``docs``: doc_id, sentence_ids, licenses, n_licenses, n_unknown.
 
     licenses are the names found, sorted, each once, comma-separated; none gives an empty string.
-    Sentences end at punctuation before white space. They are read once with every line break as an end
+    Sentences end at punctuation before white space and at blank lines. They are read once with every line break as an end
     and once with line breaks as blanks, since licence texts are often wrapped: sentence_ids and
     n_unknown (critical sentences that no rule took) are of the first reading, licenses of both. A null
     or empty text has no sentences. Repeated rows and null identifiers each give their row; other
