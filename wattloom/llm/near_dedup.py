@@ -38,9 +38,9 @@ SEED = 20_24
 # A signature estimate is trusted only this many standard errors (0.029 at most) away from the bound.
 DOUBT = 0.18
 # Members of a group that the others are compared with in a round, and the shingles of their sets.
-HUBS, HUB_SHINGLES = 512, 4_000_000
+HUBS, HUB_SHINGLES = 4096, 2_000_000
 # Members compared with one copy of the hubs.
-SLICE = 2048
+SLICE = 1024
 
 _SIGNED = "doc_id bigint, n_shingles bigint, set_id binary, bands array<bigint>, sketch binary"
 _RATED = "leader bigint, doc_id bigint, near boolean, distance double"
@@ -198,42 +198,57 @@ def _estimate(percent: int):
 
 
 class _Hubs:
-    """The sets of the hubs of one slice, and which of them are connected by links found here."""
+    """The sets of the hubs of one slice in an inverted index of several chunks, and how links connect them."""
+
+    CHUNK = 256
 
     def __init__(self, percent: int):
         self.percent, self.ids, self.sets = percent, [], []
-        self.found: dict[int, int] = {}
-        self.ready = False
-
-    def _root(self, node: int) -> int:
-        while self.found.setdefault(node, node) != node:
-            self.found[node] = node = self.found[self.found[node]]
-        return node
+        self.chunks: list[tuple[int, np.ndarray, np.ndarray]] = []
+        self.sizes = self.part = np.empty(0, np.int64)
 
     def _prepare(self) -> None:
-        sizes = [len(x) for x in self.sets]
-        shingles = np.concatenate(self.sets) if self.sets else np.empty(0, np.uint64)
-        order = np.argsort(shingles, kind="stable")
-        self.shingles, self.owner = shingles[order], np.repeat(np.arange(len(sizes)), sizes)[order]
-        self.sizes, self.ready = np.array(sizes), True
+        self.sizes = np.array([len(x) for x in self.sets], np.int64)
+        self.part = np.arange(len(self.ids))
+        for start in range(0, len(self.ids), self.CHUNK):
+            sets = self.sets[start : start + self.CHUNK]
+            shingles = np.concatenate(sets)
+            order = np.argsort(shingles, kind="stable")
+            owner = np.repeat(np.arange(len(sets), dtype=np.int32), [len(x) for x in sets])
+            self.chunks.append((start, shingles[order], owner[order]))
+        self.place = {doc_id: at for at, doc_id in enumerate(self.ids)}
+        self.sets = []
 
     def links(self, doc_id: int, shingles: np.ndarray, leader: int) -> tuple[list[int], float | None]:
-        """Hubs to link to so that all that is linked is connected, and the distance from the leader."""
-        if not self.ready:
+        """Hubs to link to so that all that is linked is connected, and the distance from the leader.
+
+        The leader has the smallest identifier, so it is in the first chunk. Later chunks with nothing
+        but hubs that the member is connected with already are not looked at.
+        """
+        if self.sets:
             self._prepare()
-        low, high = (np.searchsorted(self.shingles, shingles, side) for side in ("left", "right"))
-        counts = high - low
-        places = np.repeat(low - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
-        shared = np.bincount(self.owner[places], minlength=len(self.ids))
-        unions = np.maximum(self.sizes + len(shingles) - shared, 1)
-        new = []
-        for at in np.flatnonzero(100 * shared >= self.percent * unions):
-            hub = self.ids[at]
-            if hub != doc_id and self._root(hub) != self._root(doc_id):
-                self.found[self._root(doc_id)] = self._root(hub)
-                new.append(hub)
-        lead = [1 - shared[at] / unions[at] for at, hub in enumerate(self.ids) if hub == leader]
-        return new, (float(max(lead)) if lead else None)
+        own = self.place.get(doc_id, -1)
+        mine = self.part[own] if own >= 0 else -1
+        new, distance = [], None
+        for start, known, owner in self.chunks:
+            stop = min(start + self.CHUNK, len(self.ids))
+            if start and mine >= 0 and (self.part[start:stop] == mine).all():
+                continue
+            low, high = (np.searchsorted(known, shingles, side) for side in ("left", "right"))
+            counts = high - low
+            places = np.repeat(low - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+            shared = np.bincount(owner[places], minlength=stop - start)
+            unions = np.maximum(self.sizes[start:stop] + len(shingles) - shared, 1)
+            if start == 0 and self.ids[0] == leader:
+                distance = float(1 - shared[0] / unions[0])
+            for at in start + np.flatnonzero(100 * shared >= self.percent * unions):
+                if at != own and self.part[at] != mine:
+                    new.append(self.ids[at])
+                    if mine >= 0:
+                        self.part[self.part == self.part[at]] = mine
+                    else:
+                        mine = self.part[at]
+        return new, distance
 
 
 def _confirm(size: int, percent: int):
