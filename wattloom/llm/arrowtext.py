@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # A block holds whole documents up to about so many bytes of text; a longer text is a block by itself.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 
 WORD = r"[^\x20\x09-\x0D]+"
 

@@ -36,6 +36,10 @@ _DIGESTS = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 st
 # Words that one Arrow batch sends back to a block travel as one packed row.
 _LEVEL = 3
 
+# Larger blocks have fewer distinct words between them, so less is shuffled; this many bytes of text keep a
+# task that puts a block together well within its memory.
+WORD_BLOCK = 32 << 20
+
 # A single blank before a visible character, after a visible one, is always where a pre-token begins.
 # Texts with any other blank next to white space are matched as a whole.
 _OTHER_SPACE = r"[\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
@@ -140,7 +144,7 @@ def _cut(pattern: str, words: bool):
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = _matcher(pattern)
         press = zstandard.ZstdCompressor(level=_LEVEL)
-        for batch in blocks(batches, 1):
+        for batch in blocks(batches, 1, WORD_BLOCK):
             texts = filled(batch.column(1))
             number = _block_number(batch.column(0), texts)
             block = _Block(texts, find)
