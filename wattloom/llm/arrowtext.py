@@ -15,8 +15,12 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def filled(texts: pa.Array) -> pa.Array:
-    """Texts with null as empty, with 64-bit offsets so that no batch is too large for them."""
-    return pc.fill_null(texts.cast(pa.large_string()), "")
+    """Texts with null as empty, with 64-bit offsets so that no batch is too large for them.
+
+    A slice is copied: the offsets of its cast begin in the middle of the data, which ``ascii_lower`` takes wrong.
+    """
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    return texts.take(pa.array(np.arange(len(texts))))
 
 
 def blocks(batches: Iterable[pa.RecordBatch], text_at: int, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
