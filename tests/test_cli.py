@@ -3,6 +3,7 @@
 from tests.conftest import rows_of
 from wattloom.plans import jobs
 from wattloom.sources import tables
+from wattloom.streaming.power import read_alerts
 
 START = 1_303_171_200  # 04/19/2011 UTC
 DAY = 86_400
@@ -41,10 +42,10 @@ def test_chain_of_jobs(spark, tmp_path):
 
     stream = ["--root", f"{work}/tables", "--format", "text", "--path", topics[0], "--once"]
     jobs.main(["live", "--checkpoint", f"{work}/live", "--window", "1 day", *stream])
-    live = tables.read_latest(spark, f"{work}/tables", tables.RT_POWER)
+    live = tables.read_sums(spark, f"{work}/tables", tables.RT_POWER)
     assert live.count() == 6
 
     jobs.main(["alerts", "--checkpoint", f"{work}/alert-progress", "--margin", "0.001", "--salts", "2", *stream])
-    alerts = spark.read.parquet(f"{work}/tables/alerts")
+    alerts = read_alerts(spark, f"{work}/tables")
     # Two houses, two channels, three days; three spikes on either clean day.
     assert alerts.count() == 2 * 2 * 3 * 3 and alerts.where("power <= p97").count() == 0

@@ -5,17 +5,19 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from tests.conftest import rows_of
 from tests.oracle import compare, connect
 from wattloom.operators.energy import label_day_energy, meter_day_energy
 from wattloom.operators.readings import expand_readings, pack_readings, parse_json, to_messages
 from wattloom.operators.share import appliance_share
 from wattloom.operators.stats import meter_p97
-from wattloom.plans import batch
 from wattloom.plans.batch import run_batch
+from wattloom.plans.oracles import all_oracles as oracle_sql
 from wattloom.plans.prep import clean_days_of, replay_records
+from wattloom.plans.queries import all_queries as queries
 from wattloom.sources import tables
+from wattloom.sources.quarantine import read_quarantine
 
 SF_DIR = "/root/testdata/sf0.01"
 START = 1_303_171_200
@@ -43,7 +45,7 @@ def final_plan(frame):
 
 
 ROWS_ONLY = {"hourly_scan", "table_upsert", "rt_mains_power_stream", "rt_mains_power_merge", "rt_batch_power_stream",
-             "overshoot_alerts_stream", "batch_appliance_share", "batch_meter_stats"}
+             "overshoot_alerts_stream", "batch_appliance_share", "batch_meter_stats", "rt_record_power_stream", "batch_quarantine"}
 
 
 @pytest.mark.parametrize("name", sorted(set(queries()) - ROWS_ONLY))
@@ -81,9 +83,7 @@ def random_readings(spark, n=4000):
     ).withColumn("date", F.from_unixtime("ts", "yyyy-MM-dd"))
 
 
-@pytest.mark.parametrize("moderate", [1_000_000, 1])
-def test_batch_job_from_json(spark, tmp_path, monkeypatch, moderate):
-    monkeypatch.setattr(batch, "MODERATE_METER_DAY", moderate)
+def test_batch_job_from_json(spark, tmp_path):
     readings = random_readings(spark)
     lines, root = f"{tmp_path}/lines", f"{tmp_path}/tables"
     to_messages(pack_readings(readings), "hf", "lf").select("value").write.text(lines)
@@ -99,6 +99,29 @@ def test_batch_job_from_json(spark, tmp_path, monkeypatch, moderate):
     assert geo == pytest.approx(days.where("layer = 'mains'").agg(F.sum("kwh")).first()[0])
 
 
+def test_batch_job_sets_rejects_aside(spark, tmp_path):
+    good = '{"timestamp": "1303171200", "houseId": 1, "zip": "z", "readings": [%s]}'
+    reading = '{"meterId": %s, "power": "%s", "label": "mains"}'
+    lines = [good % ", ".join([reading % ('"1"', "5"), reading % ('"2"', "x"), reading % ("null", "7"), reading % ('"m"', "7")]), "{broken", '{"timestamp": "soon"}']
+    records = parse_json(spark.createDataFrame([(x,) for x in lines], "value string"))
+    for _ in range(2):
+        run_batch(records, str(tmp_path))
+        found = read_quarantine(spark, str(tmp_path))
+        assert rows_of(found, "reason") == [("malformed",), ("meter",), ("meter",), ("power",), ("timestamp",)]
+        assert found.where("original LIKE '%{broken%' AND reason = 'malformed'").count() == 1
+    assert tables.read(spark, str(tmp_path), tables.MAINS_ENERGY).count() == 1
+
+
+def test_batch_job_leaves_no_working_folders(spark, tmp_path):
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path / "work"))
+    try:
+        for _ in range(2):
+            run_batch(pack_readings(random_readings(spark, 200)), str(tmp_path / "tables"))
+        assert not [p for p in (tmp_path / "work").glob("*")]
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")
+
+
 def test_prep_job(spark):
     seconds = F.explode(F.sequence(F.lit(0), F.lit(4 * DAY - 1), F.lit(600))).alias("s")
     channels = (

@@ -2,11 +2,13 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import rows_of
 from wattloom.operators.alerts import overshoot_alerts
-from wattloom.operators.readings import parse_json, record_mains_power
+from wattloom.operators.readings import only_layer, parse_json, record_mains_power
 from wattloom.sources import tables
+from wattloom.sources.events import read_readings, stream_readings
 from wattloom.sources.records import stream_values
 from wattloom.streaming import power as P
 
@@ -39,28 +41,37 @@ def batch_of(spark, folder):
     return record_mains_power(parse_json(spark.read.text(str(folder))))
 
 
+def sums_of(spark, root):
+    return rows_of(tables.read_sums(spark, root, tables.RT_POWER).select("house_id", "date", "zip", "watts_sum", F.unix_seconds("window_start")))
+
+
+def expected_sums(spark, source):
+    windows = P.mains_power_windows(batch_of(spark, source))
+    return rows_of(windows.select("house_id", "date", "zip", "watts_sum", F.unix_seconds("window_start")))
+
+
 @pytest.mark.parametrize("merge", [False, True])
 def test_windows_of_a_stream_equal_the_batch(spark, tmp_path, merge):
     source, root = tmp_path / "in", str(tmp_path / "out")
     for i in range(3):
         write_records(source, f"{i}.json", range(START + i * 40, START + 400, 7), seed=i)
     for _ in range(2):
-        windows = P.mains_power_windows(stream_of(spark, source))
-        P.start_mains_power(windows, root, f"{root}/checkpoint", trigger=None, merge=merge).awaitTermination()
-        live = tables.read(spark, root, tables.RT_POWER) if merge else tables.read_latest(spark, root, tables.RT_POWER)
-        assert rows_of(live) == rows_of(P.mains_power_windows(batch_of(spark, source)).select(live.columns))
-        # New files, then the same stream goes on from its checkpoint.
-        write_records(source, "late.json", range(START - 500, START + 200, 31), seed=9)
+        P.start_mains_power(stream_of(spark, source), root, f"{root}/checkpoint", trigger=None, merge=merge).awaitTermination()
+        assert sums_of(spark, root) == expected_sums(spark, source)
+        if merge:
+            assert tables.read_log(spark, root, tables.RT_POWER).count() == 0
+        # New files with rows that are days late, then the same stream goes on from its checkpoint.
+        write_records(source, "late.json", range(START - 500_000, START + 200, 3_100), seed=9)
 
 
-def test_watermark_closes_windows(spark, tmp_path):
-    source, root = tmp_path / "in", str(tmp_path / "out")
-    write_records(source, "0.json", range(START, START + 7200, 60))
-    windows = P.mains_power_windows(stream_of(spark, source), watermark="1 hour")
-    P.start_mains_power(windows, root, f"{root}/checkpoint", trigger=None).awaitTermination()
-    expected = P.mains_power_windows(batch_of(spark, source))
-    live = tables.read_latest(spark, root, tables.RT_POWER)
-    assert rows_of(live) == rows_of(expected.select(live.columns))
+def test_a_new_checkpoint_adds_to_an_old_table(spark, tmp_path):
+    root = str(tmp_path / "out")
+    for name in ("one", "two"):
+        write_records(tmp_path / name, "0.json", range(START, START + 60, 7), seed=len(name) + ord(name[0]))
+        P.start_mains_power(stream_of(spark, tmp_path / name), root, f"{root}/{name}-progress", trigger=None).awaitTermination()
+    write_records(tmp_path / "both", "0.json", range(START, START + 60, 7), seed=3 + ord("o"))
+    write_records(tmp_path / "both", "1.json", range(START, START + 60, 7), seed=3 + ord("t"))
+    assert sums_of(spark, root) == expected_sums(spark, tmp_path / "both")
 
 
 def test_each_batch_gives_its_own_rows(spark, tmp_path):
@@ -82,10 +93,43 @@ def test_alerts_of_a_stream_equal_the_batch(spark, tmp_path, salts):
     source, root = str(tmp_path / "in"), str(tmp_path / "out")
     spark.createDataFrame(rows, READINGS).repartition(3).write.parquet(source)
     stats = [(h, m, 60.0 + h) for h in range(3) for m in ("1", "2")]
-    spark.createDataFrame(stats, "house_id bigint, meter_id string, p97 double").write.parquet(f"{root}/stats")
-    stored = spark.read.parquet(f"{root}/stats")
+    stored = spark.createDataFrame(stats, "house_id bigint, meter_id string, p97 double")
+    tables.upsert(stored, root, tables.METER_STATS)
     stream = spark.readStream.schema(READINGS).option("maxFilesPerTrigger", 1).parquet(source)
-    P.start_alerts(stream, stored, root, f"{root}/checkpoint", 0.1, salts, trigger=None).awaitTermination()
+    P.start_alerts(stream, P.stored_stats(root), root, f"{root}/checkpoint", 0.1, salts, trigger=None).awaitTermination()
     expected = overshoot_alerts(spark.read.parquet(source), stored, 0.1)
-    assert rows_of(spark.read.parquet(f"{root}/{P.ALERTS}")) == rows_of(expected)
+    assert rows_of(P.read_alerts(spark, root)) == rows_of(expected)
     assert expected.count() > 10
+
+
+def test_statistics_published_between_batches_count_at_once(spark, tmp_path):
+    source, root = str(tmp_path / "in"), str(tmp_path / "out")
+    for ts in (START, START + 1):
+        spark.createDataFrame([(1, "2011-04-19", ts, "z", "x", "3", 50.0)], READINGS).coalesce(1).write.mode("append").parquet(source)
+    publish = lambda p97: tables.upsert(spark.createDataFrame([(1, "3", p97)], "house_id bigint, meter_id string, p97 double"), root, tables.METER_STATS)
+    publish(100.0)
+    bounds = iter([None, 10.0])
+
+    def stats(session):
+        found = tables.read(session, root, tables.METER_STATS)
+        bound = next(bounds)
+        if bound:
+            publish(bound)  # replaces the files that the first batch used
+            found = tables.read(session, root, tables.METER_STATS)
+        return found
+
+    stream = spark.readStream.schema(READINGS).option("maxFilesPerTrigger", 1).parquet(source)
+    P.start_alerts(stream, stats, root, f"{root}/checkpoint", trigger=None).awaitTermination()
+    assert rows_of(P.read_alerts(spark, root), "power", "p97") == [(50.0, 10.0)]
+
+
+def test_stream_adapter_takes_a_folder_of_parts(spark, tmp_path):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    stream = stream_readings(spark, str(tmp_path), maxFilesPerTrigger="1")
+    root = str(tmp_path / "out")
+    P.start_batch_power(only_layer(stream, "mains"), root, f"{root}/checkpoint", trigger=None).awaitTermination()
+    log = tables.read_log(spark, root, P.BATCH_POWER)
+    assert log.select("batch_id").distinct().count() == 3
+    total = only_layer(read_readings(spark, str(tmp_path)), "mains").agg({"power": "sum"}).first()[0]
+    assert log.agg({"watts_sum": "sum"}).first()[0] == pytest.approx(total)

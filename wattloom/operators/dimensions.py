@@ -13,8 +13,6 @@ from wattloom.functions.draws import digest, unit_draw
 SOURCE_HOUSES = 5
 SCALE_SPREAD = 0.2
 
-# A sample up to this many zip codes is small enough to broadcast.
-BROADCAST_ZIPS = 100_000
 
 # Hex digits of the digest that name an index bucket: 16 ** 3 = 4,096 buckets.
 INDEX_DIGITS = 3
@@ -106,11 +104,11 @@ def zip_difference(full: DataFrame, used: DataFrame) -> DataFrame:
 
 
 def sample_zips(zips: DataFrame, n: int, seed: int = 0) -> DataFrame:
-    """``n`` zip codes without replacement, repeatable, sorted."""
+    """``n`` zip codes without replacement, repeatable, sorted. ``n`` is small: its rows end in one task."""
     return zips.select("zip").orderBy(digest(seed, F.col("zip")), "zip").limit(n).orderBy("zip")
 
 
 def refresh_zips(full: DataFrame, used: DataFrame, n: int, seed: int = 0) -> DataFrame:
     """The full rows of ``n`` sampled zip codes that are not in use yet."""
     chosen = sample_zips(zip_difference(full, used), n, seed)
-    return full.join(F.broadcast(chosen) if n <= BROADCAST_ZIPS else chosen, "zip")
+    return full.join(chosen, "zip")

@@ -27,12 +27,6 @@ def collapse_ties(readings: DataFrame) -> DataFrame:
     )
 
 
-def largest_meter_day(readings: DataFrame) -> DataFrame:
-    """One row: the number of readings of the busiest meter-day. Counts are combined where they are read."""
-    counts = readings.groupBy(*METER_DAY).agg(F.count(F.lit(1)).alias("n_readings"))
-    return counts.agg(F.max("n_readings").alias("n_readings"))
-
-
 def meter_day_energy(readings: DataFrame, collapse: bool = True) -> DataFrame:
     """Left Riemann sum of power over time for each (house, meter, zip, date), in joules.
 

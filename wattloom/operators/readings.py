@@ -85,14 +85,19 @@ def _exploded(records: DataFrame, date_format: str = DATE_FORMAT) -> DataFrame:
     )
 
 
+def _usable_reading() -> Column:
+    return F.col("power").isNotNull() & F.col("meter_id").try_cast("int").isNotNull()
+
+
 def expand_readings(records: DataFrame, date_format: str = DATE_FORMAT) -> DataFrame:
     """One row per reading; house, zip and time repeated. An empty record gives no row."""
-    return _exploded(records, date_format).where(F.col("power").isNotNull()).select(*READING_COLUMNS)
+    return _exploded(records, date_format).where(_usable_reading()).select(*READING_COLUMNS)
 
 
 def rejected_readings(records: DataFrame) -> DataFrame:
-    """Readings of usable records whose power is no finite number."""
-    return _exploded(records).where(F.col("power").isNull()).drop("power")
+    """Readings of usable records whose power is no finite number or whose meter is no channel number."""
+    reason = F.when(F.col("power").isNull(), "power").otherwise("meter")
+    return _exploded(records).where(~_usable_reading()).withColumn("reject_reason", reason).drop("power")
 
 
 def _numbered(stepped: DataFrame, unit: list[str]) -> DataFrame:

@@ -1,43 +1,57 @@
-"""The daily batch job: compact records in, five serving tables out."""
+"""The daily batch job: compact records in, five serving tables and a quarantine out."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from wattloom.operators.energy import geo_energy, label_day_energy, largest_meter_day, meter_day_energy
-from wattloom.operators.readings import APPLIANCE, MAINS, expand_readings, with_layer
+from wattloom.operators.energy import geo_energy, label_day_energy, meter_day_energy
+from wattloom.operators.readings import APPLIANCE, MAINS, expand_readings, rejected_readings, rejected_records, with_layer
 from wattloom.operators.share import appliance_share
 from wattloom.operators.stats import meter_p97
+from wattloom.session import fresh_dir
 from wattloom.sources import tables
+from wattloom.sources.folders import Folders
+from wattloom.sources.quarantine import quarantine
 
 ENERGY_COLUMNS = ["house_id", "date", "zip", "label", "kwh"]
 
 
-# A meter-day of up to this many readings is sorted in one task without a second thought; a meter
-# that reports every second has 86,400.
-MODERATE_METER_DAY = 1_000_000
+def rejects(records: DataFrame) -> DataFrame:
+    """reason, original: records that cannot be used, and readings of others that cannot, as JSON."""
+    bad = rejected_records(records)
+    broken = F.to_json(F.struct(*[c for c in bad.columns if c != "reject_reason"]))
+    readings = rejected_readings(records)
+    wrong = F.to_json(F.struct(*[c for c in readings.columns if c != "reject_reason"]))
+    reason = F.col("reject_reason").alias("reason")
+    return bad.select(reason, broken.alias("original")).unionByName(readings.select(reason, wrong.alias("original")))
 
 
-def run_batch(records: DataFrame, root: str) -> None:
-    """Fill mains_energy, appliance_energy, appliance_share, geo_energy and meter_stats.
+def run_batch(records: DataFrame, root: str, part: str = "batch") -> None:
+    """Fill mains_energy, appliance_energy, appliance_share, geo_energy and meter_stats, and the quarantine.
 
     Records are parsed and expanded once, into a readings table in the working folder, without a
     shuffle. The statistics and the energy each scan it once, reading only the columns they need;
     all other tables come from the label-days, which are smaller than the readings by the number
-    of readings in a day and are written before they are used.
-
-    A count per meter-day, over the key columns only, decides whether ties have to be collapsed
-    before the energy window. Ordinary data then shuffles the readings once.
+    of readings in a day and are written before they are used. The working tables are removed at the end.
     """
-    readings = tables.stage(with_layer(expand_readings(records)), "readings")
-    tables.upsert(meter_p97(readings), root, tables.METER_STATS)
+    spark = records.sparkSession
+    quarantine(rejects(records), root, part)
+    places = [fresh_dir(spark, name) for name in ("readings", "label-days")]
+
+    def keep(rows: DataFrame, place: str) -> DataFrame:
+        rows.write.parquet(place)
+        return spark.read.schema(rows.schema).parquet(place)
+
+    readings = keep(with_layer(expand_readings(records)), places[0])
+    tables.upsert(meter_p97(readings), root, tables.METER_STATS, unique=True)
 
-    busiest = largest_meter_day(readings).first()[0] or 0
-    meter_days = meter_day_energy(readings, collapse=busiest > MODERATE_METER_DAY)
-    label_days = tables.stage(label_day_energy(meter_days), "label-days")
+    label_days = keep(label_day_energy(meter_day_energy(readings)), places[1])
     mains, appliances = (label_days.where(label_days["layer"] == layer) for layer in (MAINS, APPLIANCE))
 
-    tables.upsert(mains.select(*ENERGY_COLUMNS), root, tables.MAINS_ENERGY)
-    tables.upsert(appliances.select(*ENERGY_COLUMNS), root, tables.APPLIANCE_ENERGY)
-    tables.upsert(geo_energy(label_days), root, tables.GEO_ENERGY)
-    tables.upsert(appliance_share(label_days), root, tables.APPLIANCE_SHARE)
+    tables.upsert(mains.select(*ENERGY_COLUMNS), root, tables.MAINS_ENERGY, unique=True)
+    tables.upsert(appliances.select(*ENERGY_COLUMNS), root, tables.APPLIANCE_ENERGY, unique=True)
+    tables.upsert(geo_energy(label_days), root, tables.GEO_ENERGY, unique=True)
+    tables.upsert(appliance_share(label_days), root, tables.APPLIANCE_SHARE, unique=True)
+    for place in places:
+        Folders(spark).remove(place)

@@ -16,14 +16,21 @@ from pyspark.sql import SparkSession
 
 from wattloom.functions.days import parse_anchor
 from wattloom.operators.quality import MAX_GAP
-from wattloom.operators.readings import expand_readings, parse_json, record_mains_power, to_messages
+from wattloom.operators.readings import (
+    expand_readings,
+    parse_json,
+    record_mains_power,
+    rejected_mains_records,
+    rejected_records,
+    to_messages,
+)
 from wattloom.operators.replicate import CALENDAR_DAYS
 from wattloom.plans.batch import run_batch
 from wattloom.plans.prep import clean_days_of, replay_records
 from wattloom.session import build_session
-from wattloom.sources import files, tables
+from wattloom.sources import files
 from wattloom.sources.records import publish, read_records, stream_values
-from wattloom.streaming.power import TRIGGER, mains_power_windows, start_alerts, start_mains_power
+from wattloom.streaming.power import TRIGGER, start_alerts, start_mains_power, start_quarantine, stored_stats
 
 
 def _options(pairs: Sequence[str]) -> dict[str, str]:
@@ -43,14 +50,20 @@ def batch(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def live(spark: SparkSession, args: argparse.Namespace) -> None:
-    windows = mains_power_windows(record_mains_power(_stream(spark, args)), args.window, args.watermark)
-    start_mains_power(windows, args.root, args.checkpoint, _trigger(args), args.merge).awaitTermination()
+    records = _stream(spark, args)
+    aside = start_quarantine(records, rejected_mains_records, args.root, f"{args.checkpoint}-rejects", _trigger(args))
+    power = record_mains_power(records)
+    start_mains_power(power, args.root, args.checkpoint, args.window, _trigger(args), args.merge).awaitTermination()
+    aside.awaitTermination()
 
 
 def alerts(spark: SparkSession, args: argparse.Namespace) -> None:
-    readings, stats = expand_readings(_stream(spark, args)), tables.read(spark, args.root, tables.METER_STATS)
-    query = start_alerts(readings, stats, args.root, args.checkpoint, args.margin, args.salts, _trigger(args))
+    records = _stream(spark, args)
+    aside = start_quarantine(records, rejected_records, args.root, f"{args.checkpoint}-rejects", _trigger(args))
+    stats = stored_stats(args.root)
+    query = start_alerts(expand_readings(records), stats, args.root, args.checkpoint, args.margin, args.salts, _trigger(args))
     query.awaitTermination()
+    aside.awaitTermination()
 
 
 def clean_days(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -100,13 +113,12 @@ def _parser() -> argparse.ArgumentParser:
     sub = job("live", live, "root", "checkpoint")
     streaming(sub)
     sub.add_argument("--window", default="1 minute")
-    sub.add_argument("--watermark", default="1 day")
     sub.add_argument("--merge", action="store_true")
 
     sub = job("alerts", alerts, "root", "checkpoint")
     streaming(sub)
     sub.add_argument("--margin", type=float, default=0.0)
-    sub.add_argument("--salts", type=int, default=1)
+    sub.add_argument("--salts", type=int, default=8)
 
     sub = job("clean-days", clean_days, "anchor", "out")
     sub.add_argument("--channels", nargs="+", required=True)

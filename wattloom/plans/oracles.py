@@ -153,6 +153,10 @@ WHERE a.meter_id = '1' AND b.meter_id = '2'""",
         "rt_mains_power": windows,
         "rt_mains_power_stream": windows,
         "rt_mains_power_merge": windows,
+        "rt_record_power_stream": f"""WITH {READINGS}, {PACKED.format(step=3600)}
+SELECT a.ts - a.ts % 600 AS window_start, a.house_id, a.date, a.zip, round(sum(a.power + b.power), 6) AS watts_sum
+FROM packed a JOIN packed b USING (house_id, zip, step_start, record_no)
+WHERE a.meter_id = '1' AND b.meter_id = '2' GROUP BY 1, 2, 3, 4""",
         "rt_batch_power_stream": f"""WITH {READINGS}
 SELECT house_id, date, zip, round(sum(power), 6) AS watts_sum
 FROM readings WHERE layer = 'mains' GROUP BY house_id, date, zip""",
@@ -213,7 +217,11 @@ SELECT zip, primary_city, type FROM zip_table JOIN chosen USING (zip)""",
         "channel_files": f"""WITH {READINGS}
 SELECT house_id, meter_id, ts, CAST(printf('%.2f', power) AS DOUBLE) AS power FROM readings""",
         "clean_day_files": f"WITH {CLEAN} SELECT house_id, day_start FROM clean",
-        "house_files": f"WITH {KNOWN_HOUSES} SELECT house_id, source_house, zip, scale FROM known",
+        "house_files": f"""WITH {KNOWN_HOUSES.split("WHERE")[0]})
+SELECT house_id, source_house, zip, scale FROM known""",
+        "batch_quarantine": """
+SELECT 'timestamp' AS reason, count(*) AS n_records FROM events
+UNION ALL SELECT 'malformed', count(*) FROM documents""",
         "table_upsert": f"""WITH {ENERGY},
 latest AS (SELECT house_id, date, zip, label, kwh FROM label_days WHERE layer = 'mains'),
 earlier AS (

@@ -38,8 +38,17 @@ from wattloom.plans.batch import run_batch
 from wattloom.session import fresh_dir, tune
 from wattloom.sources import files, tables
 from wattloom.sources.events import read_known_houses, read_readings, read_zip_table, stream_readings
-from wattloom.sources.records import read_hourly, write_hourly
-from wattloom.streaming.power import ALERTS, BATCH_POWER, mains_power_windows, start_alerts, start_batch_power, start_mains_power
+from wattloom.sources.quarantine import read_quarantine
+from wattloom.sources.records import read_hourly, stream_values, write_hourly
+from wattloom.streaming.power import (
+    BATCH_POWER,
+    mains_power_windows,
+    read_alerts,
+    start_alerts,
+    start_batch_power,
+    start_mains_power,
+    stored_stats,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -184,15 +193,26 @@ def _finish(query) -> None:
 def q_rt_mains_power_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     mains = only_layer(stream_readings(tune(spark), sf_dir), MAINS)
     root = fresh_dir(spark, "live")
-    _finish(start_mains_power(mains_power_windows(mains, WINDOW), root, f"{root}/checkpoint", trigger=None))
-    return _epoch_windows(tables.read_latest(spark, root, tables.RT_POWER))
+    _finish(start_mains_power(mains, root, f"{root}/checkpoint", WINDOW, trigger=None))
+    return _epoch_windows(tables.read_sums(spark, root, tables.RT_POWER))
+
+
+def q_rt_record_power_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON records in several micro-batches, the first of them folded away."""
+    mains = only_layer(_readings(spark, sf_dir), MAINS)
+    messages = to_messages(pack_readings(mains, HOUR_STEP), "meters_hf", "meters_lf").select("value")
+    root = fresh_dir(spark, "live")
+    messages.repartition(4, "value").write.text(f"{root}/records")
+    values = stream_values(spark, "text", f"{root}/records", maxFilesPerTrigger="1")
+    _finish(start_mains_power(record_mains_power(parse_json(values)), root, f"{root}/checkpoint", WINDOW, trigger=None))
+    tables.fold_log(spark, root, tables.RT_POWER)
+    return _epoch_windows(tables.read_sums(spark, root, tables.RT_POWER))
 
 
 def q_rt_mains_power_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     mains = only_layer(stream_readings(tune(spark), sf_dir), MAINS)
     root = fresh_dir(spark, "live")
-    windows = mains_power_windows(mains, WINDOW)
-    _finish(start_mains_power(windows, root, f"{root}/checkpoint", trigger=None, merge=True))
+    _finish(start_mains_power(mains, root, f"{root}/checkpoint", WINDOW, trigger=None, merge=True))
     return _epoch_windows(tables.read(spark, root, tables.RT_POWER))
 
 
@@ -213,10 +233,9 @@ def q_overshoot_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_overshoot_alerts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_dir(tune(spark), "alerts")
     tables.upsert(meter_p97(read_readings(spark, sf_dir)), root, tables.METER_STATS)
-    stats = tables.read(spark, root, tables.METER_STATS)
     stream = stream_readings(spark, sf_dir)
-    _finish(start_alerts(stream, stats, root, f"{root}/checkpoint", MARGIN, salts=8, trigger=None))
-    return spark.read.parquet(f"{root}/{ALERTS}")
+    _finish(start_alerts(stream, stored_stats(root), root, f"{root}/checkpoint", MARGIN, trigger=None))
+    return read_alerts(spark, root)
 
 
 def _anchor() -> Column:
@@ -298,16 +317,28 @@ def q_clean_day_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_house_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_dir(tune(spark), "houses")
-    files.write_houses(read_known_houses(spark, sf_dir), path)
+    files.write_houses(read_known_houses(spark, sf_dir, segment=None), path)
     return files.read_houses(spark, path)
 
 
+def q_batch_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the batch job sets aside of good messages mixed with JSON of another kind and with prose."""
+    messages = to_messages(pack_readings(_readings(spark, sf_dir)), "meters_hf", "meters_lf").select("value")
+    other = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("props").alias("value"))
+    prose = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("text").alias("value"))
+    root = fresh_dir(spark, "quarantine")
+    run_batch(parse_json(messages.unionByName(other).unionByName(prose)), root)
+    return read_quarantine(spark, root).groupBy("reason").agg(F.count(F.lit(1)).alias("n_records"))
+
+
 def q_table_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A first run that knows one mains meter, replaced by a second that knows both."""
+    """A first run that knows one mains meter; later ones know both, each for half of the houses of every date."""
     mains = only_layer(_readings(spark, sf_dir), MAINS)
     root = fresh_dir(spark, "upsert")
+    whole = daily_energy(mains, MAINS)
     tables.upsert(daily_energy(mains.where(F.col("meter_id") == "1"), MAINS), root, tables.MAINS_ENERGY)
-    tables.upsert(daily_energy(mains, MAINS), root, tables.MAINS_ENERGY)
+    for half in (0, 1):
+        tables.upsert(whole.where(F.col("house_id") % 2 == half), root, tables.MAINS_ENERGY, unique=True)
     return rounded(tables.read(spark, root, tables.MAINS_ENERGY), "kwh")
 
 

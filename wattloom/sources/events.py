@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from wattloom.operators.readings import LAST_MAINS_CHANNEL
 from wattloom.schema import READING_COLUMNS
+from wattloom.sources.folders import Folders
 
 # How the given tables are read as meter data.
 HOUSES = 25
@@ -46,8 +47,10 @@ def read_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_readings(spark: SparkSession, sf_dir: str, **options: str) -> DataFrame:
     """The same as a file stream over the events table."""
-    stream = spark.readStream.schema(EVENT_SCHEMA).options(pathGlobFilter="events.parquet", **options).parquet(sf_dir)
-    return events_as_readings(stream)
+    reader, place = spark.readStream.schema(EVENT_SCHEMA).options(**options), f"{sf_dir}/events.parquet"
+    if Folders(spark).is_folder(place):
+        return events_as_readings(reader.parquet(place))
+    return events_as_readings(reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir))
 
 
 def read_zip_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,9 +63,11 @@ def read_zip_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def read_known_houses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """House dimension with one row per customer of the 'HOUSEHOLD' segment."""
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet").where(F.col("c_mktsegment") == "HOUSEHOLD")
+def read_known_houses(spark: SparkSession, sf_dir: str, segment: str | None = "HOUSEHOLD") -> DataFrame:
+    """House dimension with one row per customer of a segment, or of all of them."""
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    if segment:
+        customer = customer.where(F.col("c_mktsegment") == segment)
     return customer.select(
         F.col("c_custkey").alias("house_id"),
         (F.col("c_nationkey") % 5 + 1).cast("int").alias("source_house"),

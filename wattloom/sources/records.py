@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from wattloom.functions.parsing import parse_seconds
 from wattloom.schema import COMPACT_WITH_CORRUPT, CORRUPT_COLUMN
+from wattloom.sources.folders import Folders
 
 HOUR_COLUMNS = ["year", "month", "day", "hour"]
+# Fixed value: the folder that Spark gives rows without a partition value.
+NO_HOUR = "__HIVE_DEFAULT_PARTITION__"
 
 
 def read_records(spark: SparkSession, *paths: str) -> DataFrame:
@@ -56,17 +59,39 @@ def write_hourly(records: DataFrame, path: str, mode: str = "append") -> None:
     The rebalance puts the rows of an hour together, splits an hour that is too big for one file
     and merges small ones, so that the number of files follows the data and not the tasks.
     """
-    columns = ["timestamp", "houseId", "zip", "readings"]
+    columns = ["timestamp", "houseId", "zip", "readings", *([CORRUPT_COLUMN] if CORRUPT_COLUMN in records.columns else [])]
     partitioned = with_hour(records).select(*columns, *HOUR_COLUMNS).hint("rebalance", *HOUR_COLUMNS)
     partitioned.write.mode(mode).partitionBy(*HOUR_COLUMNS).json(path)
 
 
-def read_hourly(spark: SparkSession, path: str, first_hour: str, last_hour: str) -> DataFrame:
-    """Records from 'yyyy-MM-dd-HH' to 'yyyy-MM-dd-HH', both included; other folders are pruned."""
+def _hour_folders(spark: SparkSession, path: str, first_hour: str, last_hour: str) -> list[str]:
+    """The hour folders of a range, found level by level: only years, months and days of the range are listed."""
+    folders, found = Folders(spark), [(path.rstrip("/"), "")]
+    for column in HOUR_COLUMNS:
+        deeper = []
+        for place, so_far in found:
+            for name in folders.names(place):
+                at = f"{so_far}-{name.split('=')[1]}".lstrip("-") if name.startswith(f"{column}=") else ""
+                if at and first_hour[: len(at)] <= at <= last_hour[: len(at)]:
+                    deeper.append((f"{place}/{name}", at))
+        found = deeper
+    return [place for place, _ in found]
+
+
+def read_hourly(spark: SparkSession, path: str, first_hour: str, last_hour: str, undated: bool = False) -> DataFrame:
+    """Records from 'yyyy-MM-dd-HH' to 'yyyy-MM-dd-HH', both included; other folders are not listed.
+
+    ``undated`` adds the records whose time could not be read; their text is in ``_corrupt_record``.
+    """
     schema = f"{COMPACT_WITH_CORRUPT}, " + ", ".join(f"{c} string" for c in HOUR_COLUMNS)
-    records = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT_COLUMN).json(path)
-    hour = F.concat_ws("-", *HOUR_COLUMNS)
-    return records.where(hour.between(first_hour, last_hour)).withColumn("source_file", F.col("_metadata.file_path"))
+    places = _hour_folders(spark, path, first_hour, last_hour)
+    nowhere = "/".join([path.rstrip("/"), *(f"{c}={NO_HOUR}" for c in HOUR_COLUMNS)])
+    if undated and Folders(spark).exists(nowhere):
+        places.append(nowhere)
+    if not places:
+        return spark.createDataFrame([], f"{schema}, source_file string")
+    reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT_COLUMN).option("basePath", path)
+    return reader.json(places).withColumn("source_file", F.col("_metadata.file_path"))
 
 
 def stream_values(spark: SparkSession, fmt: str = "kafka", path: str | None = None, **options: str) -> DataFrame:

@@ -1,21 +1,29 @@
-"""Serving tables on partitioned Parquet: keyed upsert, append of micro-batches, reads."""
+"""Serving tables on versioned, partitioned Parquet: keyed upsert, append of micro-batches, reads.
+
+A table is a folder with ``data/version=<commit>/<partition>=<value>`` and small manifests that name the
+version of each partition. A commit writes its partitions as a new version and then publishes one
+manifest. Readers take the newest complete manifest, so a commit that dies half-way changes nothing,
+and a reader goes on with the files it has resolved while later commits are published.
+"""
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattloom.schema import struct_of
 from wattloom.session import fresh_dir
+from wattloom.sources.folders import Folders
 
 # Partitions of the meter statistics, which have no date to go by.
 HOUSE_SHARDS = 64
 
-# Up to this many partition values (days or shards) are listed in the filter of an upsert.
-LISTED_PARTITIONS = 4_000
+# Manifests that are kept; what only older ones name is removed.
+KEPT_MANIFESTS = 3
 
 
 @dataclass(frozen=True)
@@ -76,30 +84,74 @@ def table_path(root: str, table: Table) -> str:
     return f"{root.rstrip('/')}/{table.name}"
 
 
-def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+@dataclass(frozen=True)
+class Manifest:
+    """The version of each partition folder, and the micro-batches that are folded into them."""
+
+    number: int
+    partitions: dict[str, str]
+    folded: dict[str, int]
+
+
+_NOTHING = Manifest(-1, {}, {})
+
+
+def _manifests(folders: Folders, path: str) -> list[Manifest]:
+    """All complete manifests, the newest first."""
+    found = []
+    for name in sorted(folders.names(f"{path}/manifests"), reverse=True):
+        try:
+            body = json.loads(folders.read_text(f"{path}/manifests/{name}"))
+            found.append(Manifest(int(name.split(".")[0]), body["partitions"], body["folded"]))
+        except ValueError:  # its writer died
+            continue
+    return found
+
+
+def current(spark: SparkSession, path: str) -> Manifest:
+    return next(iter(_manifests(Folders(spark), path)), _NOTHING)
+
 
+def _publish(spark: SparkSession, path: str, before: Manifest, partitions: dict[str, str], folded: dict[str, int]) -> None:
+    """Make a commit visible; fails if another writer has published since ``before``."""
+    folders = Folders(spark)
+    names = folders.names(f"{path}/manifests")
+    if any(m.number > before.number for m in _manifests(folders, path)):
+        raise RuntimeError(f"{path} was changed by another writer")
+    number = max([before.number, *(int(n.split(".")[0]) for n in names)]) + 1
+    body = json.dumps({"partitions": partitions, "folded": folded})
+    folders.create_text(f"{path}/manifests/{number:012d}.json", body)
+    _expire(folders, path)
 
-def _replace_partitions(rows: DataFrame, table: Table, path: str) -> None:
-    """Replace the partitions that ``rows`` touches, leave the others.
+
+def _expire(folders: Folders, path: str) -> None:
+    """Remove manifests but the newest few, and partition versions that only removed ones name."""
+    found = _manifests(folders, path)
+    kept, gone = found[:KEPT_MANIFESTS], found[KEPT_MANIFESTS:]
+    live = {(name, version) for m in kept for name, version in m.partitions.items()}
+    for manifest in gone:
+        for name, version in manifest.partitions.items():
+            if (name, version) not in live:
+                folders.remove(f"{path}/data/version={version}/{name}")
+        folders.remove(f"{path}/manifests/{manifest.number:012d}.json")
+
+
+def _read_partitions(spark: SparkSession, path: str, table: Table, partitions: dict[str, str]) -> DataFrame:
+    if not partitions:
+        return spark.createDataFrame([], table.schema)
+    paths = [f"{path}/data/version={version}/{name}" for name, version in sorted(partitions.items())]
+    return spark.read.schema(table.schema).option("basePath", f"{path}/data").parquet(*paths).drop("version")
+
+
+def _write_partitions(rows: DataFrame, table: Table, path: str) -> list[str]:
+    """Write ``rows`` by partition and return the names of the folders that came of it.
 
     Range distribution on (partition, order) splits a big partition over several files with
     disjoint key ranges, so a reader of one house or zip skips most of them by their statistics.
     """
     order = [table.partition, *table.order]
-    (
-        rows.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(table.partition)
-        .parquet(path)
-    )
+    rows.repartitionByRange(*order).sortWithinPartitions(*order).write.partitionBy(table.partition).parquet(path)
+    return [name for name in Folders(rows.sparkSession).names(path) if "=" in name]
 
 
 def stage(rows: DataFrame, name: str) -> DataFrame:
@@ -113,83 +165,144 @@ def stage(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def _touched(stored: DataFrame, fresh: DataFrame, partition: str) -> DataFrame:
-    """The stored rows in partitions that ``fresh`` has rows for; other folders are not read."""
-    wanted = fresh.select(partition).distinct()
-    listed = [row[0] for row in wanted.limit(LISTED_PARTITIONS + 1).collect()]
-    if len(listed) <= LISTED_PARTITIONS:
-        return stored.where(F.col(partition).isin(listed))
-    return stored.join(wanted, partition, "left_semi")
-
-
-def upsert(rows: DataFrame, root: str, table: Table) -> None:
+def upsert(rows: DataFrame, root: str, table: Table, unique: bool = False, folded: dict[str, int] | None = None) -> None:
     """Insert ``rows``; a stored row with the same key is replaced.
 
-    Rows of one key inside ``rows`` are settled by the largest value. If the table exists, the new
-    rows are written to the working folder, merged with the stored rows of the touched partitions
-    into a second working table, and only that replaces the partitions. The plan that replaces them
-    thus never reads them, and running the upsert again after a failure gives the same table.
+    Rows of one key inside ``rows`` are settled by the largest values; ``unique=True`` says that there
+    are none, which saves the shuffle. Only the stored partitions that ``rows`` has rows for are read and
+    written anew. Running it again after a failure gives the same table.
     """
     spark = rows.sparkSession
-    path = table_path(root, table)
-    values = table.value_columns
-    settled = (
-        rows.select(*table.all_columns)
-        .groupBy(*table.key)
-        .agg(F.max(F.struct(*values)).alias("v"))
-        .select(*[F.col(f"v.{c}").alias(c) if c in values else F.col(c) for c in table.all_columns])
-    )
-    old = _stored(spark, path, table.schema)
-    if old is None:
-        _replace_partitions(table.with_partition(settled), table, path)
-        return
-    fresh = stage(table.with_partition(settled), f"{table.name}-new")
-    same_days = _touched(old, fresh, table.partition)
-    kept = same_days.join(fresh.select(*table.key), list(table.key), "left_anti")
-    merged = kept.select(*fresh.columns).unionByName(fresh)
-    _replace_partitions(stage(merged, f"{table.name}-merged"), table, path)
+    path, values = table_path(root, table), table.value_columns
+    settled = rows.select(*table.all_columns)
+    if not unique:
+        merged = settled.groupBy(*table.key).agg(F.max(F.struct(*values)).alias("v"))
+        settled = merged.select(*[F.col(f"v.{c}").alias(c) if c in values else F.col(c) for c in table.all_columns])
+    before = current(spark, path)
+    commit = uuid.uuid4().hex
+    if not before.partitions:
+        touched = _write_partitions(table.with_partition(settled), table, f"{path}/data/version={commit}")
+    else:
+        fresh_path = fresh_dir(spark, f"{table.name}-new")
+        named = _write_partitions(table.with_partition(settled), table, fresh_path)
+        if not named:
+            Folders(spark).remove(fresh_path)
+            return
+        fresh = spark.read.schema(table.schema).parquet(fresh_path)
+        old = _read_partitions(spark, path, table, {n: before.partitions[n] for n in named if n in before.partitions})
+        kept = old.select(*fresh.columns).join(fresh.select(*table.key), list(table.key), "left_anti")
+        touched = _write_partitions(kept.unionByName(fresh), table, f"{path}/data/version={commit}")
+        Folders(spark).remove(fresh_path)
+    partitions = {**before.partitions, **dict.fromkeys(touched, commit)}
+    _publish(spark, path, before, partitions, before.folded if folded is None else folded)
 
 
 def overwrite(rows: DataFrame, root: str, table: Table) -> None:
     """Replace whole partitions, for a run that covers them completely."""
-    staged = stage(table.with_partition(rows.select(*table.all_columns)), f"{table.name}-new")
-    _replace_partitions(staged, table, table_path(root, table))
+    spark, path, commit = rows.sparkSession, table_path(root, table), uuid.uuid4().hex
+    before = current(spark, path)
+    written = _write_partitions(table.with_partition(rows.select(*table.all_columns)), table, f"{path}/data/version={commit}")
+    _publish(spark, path, before, {**before.partitions, **dict.fromkeys(written, commit)}, before.folded)
 
 
-def append_batch(rows: DataFrame, root: str, table: Table, batch_id: int) -> None:
-    """Add the rows of one micro-batch as their own (date, batch_id) folders.
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The name of the run that a streaming checkpoint stands for, kept in a file beside it.
+
+    A new checkpoint starts counting batches from 0 again; its run keeps them apart from earlier ones. Names
+    sort by the time of the first start.
+    """
+    folders, place = Folders(spark), f"{checkpoint.rstrip('/')}.run"
+    if not folders.exists(place):
+        stamp = spark.sql("SELECT date_format(now(), 'yyyyMMddHHmmssSSS')").first()[0]
+        folders.create_text(place, f"{stamp}-{uuid.uuid4().hex[:8]}")
+    return folders.read_text(place)
+
+
+def append_batch(rows: DataFrame, root: str, table: Table, batch_id: int, run: str = "0") -> None:
+    """Add the rows of one micro-batch as their own (run, batch_id, date) folders.
 
     A batch that is run again replaces its own folders, so nothing is counted twice. The rebalance
     keeps a small batch from leaving one small file per task and date.
     """
     (
-        rows.select(*table.all_columns, F.lit(batch_id).cast("bigint").alias("batch_id"))
+        table.with_partition(rows.select(*table.all_columns))
         .hint("rebalance", table.partition)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(table.partition, "batch_id")
-        .parquet(table_path(root, table) + "_log")
+        .partitionBy(table.partition)
+        .parquet(f"{table_path(root, table)}_log/run={run}/batch_id={batch_id}")
     )
 
 
 def read_log(spark: SparkSession, root: str, table: Table) -> DataFrame:
-    """Every row that micro-batches appended, with its ``batch_id``."""
-    return spark.read.schema(f"{table.schema}, batch_id bigint").parquet(table_path(root, table) + "_log")
+    """Every row that micro-batches appended and that is not folded yet, with its ``run`` and ``batch_id``."""
+    path, folders = f"{table_path(root, table)}_log", Folders(spark)
+    schema = f"{table.schema}, run string, batch_id bigint"
+    folded = current(spark, table_path(root, table)).folded
+    batches = [
+        f"{path}/{run}/{batch}"
+        for run in folders.names(path)
+        for batch in folders.names(f"{path}/{run}")
+        if batch.startswith("batch_id=") and int(batch.split("=")[1]) > folded.get(run.split("=")[1], -1)
+    ]
+    if not batches:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*batches)
 
 
 def read_latest(spark: SparkSession, root: str, table: Table) -> DataFrame:
-    """The last appended value of each key."""
+    """The last appended value of each key: that of the last batch of the last run."""
     values = table.value_columns
     latest = (
         read_log(spark, root, table)
         .groupBy(*table.key)
-        .agg(F.max(F.struct("batch_id", *values)).alias("v"))
+        .agg(F.max(F.struct("run", "batch_id", *values)).alias("v"))
     )
     return latest.select(*[F.col(f"v.{c}").alias(c) if c in values else F.col(c) for c in table.all_columns])
 
 
+def _summed(rows: DataFrame, table: Table) -> DataFrame:
+    sums = [F.sum(c).alias(c) for c in table.value_columns]
+    return rows.groupBy(*table.key).agg(*sums).select(*table.all_columns)
+
+
+def read_sums(spark: SparkSession, root: str, table: Table) -> DataFrame:
+    """The sum of each key over the folded table and all batches appended since."""
+    log = read_log(spark, root, table).select(*table.all_columns)
+    return _summed(read(spark, root, table).unionByName(log), table)
+
+
+def fold_log(spark: SparkSession, root: str, table: Table, through: dict[str, int] | None = None) -> None:
+    """Add appended batches into the keyed table and take them off the log.
+
+    ``through`` names the last complete batch of each run. Without it the last batch of each run is left,
+    since it may still be written. The sums and the fact that batches are folded are published by one
+    manifest; batches are removed afterwards.
+    """
+    path = table_path(root, table)
+    before = current(spark, path)
+    log = read_log(spark, root, table)
+    if through is None:
+        last = log.groupBy("run").agg(F.max("batch_id").alias("b")).collect()  # a row for each run
+        through = {r["run"]: r["b"] - 1 for r in last}
+    done = F.lit(False)
+    for run, batch_id in through.items():
+        done = done | ((F.col("run") == run) & (F.col("batch_id") <= batch_id))
+    fresh = log.where(done).select(*table.all_columns)
+    days = fresh.select(table.partition).distinct()
+    stored = read(spark, root, table).join(days, table.partition, "left_semi")
+    folded = {**before.folded, **{r: max(b, before.folded.get(r, -1)) for r, b in through.items()}}
+    upsert(stage(_summed(stored.unionByName(fresh), table), f"{table.name}-sums"), root, table, unique=True, folded=folded)
+    folders = Folders(spark)
+    for run, batch_id in through.items():
+        for name in folders.names(f"{path}_log/run={run}"):
+            if name.startswith("batch_id=") and int(name.split("=")[1]) <= batch_id:
+                folders.remove(f"{path}_log/run={run}/{name}")
+
+
 def read(spark: SparkSession, root: str, table: Table) -> DataFrame:
-    return spark.read.schema(table.schema).parquet(table_path(root, table)).select(*table.all_columns)
+    """The table as of now; one that was never written has no rows."""
+    path = table_path(root, table)
+    return _read_partitions(spark, path, table, current(spark, path).partitions).select(*table.all_columns)
 
 
 def export(rows: DataFrame, table: Table, fmt: str, mode: str = "append", **options: str) -> None:
