@@ -23,64 +23,112 @@ from wattloom.sources.tables import stage
 
 # Labelled documents that the classifier is fitted on: the first by a hash of their identifiers.
 LABELLED = 20_000
-# Words are counted by hash in so many cells, which bounds the model.
+# Words are counted by hash in so many cells, once for each document, which bounds the model.
 CELLS = 1 << 16
-# Pseudo-counts of a cell, shared over the cells by their frequency in all domains.
-SMOOTHING = 200.0
-# Log-likelihoods are sums over words that are far from independent; held-out rows choose their weight.
-WEIGHTS = (0.01, 0.02, 0.05, 0.1, 0.2, 0.5, 1.0)
+# Cells that the model uses: those with the clearest differences between domains.
+FEATURES = 1_000
+# Standard deviations from chance beyond which a difference is clear.
+SURE = 4.0
+# Steps of the fit, their size, and the penalty on squared weights.
+FIT_STEPS, FIT_SIZE, PENALTY = 200, 0.1, 1e-4
 
 MAX_STEPS, TOLERANCE = 60, 1e-4
 
-_CELLS = "domain int, held boolean, cell int, n bigint"
+_CELLS = "domain int, cell int, n bigint"
+_CHOSEN = "domain int, held boolean, cells array<int>"
 
 
-def _cells(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The cell of each word, A-Z lower-cased and without punctuation at its ends, and where each text's begin."""
+def _cells(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each cell of each text once, the text that it is of, and the number of words of each text.
+
+    A word, A-Z lower-cased and without punctuation at its ends, has a cell; so has what is left of it
+    without letters, such as a run of symbols or digits.
+    """
     words, starts = split_words(pc.ascii_lower(filled(texts)))
     names, codes = coded(words)
-    names = pc.utf8_trim(names, ".,;:!?\"'()")
-    hashed = np.array([xxhash.xxh3_64_intdigest(w) % CELLS for w in names.cast(pa.large_binary()).to_pylist()], np.int32)
-    return (hashed[codes] if len(codes) else np.empty(0, np.int32)), starts
+    shapes = pc.replace_substring_regex(names, r"[a-z\x{80}-\x{10FFFF}]+", "").cast(pa.large_binary()).to_pylist()
+    names = pc.utf8_trim(names, ".,;:!?\"'()").cast(pa.large_binary()).to_pylist()
+    sizes = np.diff(starts)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    keys = []
+    for strings, seed in ((names, 0), (shapes, 1)):
+        hashed = np.array([xxhash.xxh3_64_intdigest(x, seed) % CELLS if x else -1 for x in strings], np.int64)
+        cells = hashed[codes] if len(codes) else np.empty(0, np.int64)
+        keys.append((owner * CELLS + cells)[cells >= 0])
+    both = np.unique(np.concatenate(keys))
+    return both % CELLS, both // CELLS, sizes
 
 
 def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in blocks(batches, 0):
-        cells, starts = _cells(batch.column(0))
-        sizes = np.diff(starts)
-        domain = np.repeat(batch.column(1).to_numpy(), sizes).astype(np.int64)
-        held = np.repeat(batch.column(2).to_numpy(zero_copy_only=False), sizes).astype(np.int64)
-        keys, counts = np.unique((domain * 2 + held) * CELLS + cells, return_counts=True)
+        cells, owner, _ = _cells(batch.column(0))
+        domain = batch.column(1).to_numpy()[owner].astype(np.int64)
+        keys, counts = np.unique(domain * CELLS + cells, return_counts=True)
         if len(keys):
-            side = keys // CELLS
             yield pa.RecordBatch.from_arrays(
-                [pa.array(side // 2, pa.int32()), pa.array(side % 2 == 1), pa.array(keys % CELLS, pa.int32()), pa.array(counts)],
-                names=["domain", "held", "cell", "n"],
+                [pa.array(keys // CELLS, pa.int32()), pa.array(keys % CELLS, pa.int32()), pa.array(counts)],
+                names=["domain", "cell", "n"],
             )
 
 
-@dataclass(frozen=True)
-class DomainModel:
-    """Class scores: a prior and a log-ratio of each cell for each domain, and the weight of the evidence."""
+def _choose(features: np.ndarray):
+    """The cells of each labelled text that are among the features, by their place there."""
 
-    prior: np.ndarray
-    ratios: np.ndarray
-    weight: float
+    def choose(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = np.full(CELLS, -1, np.int32)
+        place[features] = np.arange(len(features), dtype=np.int32)
+        for batch in blocks(batches, 0):
+            cells, owner, sizes = _cells(batch.column(0))
+            cells, owner = place[cells], owner[place[cells] >= 0]
+            offsets = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(sizes)))]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(cells[cells >= 0]))
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), lists], names=["domain", "held", "cells"])
+
+    return choose
 
-    def scores(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Sums of log-ratios per text and domain, and the number of words."""
-        cells, starts = _cells(texts)
-        sums = []
-        for ratio in self.ratios:
-            ends = np.concatenate([[0.0], np.cumsum(ratio[cells], dtype=np.float64)])
-            sums.append(np.diff(ends[starts]))
-        return np.array(sums).T.reshape(-1, len(self.prior)), np.diff(starts)
 
-    def posteriors(self, sums: np.ndarray, weight: float | None = None) -> np.ndarray:
-        logits = np.log(self.prior) + sums * (self.weight if weight is None else weight)
-        logits -= logits.max(axis=1, keepdims=True)
-        p = np.exp(logits)
-        return p / p.sum(axis=1, keepdims=True)
+def _softmax(logits: np.ndarray) -> np.ndarray:
+    p = np.exp(logits - logits.max(axis=1, keepdims=True))
+    return p / p.sum(axis=1, keepdims=True)
+
+
+@dataclass(frozen=True)
+class DomainModel:
+    """Softmax regression on the presence of cells: a bias and a weight of each cell for each domain."""
+
+    bias: np.ndarray
+    weights: np.ndarray
+
+    def posteriors(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The posterior of each text over the domains, and its number of words."""
+        cells, owner, sizes = _cells(texts)
+        sums = [np.bincount(owner, weights=w[cells], minlength=len(sizes)) for w in self.weights]
+        return _softmax(np.array(sums).T.reshape(-1, len(self.bias)) + self.bias), sizes
+
+
+def _regression(cells: np.ndarray, owner: np.ndarray, domain: np.ndarray, held: np.ndarray, n_features: int, n_domains: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bias and weights by gradient steps with momentum and a scale of their own for each weight; of all steps the best on held-out rows."""
+    n, train = len(domain), (~held).astype(float)
+    right = np.eye(n_domains)[domain]
+    theta = np.zeros((n_features + 1, n_domains))
+    theta[-1] = np.log((right[~held].sum(axis=0) + 1) / (max(train.sum(), 1) + n_domains))
+    first, second = np.zeros_like(theta), np.zeros_like(theta)
+    best, chosen = np.inf, theta
+    check = held if held.any() else ~held
+    for step in range(1, FIT_STEPS + 1):
+        logits = np.stack([np.bincount(owner, weights=theta[cells, k], minlength=n) for k in range(n_domains)], axis=1) + theta[-1]
+        p = _softmax(logits)
+        loss = -np.log(p[check, domain[check]] + 1e-12).mean()
+        if loss < best:
+            best, chosen = loss, theta.copy()
+        slope = (p - right) * train[:, None] / max(train.sum(), 1)
+        gradient = np.empty_like(theta)
+        for k in range(n_domains):
+            gradient[:-1, k] = np.bincount(cells, weights=slope[owner, k], minlength=n_features) + PENALTY * theta[:-1, k]
+        gradient[-1] = slope.sum(axis=0)
+        first, second = 0.9 * first + 0.1 * gradient, 0.99 * second + 0.01 * gradient**2
+        theta = theta - FIT_SIZE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-6)
+    return chosen[-1], chosen[:-1].T
 
 
 def fit_domains(
@@ -89,8 +137,9 @@ def fit_domains(
     """A word model from at most ``sample`` labelled rows of ``docs`` (doc_id, text).
 
     ``domain`` is a number from 0 over ``labels``, null where a row belongs to none. A document with several labels
-    has the largest. A fifth of the sample is held out to choose the weight of the evidence. Without labels
-    every posterior is uniform.
+    has the largest. Cells are chosen from counts over the sample; the driver gets the chosen cells
+    of the sample's documents, at most ``sample`` rows of ``FEATURES`` numbers, and fits. A fifth of the
+    sample is held out to choose when to stop. Without labels every posterior is uniform.
     """
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), domain.cast("int").alias("domain")).where("doc_id IS NOT NULL AND domain IS NOT NULL")
     chosen = known.groupBy("doc_id").agg(F.max("domain").alias("domain")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
@@ -99,31 +148,27 @@ def fit_domains(
     few = F.broadcast(stage(chosen.withColumn("held", held), "domain-sample"))
     labelled = stage(docs.join(few, "doc_id").select("text", "domain", "held"), "labelled-texts")
 
-    counted = labelled.mapInArrow(_count, _CELLS).where("NOT held").groupBy("domain", "cell").agg(F.sum("n").alias("n"))
+    counted = labelled.where("NOT held").select("text", "domain").mapInArrow(_count, _CELLS).groupBy("domain", "cell").agg(F.sum("n").alias("n"))
     found = counted.toArrow()  # at most a row for each domain and cell
     table = np.zeros((n_domains, CELLS))
     table[found["domain"].to_numpy(), found["cell"].to_numpy()] = found["n"].to_numpy()
     members = np.zeros(n_domains)
     for row in labelled.where("NOT held").groupBy("domain").count().collect():
         members[row["domain"]] = row["count"]
-    overall = (table.sum(axis=0) + 1) / (table.sum() + CELLS)
-    mixed = table + SMOOTHING * overall
-    ratios = np.log(mixed / mixed.sum(axis=1, keepdims=True) / overall).astype(np.float32)
-    model = DomainModel((members + 1) / (members.sum() + n_domains), ratios, WEIGHTS[0])
-
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-
-    def losses(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in blocks(batches, 0):
-            sums, _ = sent.value.scores(batch.column(0))
-            right = batch.column(1).to_numpy()
-            for at, weight in enumerate(WEIGHTS):
-                p = sent.value.posteriors(sums, weight)[np.arange(len(right)), right]
-                yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([float(-np.log(p + 1e-12).sum())])], names=["at", "loss"])
-
-    by_weight = labelled.where("held").mapInArrow(losses, "at int, loss double").groupBy("at").agg(F.sum("loss").alias("loss")).collect()
-    best = min(by_weight, key=lambda r: (r["loss"], r["at"]))["at"] if by_weight else 0
-    return DomainModel(model.prior, model.ratios, WEIGHTS[best])
+    chance = table.sum(axis=0) * (members / max(members.sum(), 1))[:, None]
+    clear = (np.abs(table - chance) / np.sqrt(chance + 1)).max(axis=0)
+    features = np.sort(np.argsort(-clear, kind="stable")[:FEATURES])
+    features = features[clear[features] > SURE]
+
+    rows = labelled.mapInArrow(_choose(features), _CHOSEN).toArrow()
+    lists = rows["cells"].combine_chunks()
+    sizes = np.diff(lists.offsets.to_numpy())
+    owner = np.repeat(np.arange(len(lists)), sizes)
+    # Rows may come in any order, which moves the last bits of a sum; rounding keeps the model repeatable.
+    bias, weights = _regression(lists.flatten().to_numpy(), owner, rows["domain"].to_numpy(), rows["held"].to_numpy(), len(features), n_domains)
+    full = np.zeros((n_domains, CELLS), np.float32)
+    full[:, features] = np.round(weights, 4)
+    return DomainModel(np.round(bias, 4), full)
 
 
 def predict_domains(docs: DataFrame, model: DomainModel, names: Sequence[str]) -> DataFrame:
@@ -133,8 +178,7 @@ def predict_domains(docs: DataFrame, model: DomainModel, names: Sequence[str]) -
 
     def predict(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, 1):
-            sums, sizes = sent.value.scores(batch.column(1))
-            p = sent.value.posteriors(sums)
+            p, sizes = sent.value.posteriors(batch.column(1))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int64()), pa.array(sizes), *(pa.array(p[:, k]) for k in range(len(names)))], names=columns
             )
