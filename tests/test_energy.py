@@ -10,7 +10,6 @@ from wattloom.operators.energy import (
     daily_energy,
     geo_energy,
     label_day_energy,
-    largest_meter_day,
     meter_day_energy,
 )
 
@@ -108,8 +107,3 @@ reading = st.tuples(
 @given(st.lists(reading, min_size=1, max_size=40))
 def test_energy_is_the_riemann_sum_in_any_order(readings_of, rows):
     assert energy_of(readings_of(*rows)) == energy_of(readings_of(*rows), collapse=False) == riemann(rows)
-
-
-def test_largest_meter_day(readings_of):
-    frame = readings_of(*[(1, "1", DAY + s, "m", 1) for s in (1, 1, 2)], (1, "1", DAY + 86400, "m", 1), (2, "1", DAY, "m", 1))
-    assert rows_of(largest_meter_day(frame)) == [(3,)]

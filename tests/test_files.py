@@ -74,8 +74,22 @@ def test_hourly_round_trip_prunes_folders(spark, tmp_path):
     records.write_hourly(records.read_records(spark, f"{tmp_path}/in.json"), f"{tmp_path}/hourly")
     found = records.read_hourly(spark, f"{tmp_path}/hourly", "1970-01-01-01", "1970-01-01-02")
     assert rows_of(found, "timestamp") == [("3600",), ("7200",)]
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [(concat_ws" in plan
+    # No other folder is so much as listed.
+    folders = records._hour_folders(spark, f"{tmp_path}/hourly", "1970-01-01-01", "1970-01-01-02")
+    assert [f.rsplit("/", 1)[1] for f in folders] == ["hour=01", "hour=02"]
+    assert len(found.inputFiles()) == 2
+    assert records.read_hourly(spark, f"{tmp_path}/hourly", "1980-01-01-01", "1980-01-01-02").count() == 0
+
+
+def test_undated_records_can_be_read(spark, tmp_path):
+    put(tmp_path / "in.json", LINE % 0 + "{broken\n")
+    records.write_hourly(records.read_records(spark, f"{tmp_path}/in.json"), f"{tmp_path}/hourly")
+    hours = ("1970-01-01-00", "1970-01-01-05")
+    assert records.read_hourly(spark, f"{tmp_path}/hourly", *hours).count() == 1
+    both = records.read_hourly(spark, f"{tmp_path}/hourly", *hours, undated=True)
+    assert rows_of(both, "timestamp", "hour") == [(None, None), ("0", "00")]
+    kept = [p.read_text() for p in (tmp_path / "hourly").rglob("*") if "HIVE_DEFAULT" in str(p) and p.suffix == ".json"]
+    assert len(kept) == 1 and "{broken" in kept[0]
 
 
 def test_malformed_line_keeps_its_text(spark, tmp_path):

@@ -12,6 +12,7 @@ from wattloom.operators.energy import label_day_energy, meter_day_energy
 from wattloom.operators.readings import expand_readings, pack_readings, parse_json, to_messages
 from wattloom.operators.share import appliance_share
 from wattloom.operators.stats import meter_p97
+from wattloom.plans import batch
 from wattloom.plans.batch import run_batch
 from wattloom.plans.oracles import all_oracles as oracle_sql
 from wattloom.plans.prep import clean_days_of, replay_records
@@ -112,14 +113,18 @@ def test_batch_job_sets_rejects_aside(spark, tmp_path):
     assert tables.read(spark, str(tmp_path), tables.MAINS_ENERGY).count() == 1
 
 
-def test_batch_job_leaves_no_working_folders(spark, tmp_path):
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path / "work"))
-    try:
-        for _ in range(2):
-            run_batch(pack_readings(random_readings(spark, 200)), str(tmp_path / "tables"))
-        assert not [p for p in (tmp_path / "work").glob("*")]
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+def test_batch_job_leaves_no_working_folders(spark, tmp_path, monkeypatch):
+    made = []
+
+    def fresh(session, name):
+        made.append(tmp_path / f"work-{len(made)}-{name}")
+        return str(made[-1])
+
+    for module in (batch, tables):
+        monkeypatch.setattr(module, "fresh_dir", fresh)
+    for _ in range(2):
+        run_batch(pack_readings(random_readings(spark, 200)), str(tmp_path / "tables"))
+    assert len(made) == 9 and not any(path.exists() for path in made)
 
 
 def test_prep_job(spark):
