@@ -57,7 +57,7 @@ def test_no_python_and_no_cross_join_in_plans(spark, name):
 
 @pytest.mark.parametrize("name, exchanges", [
     ("geo_energy", 4), ("meter_day_energy", 2), ("appliance_share", 4), ("meter_p97", 1), ("channel_counts", 1),
-    ("pack_readings", 3), ("rt_mains_power", 1), ("layer_split", 0),
+    ("pack_readings", 3), ("pack_readings_unique", 2), ("rt_mains_power", 1), ("layer_split", 0),
     # Small stored lists are broadcast; the readings stay where they are.
     ("overshoot_alerts", 0), ("label_lookup", 0), ("clean_day_readings", 0), ("replicate_days", 2),
 ])

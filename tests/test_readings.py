@@ -1,3 +1,5 @@
+import pytest
+
 import json
 
 from tests.conftest import rows_of
@@ -148,3 +150,10 @@ def test_messages_are_routed_by_layer(readings_of):
         "timestamp": str(TS), "zip": "00001", "houseId": 7,
         "readings": [{"meterId": "3", "power": "2.0", "label": "oven"}],
     }
+
+
+def test_a_second_reading_of_a_meter_fails_the_short_way(spark, readings_of):
+    frame = readings_of((1, "3", 5, "x", 1), (1, "3", 5, "x", 2))
+    with pytest.raises(Exception, match="two readings in one step"):
+        R.pack_readings(frame, one_per_meter=True).collect()
+    assert R.pack_readings(frame).count() == 2

@@ -130,7 +130,7 @@ def pack_readings(readings: DataFrame, step: int = 1, one_per_meter: bool = Fals
     Equal readings are counted before the shuffle and numbered by a running sum, so a pile of
     copies crosses the network once; its records are then built block by block, each block in a
     task of its own. ``one_per_meter=True`` skips all that, for readings known to have one row per
-    meter and step, and needs a single shuffle.
+    meter and step, and needs a single shuffle; a second reading fails the job.
     """
     unit = ["house_id", "zip", "layer", "step_start"]
     stepped = with_layer(readings).withColumn("step_start", bucket_floor(F.col("ts"), step))
@@ -140,8 +140,13 @@ def pack_readings(readings: DataFrame, step: int = 1, one_per_meter: bool = Fals
         numbered, record = _numbered(stepped, unit), [*unit, "block"]
     entry = F.struct(F.col("meter_id").try_cast("int").alias("channel"), "meter_id", "power", "label", "ts")
     packed = numbered.groupBy(*record, "record_no").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
+    timestamp = F.get("entries", F.lit(0))["ts"].cast("string")
+    if one_per_meter:
+        meters = F.transform("entries", lambda e: e["meter_id"])
+        repeated = F.size(F.array_distinct(meters)) < F.size(meters)
+        timestamp = F.when(repeated, F.raise_error(F.lit("a meter has two readings in one step"))).otherwise(timestamp)
     return packed.select(
-        F.get("entries", F.lit(0))["ts"].cast("string").alias("timestamp"),
+        timestamp.alias("timestamp"),
         F.col("house_id").alias("houseId"),
         "zip",
         F.transform(

@@ -124,6 +124,11 @@ SELECT ts, date, strftime(to_timestamp(ts) AT TIME ZONE 'UTC', '%m/%d/%y') AS sh
 SELECT CAST(ts AS VARCHAR) AS timestamp, house_id, zip, layer, record_no,
        string_agg(meter_id || ':' || CAST(power AS VARCHAR) || ':' || label, ',' ORDER BY meter_id) AS payload
 FROM packed GROUP BY ts, house_id, zip, layer, record_no""",
+        "pack_readings_unique": f"""WITH {READINGS},
+best AS (SELECT house_id, zip, layer, meter_id, ts, max(struct_pack(p := power, l := label)) AS b FROM readings GROUP BY ALL)
+SELECT CAST(ts AS VARCHAR) AS timestamp, house_id, zip, layer,
+       string_agg(meter_id || ':' || CAST(b.p AS VARCHAR) || ':' || b.l, ',' ORDER BY meter_id) AS payload
+FROM best GROUP BY ts, house_id, zip, layer""",
         "expand_readings": flat_readings,
         "json_ingest": f"WITH {READINGS} SELECT house_id, ts, zip, label, meter_id, power FROM readings",
         "json_quarantine": f"""WITH {READINGS}, {PACKED.format(step=1)},
@@ -217,6 +222,9 @@ SELECT zip, primary_city, type FROM zip_table JOIN chosen USING (zip)""",
         "channel_files": f"""WITH {READINGS}
 SELECT house_id, meter_id, ts, CAST(printf('%.2f', power) AS DOUBLE) AS power FROM readings""",
         "clean_day_files": f"WITH {CLEAN} SELECT house_id, day_start FROM clean",
+        "label_files": f"""WITH {READINGS}
+SELECT CAST(house_id AS INTEGER) AS source_house, meter_id, min(label) AS label FROM readings GROUP BY house_id, meter_id""",
+        "zip_files": f"WITH {ZIP_TABLE} SELECT zip, primary_city, type FROM zip_table",
         "house_files": f"""WITH {KNOWN_HOUSES.split("WHERE")[0]})
 SELECT house_id, source_house, zip, scale FROM known""",
         "batch_quarantine": """

@@ -35,6 +35,7 @@ from wattloom.operators.replicate import replicate_days
 from wattloom.operators.share import appliance_share, appliance_share_joined
 from wattloom.operators.stats import meter_p97
 from wattloom.plans.batch import run_batch
+from wattloom.schema import ZIP_COLUMNS
 from wattloom.session import fresh_dir, tune
 from wattloom.sources import files, tables
 from wattloom.sources.events import read_known_houses, read_readings, read_zip_table, stream_readings
@@ -106,6 +107,16 @@ def q_pack_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_pack_readings_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strongest reading of each meter and second, packed with a single shuffle after that."""
+    unit = ["house_id", "zip", "meter_id", "ts"]
+    best = _readings(spark, sf_dir).groupBy(*unit).agg(F.max(F.struct("power", "label")).alias("best"))
+    flat = best.select(*unit, "best.power", "best.label", ts_to_date(F.col("ts")).alias("date"))
+    payload = F.transform("readings", lambda r: F.concat_ws(":", r["meterId"], r["power"], r["label"]))
+    packed = pack_readings(flat, one_per_meter=True)
+    return packed.select("timestamp", F.col("houseId").alias("house_id"), "zip", "layer", F.array_join(payload, ",").alias("payload"))
+
+
 def q_expand_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expand_readings(pack_readings(_readings(spark, sf_dir)))
 
@@ -315,6 +326,21 @@ def q_clean_day_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_clean_days(spark, path)
 
 
+def q_label_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_dir(tune(spark), "labels")
+    labels = _readings(spark, sf_dir).groupBy("house_id", "meter_id").agg(F.min("label").alias("label"))
+    files.write_labels(labels, path)
+    return files.read_labels(spark, path)
+
+
+def q_zip_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_dir(tune(spark), "zips")
+    known = read_zip_table(spark, sf_dir)
+    columns = [F.col(n) if n in known.columns else F.lit(None).cast(kind).alias(n) for n, kind in ZIP_COLUMNS[1:]]
+    files.write_zips(known.select(*columns), path)
+    return files.read_zips(spark, path, indexed=False).select("zip", "primary_city", "type")
+
+
 def q_house_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_dir(tune(spark), "houses")
     files.write_houses(read_known_houses(spark, sf_dir, segment=None), path)

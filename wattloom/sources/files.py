@@ -86,6 +86,11 @@ def write_clean_days(days: DataFrame, path: str) -> None:
     _write_lines(ordered, path, ["house_id"], [F.col("day_start").cast("string")])
 
 
+def write_labels(labels: DataFrame, path: str) -> None:
+    """``meter label`` lines of (house_id, meter_id, label) below house_id= folders."""
+    _write_lines(labels.repartition("house_id").sortWithinPartitions("house_id", "meter_id"), path, ["house_id"], ["meter_id", "label"])
+
+
 def write_houses(houses: DataFrame, path: str) -> None:
     """``house source zip scale`` lines."""
     columns = [F.col(c).cast("string") for c in ("house_id", "source_house", "zip", "scale")]
