@@ -61,7 +61,8 @@ def test_odd_rows_pass(spark):
     for name, function in corpus_pipeline.STAGES[:-1]:
         docs = stage(function(spark, docs, SF), name)
         assert docs.schema.simpleString() == spark.createDataFrame([], schema).schema.simpleString()
-    assert sorted(r.doc_id or 0 for r in docs.collect())[:1] == [0]
+        if name == "near_dedup":  # no word, no quality; a row without an identifier is compared with nothing
+            assert sorted((r.doc_id or 0, r.kept or "") for r in docs.collect()) == [(0, "a"), (2, ""), (2, "")]
     empty = docs.limit(0)
     for _, function in corpus_pipeline.STAGES:
         empty = stage(function(spark, empty, SF), "empty")
