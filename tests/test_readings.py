@@ -1,7 +1,7 @@
-import pytest
-
 import json
 
+import pytest
+
 from tests.conftest import rows_of
 from wattloom.functions.days import day_floor, day_index, parse_anchor, ts_to_date, SHORT_DATE_FORMAT
 from wattloom.functions.parsing import parse_power, parse_seconds
