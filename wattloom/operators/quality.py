@@ -15,6 +15,10 @@ CHANNEL = ("house_id", "meter_id")
 MAX_GAP = 1000
 
 
+# Seconds of a day that day_quality combines into one row.
+QUALITY_SLICE = 3_600
+
+
 def channel_counts(readings: DataFrame, keys: Sequence[str] = CHANNEL) -> DataFrame:
     """Number of readings per channel."""
     return readings.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_readings"))
@@ -62,22 +66,37 @@ def gap_detect(
 
 
 def day_quality(readings: DataFrame, keys: Sequence[str] = CHANNEL, anchor: Column | int = 0) -> DataFrame:
-    """First and last second, exact longest gap and number of readings of each channel and day."""
+    """First and last second, exact longest gap and number of readings of each channel and day.
+
+    The longest gap lies inside an hour or between two hours. An hour is combined to its distinct
+    seconds, 3,600 at most, before the only shuffle of readings; a busy day is spread over its hours.
+    """
     start = _as_column(anchor)
-    seconds = (
+    slices = (
         readings.where(F.col("ts") >= start)
         .withColumn("day_start", bucket_floor(F.col("ts"), DAY, start))
-        .groupBy(*keys, "day_start", "ts")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("slice", F.floor((F.col("ts") - F.col("day_start")) / F.lit(QUALITY_SLICE)))
+        .groupBy(*keys, "day_start", "slice")
+        .agg(F.sort_array(F.collect_set("ts")).alias("seconds"), F.count(F.lit(1)).alias("n"))
+    )
+    later = F.slice("seconds", F.lit(2), F.size("seconds"))
+    steps = F.zip_with(later, "seconds", lambda b, a: b - a)  # the last second has no later one: null
+    ends = slices.select(
+        *keys,
+        "day_start",
+        "slice",
+        "n",
+        F.get("seconds", F.lit(0)).alias("first_ts"),
+        F.element_at("seconds", -1).alias("last_ts"),
+        F.array_max(steps).alias("inner_gap"),
     )
-    in_day = Window.partitionBy(*keys, "day_start").orderBy("ts")
     return (
-        seconds.withColumn("gap", F.col("ts") - F.lag("ts").over(in_day))
+        _with_gap(ends, keys)
         .groupBy(*keys, "day_start")
         .agg(
-            F.min("ts").alias("first_ts"),
-            F.max("ts").alias("last_ts"),
-            F.coalesce(F.max("gap"), F.lit(0).cast("bigint")).alias("max_gap"),
+            F.min("first_ts").alias("first_ts"),
+            F.max("last_ts").alias("last_ts"),
+            F.coalesce(F.greatest(F.max("gap"), F.max("inner_gap")), F.lit(0).cast("bigint")).alias("max_gap"),
             F.sum("n").alias("n_readings"),
         )
     )
