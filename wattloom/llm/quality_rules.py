@@ -164,6 +164,11 @@ def _gain(bad: int, good: int, bad_now: int, good_now: int) -> float:
     return bad_now * (math.log2(bad_now / (bad_now + good_now)) - math.log2(bad / (bad + good)))
 
 
+def _bin(cuts: list[float], value: Column) -> Column:
+    """How many of the cuts lie below the value."""
+    return F.size(F.filter(F.array(*map(F.lit, cuts)).cast("array<double>"), lambda cut: cut < value))
+
+
 def _in_bins(rule: list[tuple[int, bool, int]]) -> Column:
     return reduce(
         Column.__and__,
@@ -232,10 +237,7 @@ def learn(docs: DataFrame, labels: DataFrame, bad: Column, sample: int = LABELLE
     cuts = [sorted(set(x or [])) for x in found]
     if not any(cuts):
         return DecisionList(())
-    bin_of = [
-        F.size(F.filter(F.array(*map(F.lit, c)).cast("array<double>"), lambda t, i=i: t < F.get("values", F.lit(i))))
-        for i, c in enumerate(cuts)
-    ]
+    bin_of = [_bin(c, F.get("values", F.lit(i))) for i, c in enumerate(cuts)]
     rows = stage(values.select("bad", F.array(*bin_of).alias("bins"), (F.pmod(F.xxhash64("label_id"), F.lit(3)) == 0).alias("held")), "labelled-bins")
 
     rules: list[list[tuple[int, bool, int]]] = []
