@@ -49,6 +49,17 @@ def test_null_ids_and_repeated_rows(spark):
     assert sorted((r.doc_id is None, r.n_tokens) for r in run(spark, rows)) == [(False, 2), (False, 2), (True, 2)]
 
 
+def test_blocks_with_the_same_rows(spark):
+    docs = spark.createDataFrame([(1, "a b c"), (2, "it's d, e")], "doc_id bigint, text string").coalesce(1)
+    twice = spark.createDataFrame(spark.sparkContext.parallelize([(3, "x y z")] * 2, 2), docs.schema)
+    rows = docs.unionByName(docs).unionByName(docs).unionByName(twice)
+    found = bpe.encode_digests(rows, RANKS, public_tokenizers.PATTERN).collect()
+    texts = [(1, "a b c"), (2, "it's d, e")] * 3 + [(3, "x y z")] * 2
+    assert sorted(map(tuple, found)) == sorted((i, *expected(t)) for i, t in texts)
+    ids = bpe.encode(rows, RANKS, public_tokenizers.PATTERN).collect()
+    assert sorted((r.doc_id, bytes(r.decoded).decode()) for r in ids) == sorted(texts)
+
+
 def test_empty_table(spark):
     assert run(spark, []) == []
 

@@ -227,8 +227,10 @@ def _assemble(finish: Callable[[pa.ListArray, pa.Array], Callable[[np.ndarray],
         n_words, ids = 0, pa.array([], pa.list_(pa.int32()))
         if parts:
             words = pa.concat_tables(parts).combine_chunks()
-            n_words = words.num_rows
-            ids = words["ids"].combine_chunks().take(pa.array(np.argsort(words["word_no"].to_numpy())))
+            # Blocks with the same rows share a number, and each of them sends all its words.
+            numbers, first = np.unique(words["word_no"].to_numpy(), return_index=True)
+            n_words = len(numbers)
+            ids = words["ids"].combine_chunks().take(pa.array(first))
         pieces = pa.LargeListArray.from_arrays(ids.offsets.cast(pa.int64()), tokens.take(ids.values))
         make = finish(ids, pc.binary_join(pieces, pa.scalar(b"", tokens.type)))
         rows = []
