@@ -67,3 +67,21 @@ def test_a_template_that_rewrites_history_is_found(n):
     seen = module._Conversation(last_only, "assistant")
     rows = [seen.add("assistant", f"t{i}") for i in range(n)]
     assert not rows[0][-1] and all(r[-1] and not r[-2] for r in rows[1:])
+
+
+LONG = [("system", "be kind"), *((("user", "assistant")[i % 2], f"t{i}") for i in range(99))]
+
+
+def test_a_long_conversation_with_a_system_turn():
+    other = lambda ts: "".join(f"{i} of {ts[0][1] if i else ''} {ts[max(i - 40, 0)][0]} {r}: {t}\n" for i, (r, t) in enumerate(ts))
+    seen = module._Conversation(other, "assistant")
+    rows = [seen.add(*t) for t in LONG]
+    assert "".join(r[2] for r in rows) == other(LONG)
+    assert [r[2][r[3] : r[4]] for r in rows[1:]] == [t for _, t in LONG[1:]]
+    assert not any(r[-1] for r in rows)
+
+
+def test_history_cut_far_back_is_found():
+    last_sixty = lambda ts: "".join(f"<{r}>{t}\n" for r, t in ts[-60:])
+    seen = module._Conversation(last_sixty, "assistant")
+    assert [r[-1] for r in map(lambda t: seen.add(*t), LONG)] == [False] * 60 + [True] * 40

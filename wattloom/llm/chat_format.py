@@ -3,7 +3,8 @@
 A template is any function from a list of turns to a text. Its marks are not known here: the span of a
 turn is what the rendering gains with it, and the part of the span that is the turn's text is found by
 rendering two sentinels in its place. A template whose rendering of a prefix is no prefix of the next
-rendering rewrites history and is reported.
+rendering rewrites history and is reported. Every prefix is rendered whole, unless the template is declared
+to be local to a turn.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ Turn = tuple[str, str]
 Template = Callable[[list[Turn]], str]
 
 START, END = "<|im_start|>", "<|im_end|>"
-# Turns that are rendered again before a new one. Up to twice as many are in a prefix.
+# Turns that a template local to a turn renders again before a new one. Up to twice as many are in its prefix.
 CONTEXT = 16
 
 _TURN = "conv_id bigint, turn_no bigint, role string, piece string, text_start bigint, text_end bigint, loss boolean, rewrites boolean"
@@ -51,6 +52,13 @@ def _unescape_role(role: str) -> str:
     return re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], unescape(role))
 
 
+def local_to_turn(template: Template) -> Template:
+    """Declares that what the template writes for a turn depends on that turn alone."""
+    template.local_to_turn = True
+    return template
+
+
+@local_to_turn
 def chat_template(turns: list[Turn]) -> str:
     """Marks the turns, and escapes the marks inside roles and texts reversibly."""
     return "".join(f"{START}{_escape_role(role)}\n{escape(text)}{END}\n" for role, text in turns)
@@ -74,17 +82,18 @@ def _text_part(template: Template, before: list[Turn], base: str, role: str, spa
 
 
 class _Conversation:
-    """Renders one conversation turn by turn, with a window of turns as its memory."""
+    """Renders one conversation turn by turn. A template local to a turn needs a window of turns only."""
 
     def __init__(self, template: Template, loss_role: str):
         self.template, self.loss_role = template, loss_role
+        self.local = getattr(template, "local_to_turn", False)
         self.turns: list[Turn] = []
         self.base = template([])
         self.opening = self.base
         self.n = 0
 
     def add(self, role: str, text: str) -> tuple:
-        if len(self.turns) >= 2 * CONTEXT:
+        if self.local and len(self.turns) >= 2 * CONTEXT:
             self.turns = self.turns[CONTEXT:]
             self.base = self.template(self.turns)
         now = self.template([*self.turns, (role, text)])
@@ -125,13 +134,14 @@ def format_turns(conversations: DataFrame, template: Template = chat_template, l
     text_end, loss, rewrites.
 
     ``piece`` is what the turn adds to the formatted conversation: all pieces of a conversation in order
-    are its text. text_start and text_end bound the turn's own text in the piece; ``loss`` says
+    are its text, if no turn rewrites. text_start and text_end bound the turn's own text in the piece; ``loss`` says
     whether it counts for the loss. ``rewrites`` marks turns at which the template changes what it
     had written before; then the piece is what follows the part that stayed, and nothing of it counts.
 
     Rows are ordered by turn, then role and text; a null turn comes first; null role and text are empty;
-    rows with a null conv_id are one conversation. A conversation is read as a stream, so it may be
-    longer than memory; a prefix holds the last ``2 * CONTEXT`` turns at most.
+    rows with a null conv_id are one conversation. A conversation is read as a stream. With a template
+    declared ``local_to_turn`` it may be longer than memory, as a prefix holds the last ``2 * CONTEXT`` turns
+    at most; with any other, all its turns are held and rendered for each new one.
     """
     rows = conversations.select(
         F.col("conv_id").cast("bigint"),
