@@ -3,6 +3,7 @@
 from tests.conftest import rows_of
 from wattloom.plans import jobs
 from wattloom.sources import tables
+from wattloom.sources.quarantine import read_quarantine
 from wattloom.streaming.power import read_alerts
 
 START = 1_303_171_200  # 04/19/2011 UTC
@@ -49,3 +50,34 @@ def test_chain_of_jobs(spark, tmp_path):
     alerts = read_alerts(spark, f"{work}/tables")
     # Two houses, two channels, three days; three spikes on either clean day.
     assert alerts.count() == 2 * 2 * 3 * 3 and alerts.where("power <= p97").count() == 0
+
+
+def test_jobs_lose_no_rejects(spark, tmp_path):
+    reading = '{"meterId": "1", "power": "%s", "label": "mains"}'
+    good = '{"timestamp": "1303171200", "houseId": 1, "zip": "z", "readings": [' + reading % 5 + ", " + reading % "x" + "]}"
+    put(tmp_path / "in" / "day1", "{one\n" + good)
+    put(tmp_path / "in" / "day2", "{two\n" + good)
+    root = f"{tmp_path}/tables"
+    for day in ("day1", "day2", "day2"):
+        jobs.main(["batch", "--records", f"{tmp_path}/in/{day}", "--root", root])
+    assert rows_of(read_quarantine(spark, root), "reason") == [("malformed",)] * 2 + [("power",)] * 2
+
+    stream = ["--format", "text", "--path", f"{tmp_path}/in", "--once"]
+    jobs.main(["alerts", "--root", f"{tmp_path}/live", "--checkpoint", f"{tmp_path}/progress", *stream])
+    found = read_quarantine(spark, f"{tmp_path}/live")
+    assert rows_of(found, "reason") == [("malformed",)] * 2 + [("power",)] * 2
+    assert found.where("""reason = 'power' AND original LIKE '%"power_text":"x"%'""").count() == 2
+
+    put(tmp_path / "raw" / "house_1" / "channel_1.dat", f"{START} 5\nsoon 5\n{START + 6} x\n{START + 12}\n")
+    put(tmp_path / "raw" / "house_1" / "odd.dat", f"{START} 5\n")
+    put(tmp_path / "raw" / "labels" / "house_1" / "labels.dat", "1 mains\n")
+    put(tmp_path / "houses", "7 1 02366 1.0\n")
+    channels = f"{tmp_path}/raw/house_1/*.dat"
+    expected = [("path",), ("power",), ("power",), ("timestamp",)]
+    jobs.main(["clean-days", "--anchor", "04/19/2011:00:00:00", "--channels", channels, "--out", f"{tmp_path}/days"])
+    assert rows_of(read_quarantine(spark, f"{tmp_path}/days-rejects"), "reason") == expected
+    jobs.main([
+        "replay", "--channels", channels, "--clean-days", f"{tmp_path}/houses", "--labels", f"{tmp_path}/raw/labels", "--houses",
+        f"{tmp_path}/houses", "--format", "text", "--path", f"{tmp_path}/topics", "--root", f"{tmp_path}/aside",
+    ])
+    assert rows_of(read_quarantine(spark, f"{tmp_path}/aside"), "reason") == expected

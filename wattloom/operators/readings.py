@@ -100,6 +100,11 @@ def rejected_readings(records: DataFrame) -> DataFrame:
     return _exploded(records).where(~_usable_reading()).withColumn("reject_reason", reason).drop("power")
 
 
+def rejected_input(records: DataFrame) -> DataFrame:
+    """Rejected records and the rejected readings of others, each with the columns of its kind, else null."""
+    return rejected_records(records).unionByName(rejected_readings(records), allowMissingColumns=True)
+
+
 def _numbered(stepped: DataFrame, unit: list[str]) -> DataFrame:
     """Readings with the number, from 1, of the record they go to, and the block it lies in."""
     counted = stepped.groupBy(*unit, "meter_id", "ts", "label", "power").agg(F.count(F.lit(1)).alias("copies"))

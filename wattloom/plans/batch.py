@@ -12,7 +12,7 @@ from wattloom.operators.stats import meter_p97
 from wattloom.session import fresh_dir
 from wattloom.sources import tables
 from wattloom.sources.folders import Folders
-from wattloom.sources.quarantine import quarantine
+from wattloom.sources.quarantine import input_part, quarantine
 
 ENERGY_COLUMNS = ["house_id", "date", "zip", "label", "kwh"]
 
@@ -27,16 +27,19 @@ def rejects(records: DataFrame) -> DataFrame:
     return bad.select(reason, broken.alias("original")).unionByName(readings.select(reason, wrong.alias("original")))
 
 
-def run_batch(records: DataFrame, root: str, part: str = "batch") -> None:
+def run_batch(records: DataFrame, root: str, part: str | None = None) -> None:
     """Fill mains_energy, appliance_energy, appliance_share, geo_energy and meter_stats, and the quarantine.
 
     Records are parsed and expanded once, into a readings table in the working folder, without a
     shuffle. The statistics and the energy each scan it once, reading only the columns they need;
     all other tables come from the label-days, which are smaller than the readings by the number
     of readings in a day and are written before they are used. The working tables are removed at the end.
+
+    Rejects replace those of an earlier run with the same ``part``. By default it is named by the files and the
+    plan of ``records``, so that runs on other records keep theirs.
     """
     spark = records.sparkSession
-    quarantine(rejects(records), root, part)
+    quarantine(rejects(records), root, part or input_part(records, str(records.semanticHash())))
     places = [fresh_dir(spark, name) for name in ("readings", "label-days")]
 
     def keep(rows: DataFrame, place: str) -> DataFrame:

@@ -20,8 +20,8 @@ from wattloom.operators.readings import (
     expand_readings,
     parse_json,
     record_mains_power,
+    rejected_input,
     rejected_mains_records,
-    rejected_records,
     to_messages,
 )
 from wattloom.operators.replicate import CALENDAR_DAYS
@@ -29,6 +29,7 @@ from wattloom.plans.batch import run_batch
 from wattloom.plans.prep import clean_days_of, replay_records
 from wattloom.session import build_session
 from wattloom.sources import files
+from wattloom.sources.quarantine import input_part, quarantine
 from wattloom.sources.records import publish, read_records, stream_values
 from wattloom.streaming.power import TRIGGER, start_alerts, start_mains_power, start_quarantine, stored_stats
 
@@ -46,7 +47,8 @@ def _trigger(args: argparse.Namespace) -> str | None:
 
 
 def batch(spark: SparkSession, args: argparse.Namespace) -> None:
-    run_batch(read_records(spark, *args.records), args.root)
+    records = read_records(spark, *args.records)
+    run_batch(records, args.root, args.part or input_part(records))
 
 
 def live(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -59,21 +61,29 @@ def live(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def alerts(spark: SparkSession, args: argparse.Namespace) -> None:
     records = _stream(spark, args)
-    aside = start_quarantine(records, rejected_records, args.root, f"{args.checkpoint}-rejects", _trigger(args))
+    aside = start_quarantine(records, rejected_input, args.root, f"{args.checkpoint}-rejects", _trigger(args))
     stats = stored_stats(args.root)
     query = start_alerts(expand_readings(records), stats, args.root, args.checkpoint, args.margin, args.salts, _trigger(args))
     query.awaitTermination()
     aside.awaitTermination()
 
 
+def _channels(spark: SparkSession, args: argparse.Namespace, beside: str):
+    """The channel readings; bad lines are set aside, by default in a folder beside the clean days."""
+    channels = files.read_channels(spark, *args.channels)
+    root = args.root or f"{beside.rstrip('/')}-rejects"
+    quarantine(files.rejected_channels(spark, *args.channels), root, input_part(channels))
+    return channels
+
+
 def clean_days(spark: SparkSession, args: argparse.Namespace) -> None:
-    found = clean_days_of(files.read_channels(spark, *args.channels), parse_anchor(args.anchor), args.max_gap)
+    found = clean_days_of(_channels(spark, args, args.out), parse_anchor(args.anchor), args.max_gap)
     files.write_clean_days(found, args.out)
 
 
 def replay(spark: SparkSession, args: argparse.Namespace) -> None:
     records = replay_records(
-        files.read_channels(spark, *args.channels),
+        _channels(spark, args, args.clean_days),
         files.read_clean_days(spark, args.clean_days),
         files.read_labels(spark, args.labels),
         files.read_houses(spark, args.houses),
@@ -109,6 +119,7 @@ def _parser() -> argparse.ArgumentParser:
 
     sub = job("batch", batch, "root")
     sub.add_argument("--records", nargs="+", required=True)
+    sub.add_argument("--part", help="name of the run's rejects; by default from the names of its files")
 
     sub = job("live", live, "root", "checkpoint")
     streaming(sub)
@@ -122,11 +133,13 @@ def _parser() -> argparse.ArgumentParser:
 
     sub = job("clean-days", clean_days, "anchor", "out")
     sub.add_argument("--channels", nargs="+", required=True)
+    sub.add_argument("--root", help="rejects go below; by default <out>-rejects")
     sub.add_argument("--max-gap", type=int, default=MAX_GAP)
 
     sub = job("replay", replay, "clean-days", "labels", "houses")
     connector(sub)
     sub.add_argument("--channels", nargs="+", required=True)
+    sub.add_argument("--root", help="rejects go below; by default <clean-days>-rejects")
     sub.add_argument("--days", type=int, default=CALENDAR_DAYS)
     sub.add_argument("--shift", type=int, default=0)
     sub.add_argument("--scaled", action="store_true")

@@ -348,12 +348,13 @@ def q_house_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_batch_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the batch job sets aside of good messages mixed with JSON of another kind and with prose."""
+    """What two runs of the batch job on one root set aside: messages mixed with JSON of another kind, then prose."""
     messages = to_messages(pack_readings(_readings(spark, sf_dir)), "meters_hf", "meters_lf").select("value")
     other = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("props").alias("value"))
     prose = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("text").alias("value"))
     root = fresh_dir(spark, "quarantine")
-    run_batch(parse_json(messages.unionByName(other).unionByName(prose)), root)
+    for values in (messages.unionByName(other), prose):
+        run_batch(parse_json(values), root)
     return read_quarantine(spark, root).groupBy("reason").agg(F.count(F.lit(1)).alias("n_records"))
 
 

@@ -17,7 +17,7 @@ HOUSE_PATH = r"house_(?:id=)?(\d+)/"
 def _fields(spark: SparkSession, paths: tuple[str, ...]) -> DataFrame:
     reader = spark.read.schema("value string").option("recursiveFileLookup", True)
     lines = reader.text(list(paths)).where(F.length(F.trim("value")) > 0)
-    return lines.select(F.split(F.trim("value"), r"\s+").alias("f"), F.col("_metadata.file_path").alias("file"))
+    return lines.select(F.split(F.trim("value"), r"\s+").alias("f"), F.col("_metadata.file_path").alias("file"), "value")
 
 
 def read_channels(spark: SparkSession, *paths: str) -> DataFrame:
@@ -30,6 +30,18 @@ def read_channels(spark: SparkSession, *paths: str) -> DataFrame:
     )
 
 
+def rejected_channels(spark: SparkSession, *paths: str) -> DataFrame:
+    """reason, original (file and line as JSON): the lines of ``read_channels`` that lack a value."""
+    read = _fields(spark, paths).select(
+        F.regexp_extract("file", CHANNEL_PATH, 0).alias("place"),
+        parse_seconds(F.get("f", F.lit(0))).alias("ts"),
+        parse_power(F.get("f", F.lit(1))).alias("power"),
+        F.to_json(F.struct("file", F.col("value").alias("line"))).alias("original"),
+    )
+    reason = F.when(F.col("place") == "", "path").when(F.col("ts").isNull(), "timestamp").when(F.col("power").isNull(), "power")
+    return read.select(reason.alias("reason"), "original").where("reason IS NOT NULL")
+
+
 def read_labels(spark: SparkSession, *paths: str) -> DataFrame:
     """``house_<h>/labels.dat`` files: (source_house, meter_id, label)."""
     return _fields(spark, paths).select(

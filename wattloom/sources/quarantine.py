@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 
 from wattloom.sources.folders import Folders
@@ -14,6 +16,11 @@ def quarantine(rejected: DataFrame, root: str, part: str) -> None:
     rejected.hint("rebalance").write.mode("overwrite").parquet(f"{root.rstrip('/')}/quarantine/part={part}")
 
 
+def input_part(rows: DataFrame, *more: str) -> str:
+    """A part named by the files that ``rows`` reads: the same files replace their rejects, others keep theirs."""
+    return hashlib.sha256("\n".join([*sorted(rows.inputFiles()), *more]).encode()).hexdigest()[:32]
+
+
 def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
     """Everything that jobs set aside: reason, original, part."""
     path = f"{root.rstrip('/')}/quarantine"
