@@ -52,3 +52,73 @@ def test_longer_rules_come_first():
 
 def test_empty_table(spark):
     assert scan_licenses(spark.createDataFrame([], "doc_id bigint, text string")).collect() == []
+
+
+GNU = """This %s is free software%s you can redistribute it and/or modify
+it under the terms of the GNU %sGeneral Public License as published by
+the Free Software Foundation%s either version %s of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."""
+
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice,
+   this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+
+# The notices as their licences give them.
+NOTICES = [
+    ("GPL-2.0-or-later", GNU % ("program", ";", "", ";", "2")),
+    ("GPL-3.0-or-later", GNU % ("program", ":", "", ",", "3")),
+    ("LGPL-2.1-or-later", GNU % ("library", ";", "Lesser ", ";", "2.1")),
+    ("LGPL-2.0-or-later", GNU % ("library", ";", "Library ", ";", "2")),
+    ("LGPL-3.0-or-later", GNU % ("program", ":", "Lesser ", ",", "3")),
+    ("AGPL-3.0-or-later", GNU % ("program", ":", "Affero ", ",", "3")),
+    ("BSD-2-Clause", BSD),
+    ("BSD-3-Clause", BSD + """
+3. Neither the name of the copyright holder nor the names of its contributors
+   may be used to endorse or promote products derived from this software
+   without specific prior written permission."""),
+    ("MIT", MIT),
+    ("Apache-2.0", """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software"""),
+    ("MPL-2.0", """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""),
+    ("ISC", """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies."""),
+    ("CC0-1.0", """The laws of most jurisdictions throughout the world automatically confer
+exclusive Copyright and Related Rights (defined below) upon the creator and
+subsequent owner(s) (each and all, an "owner") of an original work of
+authorship and/or a database (each, a "Work")."""),
+    ("Unlicense", """In jurisdictions that recognize copyright laws, the author or authors
+of this software dedicate any and all copyright interest in the
+software to the public domain. We make this dedication for the benefit"""),
+    ("EPL-2.0", """This program and the accompanying materials are made available under the
+terms of the Eclipse Public License 2.0 which is available at
+https://www.eclipse.org/legal/epl-2.0/"""),
+    ("EPL-1.0", """This program and the accompanying materials
+are made available under the terms of the Eclipse Public License v1.0
+which accompanies this distribution, and is available at
+http://www.eclipse.org/legal/epl-v10.html"""),
+]
+
+
+def test_official_notices(spark):
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(NOTICES)], "doc_id bigint, text string")
+    found = {r.doc_id: r.licenses for r in scan_licenses(docs).collect()}
+    assert found == {i: name for i, (name, _) in enumerate(NOTICES)}

@@ -37,6 +37,28 @@ SENTENCES = {
     "Gpl2Ref": "this work is licensed under the gnu general public license version 2",
     "Gpl3Ref": "this work is licensed under the gnu general public license version 3",
     "MplRef": "this source code form is subject to the terms of the mozilla public license v 2 0",
+    "GplTerms": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation",
+    "LgplTerms": "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation",
+    "LibraryGplTerms": "you can redistribute it and or modify it under the terms of the gnu library general public license as published by the free software foundation",
+    "AgplTerms": "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation",
+    "Either2": "either version 2 of the license or at your option any later version",
+    "Either21": "either version 2 1 of the license or at your option any later version",
+    "Either3": "either version 3 of the license or at your option any later version",
+    "Lgpl21Plus": "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version",
+    "Lgpl3Plus": "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "Agpl3Plus": "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "LibraryFree": "this library is free software",
+    "MplNotice": "this source code form is subject to the terms of the mozilla public license v",
+    "Apache2CopyAt": "you may obtain a copy of the license at",
+    "Apache2Url": "http www apache org licenses license 2 0",
+    "IscGrant": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    "IscGrant2": "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    "Cc0Purpose": "the laws of most jurisdictions throughout the world automatically confer exclusive copyright and related rights defined below upon the creator and subsequent owner s each and all an owner of an original work of authorship and or a database each a work",
+    "Cc0Ref": "licensed under cc0 1 0",
+    "UnlicenseGrant": "in jurisdictions that recognize copyright laws the author or authors of this software dedicate any and all copyright interest in the software to the public domain",
+    "Epl2Notice": "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0",
+    "Epl2Notice2": "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at http www eclipse org legal epl 2 0",
+    "Epl1Notice": "this program and the accompanying materials are made available under the terms of the eclipse public license v1 0 which accompanies this distribution and is available at http www eclipse org legal epl v10 html",
     "CcByNcRef": "licensed under cc by nc 4 0",
     "CcByRef": "licensed under cc by 4 0",
     "CcBySaRef": "licensed under cc by sa 4 0",
@@ -49,10 +71,23 @@ RULES = [
     ("BSD-2-Clause", "BsdGrant BsdSource BsdBinary"),
     ("MIT", "MitGrant MitNotice AsIs NoLiability"),
     ("MIT", "MitGrant MitNotice"),
+    ("Apache-2.0", "Apache2Grant Apache2Use Apache2CopyAt Apache2Url"),
     ("Apache-2.0", "Apache2Grant Apache2Use Apache2Copy"),
     ("Apache-2.0", "Apache2Grant Apache2Use"),
     ("Apache-2.0", "Apache2Grant"),
     ("Apache-2.0", "Apache2Ref"),
+    ("GPL-2.0-or-later", "GplFree GplTerms Either2"),
+    ("LGPL-2.1-or-later", "LibraryFree LgplTerms Either21"),
+    ("GPL-2.0-or-later", "GplTerms Either2"),
+    ("GPL-3.0-or-later", "GplTerms Either3"),
+    ("LGPL-2.1-or-later", "LgplTerms Either21"),
+    ("LGPL-3.0-or-later", "LgplTerms Either3"),
+    ("LGPL-2.0-or-later", "LibraryGplTerms Either2"),
+    ("AGPL-3.0-or-later", "AgplTerms Either3"),
+    ("LGPL-2.1-or-later", "LibraryFree Lgpl21Plus"),
+    ("LGPL-3.0-or-later", "LibraryFree Lgpl3Plus"),
+    ("LGPL-3.0-or-later", "GplFree Lgpl3Plus"),
+    ("AGPL-3.0-or-later", "GplFree Agpl3Plus"),
     ("GPL-2.0-or-later", "GplFree Gpl2Plus"),
     ("GPL-3.0-or-later", "GplFree Gpl3Plus"),
     ("GPL-2.0-or-later", "Gpl2Plus"),
@@ -63,6 +98,18 @@ RULES = [
     ("MIT", "MitRef2"),
     ("MIT", "MitRef3"),
     ("MPL-2.0", "MplRef"),
+    ("LGPL-2.1-or-later", "Lgpl21Plus"),
+    ("LGPL-3.0-or-later", "Lgpl3Plus"),
+    ("AGPL-3.0-or-later", "Agpl3Plus"),
+    ("MPL-2.0", "MplNotice"),
+    ("ISC", "IscGrant"),
+    ("ISC", "IscGrant2"),
+    ("CC0-1.0", "Cc0Purpose"),
+    ("CC0-1.0", "Cc0Ref"),
+    ("Unlicense", "UnlicenseGrant"),
+    ("EPL-2.0", "Epl2Notice"),
+    ("EPL-2.0", "Epl2Notice2"),
+    ("EPL-1.0", "Epl1Notice"),
     ("CC-BY-NC-4.0", "CcByNcRef"),
     ("CC-BY-SA-4.0", "CcBySaRef"),
     ("CC-BY-4.0", "CcByRef"),
