@@ -17,11 +17,12 @@ from wattloom.llm.line_dedup import line_dedup
 from wattloom.llm.mixing import mix
 from wattloom.llm.near_dedup import near_dedup
 from wattloom.llm.quality_rules import BASE, learn, quality
+from wattloom.llm.token_files import token_files
 from wattloom.llm.url_filter import Rule, judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-TOKENIZER = "byte_bpe_multi_50k.tiktoken"
+TOKENIZER, JSON_TOKENIZER = "byte_bpe_multi_50k.tiktoken", "byte_bpe_50k.json"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # The URL rules, and the names of sites whose hosts are listed.
@@ -149,10 +150,15 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(table(spark, sf_dir, "documents"), ranks(), public_tokenizers.PATTERN)
 
 
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path(JSON_TOKENIZER), public_tokenizers.PATTERN)
+
+
 def all_queries() -> dict[str, Query]:
     found = [
         op1_license_scan, op2_url_filter, op3_chat_format, op4_exact_dedup, op5_mixing,
         op6_near_dedup, op7_line_dedup, op8_quality_rules, op9_lm_scoring, op10_bpe,
+        op13_token_files,
     ]
     return {query.__name__: query for query in found}
 
