@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from wattloom.llm import license_scan, lm_scoring
 from wattloom.llm.bpe import encode_digests, tokenizer_ranks
 from wattloom.llm.chat_format import conversation_digests, format_turns
+from wattloom.llm.divergence import divergence_audit
 from wattloom.llm.exact_dedup import exact_dedup
 from wattloom.llm.license_scan import scan_licenses
 from wattloom.llm.line_dedup import line_dedup
@@ -150,6 +151,44 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(table(spark, sf_dir, "documents"), ranks(), public_tokenizers.PATTERN)
 
 
+def op11_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence_audit(table(spark, sf_dir, "documents"))
+
+
+# Dense: every kept term of a language with every source, and every two sources of it.
+OP11_SQL = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS body FROM documents),
+words AS (
+  SELECT doc, lang, source, translate(unnest(regexp_extract_all(body, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')), '{UPPER}', '{LOWER}') AS term FROM docs),
+kept AS (SELECT lang, term FROM words GROUP BY lang, term HAVING count(DISTINCT doc) >= 10),
+sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+sources AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY lang, source, term),
+dense AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n, sum(coalesce(n, 0)) OVER (PARTITION BY lang, source) AS total,
+         sum(coalesce(n, 0)) OVER (PARTITION BY lang, term) AS lang_n, sum(coalesce(n, 0)) OVER (PARTITION BY lang) AS lang_total
+  FROM sources JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, term)),
+scaled AS (
+  SELECT lang, source, term, n, 1 + 1000000000 * CAST(n + 2 AS HUGEINT) // CAST(total + 2 * v AS HUGEINT) AS p,
+         1 + 1000000000 * CAST(lang_n + 2 AS HUGEINT) // CAST(lang_total + 2 * v AS HUGEINT) AS q
+  FROM dense JOIN sizes USING (lang)),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM scaled a JOIN scaled b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM scaled WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+         CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM found)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+
 def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path(JSON_TOKENIZER), public_tokenizers.PATTERN)
 
@@ -158,7 +197,7 @@ def all_queries() -> dict[str, Query]:
     found = [
         op1_license_scan, op2_url_filter, op3_chat_format, op4_exact_dedup, op5_mixing,
         op6_near_dedup, op7_line_dedup, op8_quality_rules, op9_lm_scoring, op10_bpe,
-        op13_token_files,
+        op11_divergence_audit, op13_token_files,
     ]
     return {query.__name__: query for query in found}
 
@@ -169,4 +208,5 @@ def all_oracles() -> dict[str, str]:
         "op2_url_filter": _op2_sql(),
         "op3_chat_format": OP3_SQL,
         "op4_exact_dedup": OP4_SQL,
+        "op11_divergence_audit": OP11_SQL,
     }
