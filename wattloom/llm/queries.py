@@ -20,6 +20,7 @@ from wattloom.llm.near_dedup import near_dedup
 from wattloom.llm.quality_rules import BASE, learn, quality
 from wattloom.llm.token_files import token_files
 from wattloom.llm.url_filter import Rule, judge_urls
+from wattloom.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -189,6 +190,10 @@ SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
 """
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path(JSON_TOKENIZER), public_tokenizers.PATTERN)
 
@@ -197,7 +202,7 @@ def all_queries() -> dict[str, Query]:
     found = [
         op1_license_scan, op2_url_filter, op3_chat_format, op4_exact_dedup, op5_mixing,
         op6_near_dedup, op7_line_dedup, op8_quality_rules, op9_lm_scoring, op10_bpe,
-        op11_divergence_audit, op13_token_files,
+        op11_divergence_audit, op12_whitening, op13_token_files,
     ]
     return {query.__name__: query for query in found}
 
