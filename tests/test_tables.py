@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 
 from tests.conftest import rows_of
@@ -61,7 +63,8 @@ def test_a_commit_that_dies_changes_nothing_and_can_be_repeated(spark, tmp_path,
     assert [row[-1] for row in stored(spark, root)] == [9.0, 2.0]
 
 
-def test_readers_live_through_commits_and_old_versions_go(spark, tmp_path):
+def test_readers_live_through_commits_and_old_versions_go(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(T, "RETAINED_SECONDS", 0)
     root = str(tmp_path)
     T.upsert(energy(spark, (1, "2011-05-21", "m", 0)), root, T.MAINS_ENERGY)
     for k in range(1, 6):
@@ -73,7 +76,94 @@ def test_readers_live_through_commits_and_old_versions_go(spark, tmp_path):
     assert len(list((folders / "data").glob("version=*/date=*"))) == T.KEPT_MANIFESTS
 
 
-def test_two_writers_do_not_lose_each_others_rows(spark, tmp_path):
+def test_a_reader_lives_through_a_hundred_commits(spark, tmp_path, monkeypatch):
+    """By age, as any reader does; then by a lease alone, after whose end the old files go."""
+    root, path = str(tmp_path), f"{tmp_path}/mains_energy"
+    T.overwrite(energy(spark, (1, "2011-05-21", "m", 0), (2, "2011-05-22", "m", 0)), root, T.MAINS_ENERGY)
+    reader = T.read(spark, root, T.MAINS_ENERGY)
+    for k in range(1, 51):
+        T.overwrite(energy(spark, (1, "2011-05-21", "m", k)), root, T.MAINS_ENERGY)
+    assert rows_of(reader, "kwh") == [(0.0,), (0.0,)]
+    with T.leased(spark, root, T.MAINS_ENERGY) as rows:
+        monkeypatch.setattr(T, "RETAINED_SECONDS", 0)
+        for k in range(51, 101):
+            T.overwrite(energy(spark, (1, "2011-05-21", "m", k)), root, T.MAINS_ENERGY)
+        assert rows_of(rows, "kwh") == [(0.0,), (50.0,)]
+        # What came before the lease is gone, what came after it is not.
+        assert len(list((tmp_path / "mains_energy" / "manifests").glob("*.json"))) == 51
+    T.overwrite(energy(spark, (1, "2011-05-21", "m", 101)), root, T.MAINS_ENERGY)
+    assert len(list((tmp_path / "mains_energy" / "manifests").glob("*.json"))) == T.KEPT_MANIFESTS
+    assert not Path(f"{path}/leases").exists() or not list(Path(f"{path}/leases").glob("0*"))
+    # The date that no commit has touched is still there.
+    assert rows_of(T.read(spark, root, T.MAINS_ENERGY), "date", "kwh") == [("2011-05-21", 101.0), ("2011-05-22", 0.0)]
+
+
+def test_a_lease_that_has_run_out_holds_nothing(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(T, "RETAINED_SECONDS", 0)
+    with T.leased(spark, str(tmp_path), T.MAINS_ENERGY, seconds=-1) as rows:
+        assert rows.count() == 0
+        for k in range(6):
+            T.overwrite(energy(spark, (1, "2011-05-21", "m", k)), str(tmp_path), T.MAINS_ENERGY)
+    assert len(list((tmp_path / "mains_energy" / "manifests").glob("*.json"))) == T.KEPT_MANIFESTS
+
+
+def test_a_log_of_many_batches_is_packed_by_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(T, "RETAINED_SECONDS", 0)
+    root, n = str(tmp_path), 150
+    for k in range(n):
+        if k % 7:  # every seventh batch is empty
+            T.append_batch(energy(spark, (k, "2011-05-21", "m", k)).coalesce(1), root, T.MAINS_ENERGY, k, "a")
+        if k % 4 == 3:
+            T.pack_log(spark, root, T.MAINS_ENERGY, {"a": k}, fan_in=4)
+    T.append_batch(energy(spark, (0, "2011-05-21", "m", 5)), root, T.MAINS_ENERGY, 0, "b")
+    T.pack_log(spark, root, T.MAINS_ENERGY, fan_in=4)
+    expected = [("a", k, k, float(k)) for k in range(n) if k % 7] + [("b", 0, 0, 5.0)]
+    assert rows_of(T.read_log(spark, root, T.MAINS_ENERGY), "run", "batch_id", "house_id", "kwh") == expected
+    folders = [p for kind in ("log", "packs") for p in (tmp_path / f"mains_energy_{kind}").rglob("date=*")]
+    # At most 3 packs on each of log4(150) levels, and some that the kept manifests still name.
+    assert len(folders) <= 3 * 4 + 4 * T.KEPT_MANIFESTS + 4
+    # A batch that is packed and comes again is not there twice.
+    T.append_batch(energy(spark, (8, "2011-05-21", "m", 8)), root, T.MAINS_ENERGY, 8, "a")
+    assert T.read_log(spark, root, T.MAINS_ENERGY).count() == len(expected)
+
+
+def test_two_writers_do_not_pack_twice(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    for k in range(4):
+        T.append_batch(energy(spark, (k, "2011-05-21", "m", k)), root, T.MAINS_ENERGY, k)
+    early = T.current(spark, f"{root}/mains_energy")
+    T.pack_log(spark, root, T.MAINS_ENERGY, {"0": 3}, fan_in=2)
+    with monkeypatch.context() as patched:
+        patched.setattr(T, "current", lambda *_: early)
+        with pytest.raises(T.ConcurrentCommit):
+            T.pack_log(spark, root, T.MAINS_ENERGY, {"0": 3}, fan_in=2)
+    assert rows_of(T.read_log(spark, root, T.MAINS_ENERGY), "kwh") == [(float(k),) for k in range(4)]
+
+
+def test_one_house_is_read_from_the_files_that_may_have_it(spark, tmp_path):
+    root = str(tmp_path)
+    rows = [(h, f"2011-05-{d}", "m", h * d) for h in range(0, 4000, 2) for d in (20, 21, 22)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        T.upsert(energy(spark, *rows), root, T.MAINS_ENERGY)
+        T.upsert(energy(spark, (8, "2011-05-21", "m", 1), (9, "2011-05-23", "m", 2)), root, T.MAINS_ENERGY)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    everything = T.read(spark, root, T.MAINS_ENERGY)
+    for house in (8, 9, 3998, 1500):
+        files = T.files_with(spark, root, T.MAINS_ENERGY, house)
+        found = T.read_value(spark, root, T.MAINS_ENERGY, house)
+        assert rows_of(found) == rows_of(everything.where(f"house_id = {house}"))
+        dates = everything.where(f"house_id = {house}").select("date").distinct().count()
+        assert len(files) == dates == len(found.inputFiles())
+    # In the range of a file, but not in its Bloom filter: hardly any file is opened.
+    assert sum(len(T.files_with(spark, root, T.MAINS_ENERGY, house)) for house in range(101, 201, 2)) <= 5
+    assert len(everything.inputFiles()) >= 8
+    assert T.read_value(spark, root, T.MAINS_ENERGY, 10**9).count() == 0
+    assert T.read_value(spark, str(tmp_path / "none"), T.MAINS_ENERGY, 1).count() == 0
+
+
+def test_two_writers_do_not_lose_lose_each_others_rows(spark, tmp_path):
     root = str(tmp_path)
     T.upsert(energy(spark, (1, "2011-05-21", "m", 0)), root, T.MAINS_ENERGY)
     path = f"{root}/mains_energy"
