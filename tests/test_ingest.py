@@ -1,0 +1,211 @@
+"""The batch job run by run: pieces of days, consumed files, replaced runs, jobs that die, packed runs."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import rows_of
+from wattloom.operators.energy import merge_segments, meter_day_energy, meter_day_segments, segment_energy
+from wattloom.operators.readings import expand_readings, pack_readings, parse_json, rejected_readings, rejected_records, route_records
+from wattloom.operators.stats import meter_p97, power_sketches, sketched_p97
+from wattloom.plans import batch
+from wattloom.plans.batch import ingest, run_batch
+from wattloom.sources import runs, tables
+from wattloom.sources.quarantine import read_quarantine
+
+START = 1_303_171_200
+DAY = 86_400
+TABLES = {
+    tables.MAINS_ENERGY: ["house_id", "date", "zip", "label", "round(kwh, 9)"],
+    tables.APPLIANCE_ENERGY: ["house_id", "date", "zip", "label", "round(kwh, 9)"],
+    tables.APPLIANCE_SHARE: ["house_id", "date", "zip", "label", "round(percent, 6)"],
+    tables.GEO_ENERGY: ["date", "zip", "round(kwh, 9)"],
+    tables.METER_STATS: ["house_id", "meter_id", "p97"],
+}
+
+
+def make_readings(spark, n=600, seed=1):
+    """Few meters over three days, with seconds that several readings share."""
+    draw = random.Random(seed)
+    rows = []
+    for _ in range(n):
+        meter = draw.randrange(1, 5)
+        ts = START + draw.randrange(3) * DAY + draw.randrange(60) * 7
+        rows.append((draw.randrange(2), str(meter), ts, "mains" if meter <= 2 else draw.choice(["oven", "tv"]), draw.randrange(4000) / 4, draw.choice(["z1", "z2"])))
+    frame = spark.createDataFrame(rows, "house_id bigint, meter_id string, ts bigint, label string, power double, zip string")
+    return frame.withColumn("date", F.from_unixtime("ts", "yyyy-MM-dd"))
+
+
+def served(spark, root):
+    return {t.name: rows_of(tables.read(spark, root, t).selectExpr(*columns)) for t, columns in TABLES.items()}
+
+
+def whole(spark, tmp_path, readings):
+    run_batch(pack_readings(readings), f"{tmp_path}/whole")
+    return served(spark, f"{tmp_path}/whole")
+
+
+SPLITS = {
+    "by day": [f"date = '2011-04-{d}'" for d in (19, 20, 21)],
+    "in time": [f"ts % {DAY} < 140", f"ts % {DAY} BETWEEN 140 AND 280", f"ts % {DAY} > 280"],
+    "backwards": [f"ts % {DAY} > 210", f"ts % {DAY} <= 210"],
+    "interleaved": ["pmod(xxhash64(ts, power), 3) = 0", "pmod(xxhash64(ts, power), 3) = 1", "pmod(xxhash64(ts, power), 3) = 2"],
+    "inside a second": ["label < 'n' AND power < 500", "NOT (label < 'n' AND power < 500)"],
+    "one reading ahead": ["house_id = 1 AND power > 990", "NOT (house_id = 1 AND power > 990)"],
+}
+
+
+@pytest.mark.parametrize("split", list(SPLITS))
+def test_any_split_into_runs_gives_the_same_tables(spark, tmp_path, split):
+    readings = make_readings(spark)
+    for k, condition in enumerate(SPLITS[split]):
+        run_batch(pack_readings(readings.where(condition)), f"{tmp_path}/parts", part=str(k))
+    found = served(spark, f"{tmp_path}/parts")
+    assert found == whole(spark, tmp_path, readings)
+    assert len(found["mains_energy"]) >= 12 and len(found["meter_stats"]) == 8
+
+
+def test_segments_of_a_split_in_time_need_no_readings(spark):
+    readings = make_readings(spark)
+    parts = [meter_day_segments(readings.where(f"ts % {DAY} {op} 210")) for op in ("<=", ">")]
+    merged = merge_segments(parts[1].unionByName(parts[0]))
+    assert merged.where("interleaved").count() == 0
+    columns = ["house_id", "meter_id", "zip", "date", "label", F.round("joules", 6), "n_readings"]
+    assert rows_of(segment_energy(merged.drop("interleaved")), *columns) == rows_of(meter_day_energy(readings), *columns)
+
+
+def test_an_ended_second_that_goes_on_is_interleaved(spark, readings_of):
+    one, two = readings_of((1, "3", START, "a", 1), (1, "3", START + 5, "b", 2)), readings_of((1, "3", START + 5, "a", 9), (1, "3", START + 9, "a", 1))
+    merged = merge_segments(meter_day_segments(one).unionByName(meter_day_segments(two)))
+    assert rows_of(merged, "interleaved") == [(True,)]
+
+
+def test_sketches_of_runs_and_days_add_up(spark):
+    readings = make_readings(spark, 3000)
+    halves = [power_sketches(readings.where(f"pmod(xxhash64(ts, power), 2) = {k}")) for k in (0, 1)]
+    assert rows_of(sketched_p97(halves[0].unionByName(halves[1]))) == rows_of(meter_p97(readings))
+
+
+def test_a_large_meter_keeps_the_bound_of_the_sketch(spark):
+    """Far more readings than a sketch holds, in thirty days: the rank of what it gives is 0.97 within its bound."""
+    readings = spark.range(600_000).selectExpr("1L AS house_id", "'3' AS meter_id", "string(id % 30) AS date", "double(pmod(xxhash64(id), 1000003)) + 1 AS power")
+    found = sketched_p97(power_sketches(readings)).first()["p97"]
+    rank = readings.where(F.col("power") <= found).count() / 600_000
+    assert abs(rank - 0.97) < 0.002
+
+
+GOOD = '{"timestamp": "%d", "houseId": 1, "zip": "z", "readings": [{"meterId": "1", "power": "%s", "label": "mains"}]}'
+
+
+def put(path, *lines):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text("\n".join(lines) + "\n")
+
+
+def test_files_are_consumed_once(spark, tmp_path):
+    root, lines = f"{tmp_path}/tables", tmp_path / "in"
+    put(lines / "a.json", GOOD % (START, 100), "{broken")
+    put(lines / "h" / "b.json", GOOD % (START + 10, "x"))
+    assert ingest(spark, root, str(lines)) == 2
+    put(lines / "h" / "c.json", GOOD % (START + 20, 400), GOOD % (START + DAY, 1))
+    assert ingest(spark, root, str(lines)) == 1
+    assert ingest(spark, root, str(lines)) == 0
+    # The later file continues a day; each bad line counts once.
+    assert rows_of(read_quarantine(spark, root), "reason") == [("malformed",), ("power",)]
+    kwh = 100 * 20 / 1000 / 3600
+    assert rows_of(tables.read(spark, root, tables.MAINS_ENERGY), "date", "label", F.round("kwh", 9)) == [("2011-04-19", "mains", round(kwh, 9)), ("2011-04-20", "NONE", 0.0)]
+    assert rows_of(tables.read(spark, root, tables.METER_STATS), "p97") == [(400.0,)]
+    put(lines / "a.json", GOOD % (START, 100), "{broken", "{again")
+    with pytest.raises(ValueError, match="a.json"):
+        ingest(spark, root, str(lines))
+
+
+def test_a_job_that_dies_after_its_commit_is_finished_by_the_next(spark, tmp_path, monkeypatch):
+    root, lines = f"{tmp_path}/tables", tmp_path / "in"
+    put(lines / "a.json", GOOD % (START, 100), GOOD % (START + 10, 100))
+
+    def die(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(batch, "label_day_energy", die)
+        with pytest.raises(OSError):
+            ingest(spark, root, str(lines))
+    assert runs.current(spark, root).dirty == ("2011-04-19",) and tables.read(spark, root, tables.MAINS_ENERGY).count() == 0
+    assert ingest(spark, root, str(lines)) == 0
+    assert tables.read(spark, root, tables.MAINS_ENERGY).count() == 1 and runs.current(spark, root).dirty == ()
+
+
+def test_a_job_that_dies_before_its_commit_changes_nothing(spark, tmp_path, monkeypatch):
+    root, lines = f"{tmp_path}/tables", tmp_path / "in"
+    put(lines / "a.json", GOOD % (START, 100), GOOD % (START + 10, 100), "{broken")
+
+    def die(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(batch, "power_sketches", die)
+        with pytest.raises(OSError):
+            ingest(spark, root, str(lines))
+    assert read_quarantine(spark, root).count() == 0
+    assert ingest(spark, root, str(lines)) == 1
+    assert read_quarantine(spark, root).count() == 1 and tables.read(spark, root, tables.MAINS_ENERGY).count() == 1
+
+
+def test_a_part_with_other_contents_replaces_all_it_had(spark, tmp_path):
+    readings, root = make_readings(spark), f"{tmp_path}/parts"
+    first, second = readings.where("date < '2011-04-21' OR house_id = 0"), readings.where("date = '2011-04-21' AND house_id = 1")
+    run_batch(pack_readings(readings.where("date = '2011-04-19'")), root, "kept")
+    run_batch(pack_readings(first), root, "changed")
+    run_batch(pack_readings(second), root, "changed")
+    assert served(spark, root) == whole(spark, tmp_path, readings.where("date = '2011-04-19'").unionByName(second))
+
+
+def test_many_runs_are_packed_and_stay_the_same(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "RETAINED_SECONDS", 0)
+    root = f"{tmp_path}/tables"
+    for k in range(6):
+        put(tmp_path / "in" / f"{k}.json", GOOD % (START + 100 * k, k + 1), GOOD % (START + 100 * k + 50, 7), "{broken")
+        assert ingest(spark, root, f"{tmp_path}/in") == 1
+        runs.pack(spark, root, fan_in=2)
+    store = runs.current(spark, root)
+    assert sorted(r.level for r in store.runs) == [1, 2]
+    assert ingest(spark, root, f"{tmp_path}/in") == 0
+    assert read_quarantine(spark, root).count() == 6
+    joules = sum(50 * (k + 1) + 50 * 7 for k in range(6)) - 50 * 7
+    assert rows_of(tables.read(spark, root, tables.MAINS_ENERGY), F.round("kwh", 9)) == [(round(joules / 3.6e6, 9),)]
+    # Replaced runs went with the next commits.
+    folders = [p.name for p in (tmp_path / "tables" / "ingest" / "runs").iterdir()]
+    assert {r.id for r in store.runs} <= set(folders) and len(folders) <= 4
+
+
+def test_each_text_is_parsed_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for rows in batches:
+            seen.add(rows.num_rows)
+            yield rows
+
+    lines = [GOOD % (START + k, k) for k in range(50)] + ["{broken"] * 5
+    texts = spark.createDataFrame([(x,) for x in lines], "value string").mapInArrow(count, "value string")
+    run_batch(parse_json(texts), str(tmp_path), part="once")
+    assert seen.value == 55
+    plan = route_records(parse_json(texts))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
+def test_routed_records_are_what_the_parts_are(spark):
+    lines = [GOOD % (START, 5), GOOD % (START, "x"), "{broken", '{"timestamp": "soon"}', '{"timestamp": "5", "houseId": 1}', '{"timestamp": "5", "houseId": 1, "readings": [null, {}]}', '{"timestamp": "5", "houseId": 1, "readings": []}']
+    records = parse_json(spark.createDataFrame([(x,) for x in lines], "value string"))
+    routed = route_records(records)
+    assert rows_of(routed.where("outcome = 'accepted'"), "house_id", "ts", "power") == rows_of(expand_readings(records), "house_id", "ts", "power")
+    expected = rows_of(rejected_records(records), "reject_reason") + rows_of(rejected_readings(records), "reject_reason")
+    assert rows_of(routed.where("outcome = 'rejected'"), "reason") == sorted(expected)
+    assert routed.where("outcome = 'rejected' AND original IS NULL").count() == 0
+
+
+def test_empty_input(spark, tmp_path):
+    run_batch(parse_json(spark.createDataFrame([], "value string")), str(tmp_path))
+    assert read_quarantine(spark, str(tmp_path)).count() == 0 and tables.read(spark, str(tmp_path), tables.METER_STATS).count() == 0

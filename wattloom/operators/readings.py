@@ -100,6 +100,39 @@ def rejected_readings(records: DataFrame) -> DataFrame:
     return _exploded(records).where(~_usable_reading()).withColumn("reject_reason", reason).drop("power")
 
 
+def route_records(records: DataFrame, date_format: str = DATE_FORMAT) -> DataFrame:
+    """Everything that is in ``records``, each piece once: readings, and rejects with reason and original.
+
+    ``outcome`` is 'accepted' for a usable reading of a usable record, else 'rejected'. One pass over the
+    records makes both, so a single write by outcome parses each text once.
+    """
+    flagged, ts = flag_records(records), parse_seconds(F.col("timestamp"))
+    fields = {"house_id": "bigint", "date": "string", "ts": "bigint", "zip": "string", "label": "string", "meter_id": "string", "power": "double"}
+    broken = F.to_json(F.struct(*[F.col(c) for c in records.columns]))
+    whole = F.struct(
+        *[F.lit(None).cast(kind).alias(name) for name, kind in fields.items()],
+        F.col("reject_reason").alias("reason"),
+        broken.alias("original"),
+    )
+    shared = {"house_id": F.col("houseId"), "date": ts_to_date(ts, date_format), "ts": ts, "zip": F.col("zip")}
+
+    def piece(reading: Column) -> Column:
+        power, channel = parse_power(reading["power"]), reading["meterId"].try_cast("int")
+        reason = F.when(power.isNull(), "power").when(channel.isNull(), "meter")
+        own = {"label": reading["label"], "meter_id": reading["meterId"]}
+        wrong = F.to_json(F.struct(*[v.alias(n) for n, v in (shared | own | {"power_text": reading["power"]}).items()]))
+        values = shared | own | {"power": power}
+        return F.struct(
+            *[values[n].cast(kind).alias(n) for n, kind in fields.items()],
+            reason.alias("reason"),
+            F.when(reason.isNotNull(), wrong).alias("original"),
+        )
+
+    pieces = F.when(F.col("reject_reason").isNotNull(), F.array(whole)).otherwise(F.transform("readings", piece))
+    outcome = F.when(F.col("reason").isNull(), "accepted").otherwise("rejected").alias("outcome")
+    return flagged.select(F.inline(pieces)).select("*", outcome)
+
+
 def rejected_input(records: DataFrame) -> DataFrame:
     """Rejected records and the rejected readings of others, each with the columns of its kind, else null."""
     return rejected_records(records).unionByName(rejected_readings(records), allowMissingColumns=True)

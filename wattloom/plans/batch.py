@@ -2,59 +2,130 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.operators.energy import geo_energy, label_day_energy, meter_day_energy
-from wattloom.operators.readings import APPLIANCE, MAINS, expand_readings, rejected_readings, rejected_records, with_layer
+from wattloom.operators.energy import (
+    METER_DAY,
+    geo_energy,
+    label_day_energy,
+    merge_segments,
+    meter_day_segments,
+    segment_energy,
+)
+from wattloom.operators.readings import APPLIANCE, MAINS, route_records
 from wattloom.operators.share import appliance_share
-from wattloom.operators.stats import meter_p97
+from wattloom.operators.stats import power_sketches, sketched_p97
 from wattloom.session import fresh_dir
-from wattloom.sources import tables
+from wattloom.sources import runs, tables
 from wattloom.sources.folders import Folders
-from wattloom.sources.quarantine import input_part, quarantine
+from wattloom.sources.quarantine import input_part
+from wattloom.sources.records import read_records
 
 ENERGY_COLUMNS = ["house_id", "date", "zip", "label", "kwh"]
 
 
-def rejects(records: DataFrame) -> DataFrame:
-    """reason, original: records that cannot be used, and readings of others that cannot, as JSON."""
-    bad = rejected_records(records)
-    broken = F.to_json(F.struct(*[c for c in bad.columns if c != "reject_reason"]))
-    readings = rejected_readings(records)
-    wrong = F.to_json(F.struct(*[c for c in readings.columns if c != "reject_reason"]))
-    reason = F.col("reject_reason").alias("reason")
-    return bad.select(reason, broken.alias("original")).unionByName(readings.select(reason, wrong.alias("original")))
+def run_batch(records: DataFrame, root: str, part: str | None = None, files: DataFrame | None = None) -> None:
+    """Take ``records`` in and bring mains_energy, appliance_energy, appliance_share, geo_energy and meter_stats up to date.
 
+    Records are parsed once and written by outcome, readings and rejects, into the run's folder. From the readings come
+    a segment and a sketch of each meter-day. Then one manifest makes the run count, and the tables of the dates
+    it has are made from the segments of all runs: a day that comes in pieces, in any order, has the energy of all its
+    readings, and a percentile is that of all days of its meter.
 
-def run_batch(records: DataFrame, root: str, part: str | None = None) -> None:
-    """Fill mains_energy, appliance_energy, appliance_share, geo_energy and meter_stats, and the quarantine.
+    A run replaces an earlier one with the same ``part``. By default that is named by the files and the plan of
+    ``records``, so that runs on other records add to what is there. With ``files``, the run has consumed these for good
+    and bears no part; see :func:`ingest`.
+    """
+    spark, run = records.sparkSession, uuid.uuid4().hex
+    if files is None:
+        part = part or input_part(records, str(records.semanticHash()))
+    store = runs.current(spark, root)
+    take_in(records, root, run, part, files)
+    replaced = [r for r in store.runs if part is not None and r.part == part]
+    touched = {d for r in [*(r.id for r in replaced), run] for d in runs.dates_of(spark, root, r)}
+    dirty = sorted({*store.dirty, *touched, *([runs.EVERY_METER] if replaced else [])})
+    store = runs.commit(spark, root, store, (*(r for r in store.runs if r not in replaced), runs.Run(run, part)), tuple(dirty))
+    refresh(spark, root, store)
 
-    Records are parsed and expanded once, into a readings table in the working folder, without a
-    shuffle. The statistics and the energy each scan it once, reading only the columns they need;
-    all other tables come from the label-days, which are smaller than the readings by the number
-    of readings in a day and are written before they are used. The working tables are removed at the end.
 
-    Rejects replace those of an earlier run with the same ``part``. By default it is named by the files and the
-    plan of ``records``, so that runs on other records keep theirs.
-    """
+def take_in(records: DataFrame, root: str, run: str, part: str | None, files: DataFrame | None) -> None:
+    """Write what a run has, without making it count."""
     spark = records.sparkSession
-    quarantine(rejects(records), root, part or input_part(records, str(records.semanticHash())))
-    places = [fresh_dir(spark, name) for name in ("readings", "label-days")]
+    named = F.lit(part or run).alias("part")
+    routed = route_records(records).select("*", named)
+    routed.write.partitionBy("outcome").parquet(f"{runs.run_path(root, run)}/rows")
+    # A run may have no readings, and then no such folder.
+    schema, _ = runs.KINDS[runs.READINGS]
+    place = runs.kind_path(root, run, runs.READINGS)
+    readings = spark.read.schema(schema).parquet(place) if Folders(spark).exists(place) else spark.createDataFrame([], schema)
+    meter_day_segments(readings).select("*", named).write.partitionBy("date").parquet(runs.kind_path(root, run, runs.SEGMENTS))
+    power_sketches(readings).select("*", named).write.parquet(runs.kind_path(root, run, runs.SKETCHES))
+    if files is not None:
+        files.select("*", named).write.parquet(runs.kind_path(root, run, runs.FILES))
+
+
+def meter_days_of(spark: SparkSession, root: str, store: runs.Store, dates: list[str], place: str) -> DataFrame:
+    """Energy of the meter-days of some dates from the segments of all runs.
+
+    Readings are read again only for meter-days in which those of several runs interleave, from runs that have
+    these dates.
+    """
+    merge_segments(runs.read(spark, root, runs.SEGMENTS, store, dates)).write.parquet(f"{place}/merged")
+    merged = spark.read.parquet(f"{place}/merged")
+    interleaved = merged.where("interleaved").select(*METER_DAY)
+    whole = merged.where("NOT interleaved").drop("interleaved")
+    mixed_dates = [r["date"] for r in interleaved.select("date").distinct().collect()]  # some of ``dates``
+    if mixed_dates:
+        readings = runs.read(spark, root, runs.READINGS, store, mixed_dates).drop("part")
+        anew = meter_day_segments(readings.join(interleaved, METER_DAY, "left_semi"))
+        anew.write.parquet(f"{place}/anew")
+        whole = whole.unionByName(spark.read.parquet(f"{place}/anew"))
+    return segment_energy(whole)
+
 
-    def keep(rows: DataFrame, place: str) -> DataFrame:
-        rows.write.parquet(place)
-        return spark.read.schema(rows.schema).parquet(place)
+def refresh(spark: SparkSession, root: str, store: runs.Store) -> None:
+    """Make the serving tables of the store's dirty dates anew, then take the dates off the list."""
+    if not store.dirty:
+        return
+    places = [fresh_dir(spark, name) for name in ("meter-days", "label-days")]
+    dates = [d for d in store.dirty if d != runs.EVERY_METER]
+    covers = [f"date={d}" for d in dates]
 
-    readings = keep(with_layer(expand_readings(records)), places[0])
-    tables.upsert(meter_p97(readings), root, tables.METER_STATS, unique=True)
+    sketches = runs.read(spark, root, runs.SKETCHES, store)
+    if runs.EVERY_METER in store.dirty:
+        shards = list(tables.current(spark, tables.table_path(root, tables.METER_STATS)).partitions)
+        tables.overwrite(sketched_p97(sketches), root, tables.METER_STATS, covers=shards)
+    else:
+        met = sketches.where(F.col("date").isin(dates)).select("house_id", "meter_id").distinct()
+        tables.upsert(sketched_p97(sketches.join(met, ["house_id", "meter_id"], "left_semi")), root, tables.METER_STATS, unique=True)
 
-    label_days = keep(label_day_energy(meter_day_energy(readings)), places[1])
+    meter_days = meter_days_of(spark, root, store, dates, places[0])
+    label_day_energy(meter_days).write.parquet(places[1])
+    label_days = spark.read.parquet(places[1])
     mains, appliances = (label_days.where(label_days["layer"] == layer) for layer in (MAINS, APPLIANCE))
+    tables.overwrite(mains.select(*ENERGY_COLUMNS), root, tables.MAINS_ENERGY, covers)
+    tables.overwrite(appliances.select(*ENERGY_COLUMNS), root, tables.APPLIANCE_ENERGY, covers)
+    tables.overwrite(geo_energy(label_days), root, tables.GEO_ENERGY, covers)
+    tables.overwrite(appliance_share(label_days), root, tables.APPLIANCE_SHARE, covers)
 
-    tables.upsert(mains.select(*ENERGY_COLUMNS), root, tables.MAINS_ENERGY, unique=True)
-    tables.upsert(appliances.select(*ENERGY_COLUMNS), root, tables.APPLIANCE_ENERGY, unique=True)
-    tables.upsert(geo_energy(label_days), root, tables.GEO_ENERGY, unique=True)
-    tables.upsert(appliance_share(label_days), root, tables.APPLIANCE_SHARE, unique=True)
+    runs.commit(spark, root, store, store.runs, ())
     for place in places:
         Folders(spark).remove(place)
+
+
+def ingest(spark: SparkSession, root: str, *paths: str) -> int:
+    """Run the batch job on the files below ``paths`` that no run has consumed; returns how many there were.
+
+    Files are told by path, and one that was consumed must not change. What an earlier job left unrefreshed is
+    finished first. Many small runs are packed into larger ones.
+    """
+    refresh(spark, root, runs.current(spark, root))
+    files = runs.new_files(spark, root, runs.listing(spark, *paths)).collect()  # Spark lists these on the driver too
+    if files:
+        listed = spark.createDataFrame(files, runs.KINDS[runs.FILES][0])
+        run_batch(read_records(spark, *[f["path"] for f in files]), root, files=listed)
+        runs.pack(spark, root)
+    return len(files)

@@ -13,6 +13,7 @@ import argparse
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from wattloom.functions.days import parse_anchor
 from wattloom.operators.quality import MAX_GAP
@@ -25,11 +26,11 @@ from wattloom.operators.readings import (
     to_messages,
 )
 from wattloom.operators.replicate import CALENDAR_DAYS
-from wattloom.plans.batch import run_batch
+from wattloom.plans.batch import ingest, run_batch
 from wattloom.plans.prep import clean_days_of, replay_records
 from wattloom.session import build_session
 from wattloom.sources import files
-from wattloom.sources.quarantine import input_part, quarantine
+from wattloom.sources.quarantine import quarantine_files
 from wattloom.sources.records import publish, read_records, stream_values
 from wattloom.streaming.power import TRIGGER, start_alerts, start_mains_power, start_quarantine, stored_stats
 
@@ -47,33 +48,42 @@ def _trigger(args: argparse.Namespace) -> str | None:
 
 
 def batch(spark: SparkSession, args: argparse.Namespace) -> None:
-    records = read_records(spark, *args.records)
-    run_batch(records, args.root, args.part or input_part(records))
+    if args.part:
+        run_batch(read_records(spark, *args.records), args.root, args.part)
+    else:
+        ingest(spark, args.root, *args.records)
+
+
+def _until_end(*queries: StreamingQuery) -> None:
+    """Wait for all streams; one that dies takes the others with it."""
+    waiting = list(queries)
+    try:
+        while waiting:
+            waiting = [q for q in waiting if not q.awaitTermination(1)]
+    except Exception:
+        for query in waiting:
+            query.stop()
+        raise
 
 
 def live(spark: SparkSession, args: argparse.Namespace) -> None:
     records = _stream(spark, args)
     aside = start_quarantine(records, rejected_mains_records, args.root, f"{args.checkpoint}-rejects", _trigger(args))
     power = record_mains_power(records)
-    start_mains_power(power, args.root, args.checkpoint, args.window, _trigger(args), args.merge).awaitTermination()
-    aside.awaitTermination()
+    _until_end(aside, start_mains_power(power, args.root, args.checkpoint, args.window, _trigger(args), args.merge))
 
 
 def alerts(spark: SparkSession, args: argparse.Namespace) -> None:
     records = _stream(spark, args)
     aside = start_quarantine(records, rejected_input, args.root, f"{args.checkpoint}-rejects", _trigger(args))
     stats = stored_stats(args.root)
-    query = start_alerts(expand_readings(records), stats, args.root, args.checkpoint, args.margin, args.salts, _trigger(args))
-    query.awaitTermination()
-    aside.awaitTermination()
+    _until_end(aside, start_alerts(expand_readings(records), stats, args.root, args.checkpoint, args.margin, args.salts, _trigger(args)))
 
 
 def _channels(spark: SparkSession, args: argparse.Namespace, beside: str):
     """The channel readings; bad lines are set aside, by default in a folder beside the clean days."""
-    channels = files.read_channels(spark, *args.channels)
-    root = args.root or f"{beside.rstrip('/')}-rejects"
-    quarantine(files.rejected_channels(spark, *args.channels), root, input_part(channels))
-    return channels
+    quarantine_files(files.rejected_channels(spark, *args.channels), args.root or f"{beside.rstrip('/')}-rejects")
+    return files.read_channels(spark, *args.channels)
 
 
 def clean_days(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -119,7 +129,7 @@ def _parser() -> argparse.ArgumentParser:
 
     sub = job("batch", batch, "root")
     sub.add_argument("--records", nargs="+", required=True)
-    sub.add_argument("--part", help="name of the run's rejects; by default from the names of its files")
+    sub.add_argument("--part", help="take all the files as one run, which replaces an earlier one of this name; by default files that no run has consumed")
 
     sub = job("live", live, "root", "checkpoint")
     streaming(sub)

@@ -31,15 +31,16 @@ def read_channels(spark: SparkSession, *paths: str) -> DataFrame:
 
 
 def rejected_channels(spark: SparkSession, *paths: str) -> DataFrame:
-    """reason, original (file and line as JSON): the lines of ``read_channels`` that lack a value."""
+    """file, reason, original (file and line as JSON): the lines of ``read_channels`` that lack a value."""
     read = _fields(spark, paths).select(
+        "file",
         F.regexp_extract("file", CHANNEL_PATH, 0).alias("place"),
         parse_seconds(F.get("f", F.lit(0))).alias("ts"),
         parse_power(F.get("f", F.lit(1))).alias("power"),
         F.to_json(F.struct("file", F.col("value").alias("line"))).alias("original"),
     )
     reason = F.when(F.col("place") == "", "path").when(F.col("ts").isNull(), "timestamp").when(F.col("power").isNull(), "power")
-    return read.select(reason.alias("reason"), "original").where("reason IS NOT NULL")
+    return read.select("file", reason.alias("reason"), "original").where("reason IS NOT NULL")
 
 
 def read_labels(spark: SparkSession, *paths: str) -> DataFrame:

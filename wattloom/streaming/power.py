@@ -15,8 +15,20 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wattloom.functions.days import ts_to_date
 from wattloom.operators.alerts import overshoot_alerts
-from wattloom.sources.quarantine import quarantine
-from wattloom.sources.tables import METER_STATS, RT_POWER, Table, append_batch, fold_log, read, read_log, run_of
+from wattloom.sources.quarantine import STREAM_REJECTS
+from wattloom.sources.tables import (
+    FAN_IN,
+    METER_STATS,
+    RT_POWER,
+    ConcurrentCommit,
+    Table,
+    append_batch,
+    fold_log,
+    pack_log,
+    read,
+    read_log,
+    run_of,
+)
 
 # Fixed value: how often the live power is handed on.
 TRIGGER = "1 second"
@@ -46,6 +58,16 @@ def each_batch(
     return writer.foreachBatch(hand_on).start()
 
 
+def _append_and_pack(rows: DataFrame, root: str, table: Table, batch_id: int, run: str) -> None:
+    """Append a micro-batch, and now and then pack those before it."""
+    append_batch(rows, root, table, batch_id, run)
+    if batch_id % FAN_IN == FAN_IN - 1:
+        try:
+            pack_log(rows.sparkSession, root, table, {run: batch_id - 1})
+        except ConcurrentCommit:  # a stream beside this one packs; the next turn will do
+            pass
+
+
 def start_mains_power(
     power: DataFrame, root: str, checkpoint: str, width: str = "1 minute", trigger: str | None = TRIGGER, merge: bool = False
 ) -> StreamingQuery:
@@ -75,7 +97,7 @@ def start_batch_power(power: DataFrame, root: str, checkpoint: str, trigger: str
     run = run_of(power.sparkSession, checkpoint)
 
     def hand_on(batch: DataFrame, batch_id: int) -> None:
-        append_batch(batch_power(batch), root, BATCH_POWER, batch_id, run)
+        _append_and_pack(batch_power(batch), root, BATCH_POWER, batch_id, run)
 
     return each_batch(power, checkpoint, trigger, hand_on)
 
@@ -109,7 +131,7 @@ def start_alerts(
 
     def hand_on(batch: DataFrame, batch_id: int) -> None:
         found = overshoot_alerts(batch, stats(batch.sparkSession), margin, salts).withColumn("date", ts_to_date(F.col("ts")))
-        append_batch(found, root, ALERTS, batch_id, run)
+        _append_and_pack(found, root, ALERTS, batch_id, run)
 
     return each_batch(readings, checkpoint, trigger, hand_on)
 
@@ -123,7 +145,7 @@ def start_quarantine(
     def hand_on(batch: DataFrame, batch_id: int) -> None:
         bad = rejected(batch)
         text = F.to_json(F.struct(*[c for c in bad.columns if c != "reject_reason"])).alias("original")
-        quarantine(bad.select(F.col("reject_reason").alias("reason"), text), root, f"{run}-{batch_id}")
+        _append_and_pack(bad.select(F.col("reject_reason").alias("reason"), text), root, STREAM_REJECTS, batch_id, run)
 
     return each_batch(records, checkpoint, trigger, hand_on)
 
