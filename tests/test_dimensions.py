@@ -1,5 +1,10 @@
+import pytest
+from pyspark.sql import functions as F
+
 from tests.conftest import rows_of
+from wattloom.functions.draws import digest
 from wattloom.operators import dimensions as D
+from wattloom.operators.dimensions import sample_zips
 
 HOUSES = "house_id bigint, source_house int, zip string, scale double"
 
@@ -66,3 +71,21 @@ def test_zip_difference_and_refresh(spark):
 def test_sample_is_sorted(spark):
     sample = [r.zip for r in D.sample_zips(zips(spark, *codes(500)), 20).collect()]
     assert sample == sorted(sample) and len(set(sample)) == 20
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 4_000, 4_999, 5_000, 9_000])
+def test_a_sample_equals_the_sorted_one(spark, n):
+    zips = spark.range(5_000).select(F.format_string("%05d", "id").alias("zip")).repartition(8)
+    found = sample_zips(zips, n, 3)
+    expected = zips.orderBy(digest(3, F.col("zip")), "zip").limit(n)
+    assert [r.zip for r in found.collect()] == sorted(r.zip for r in expected.collect())
+
+
+def test_no_task_of_a_sample_sees_all_rows(spark):
+    """What goes to one task are histograms and the few rows at the border."""
+    found = sample_zips(spark.range(50_000).select(F.format_string("%05d", "id").alias("zip")), 20_000)
+    assert found.count() == 20_000
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" not in plan and "GlobalLimit" not in plan
+    sizes = spark.range(50_000).select(F.substring(digest(0, F.format_string("%05d", "id")), 1, 6).alias("head")).groupBy("head").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 3

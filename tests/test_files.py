@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows_of
@@ -103,3 +104,31 @@ def test_publish_to_files(spark, tmp_path):
     records.publish(messages, "text", f"{tmp_path}/topics")
     assert rows_of(spark.read.text(f"{tmp_path}/topics/topic=lf")) == [("b",)]
     assert rows_of(messages.select(F.col("value"))) == [("a",), ("b",)]
+
+
+def test_inferred_records(spark, tmp_path):
+    lines = ['{"a": 1, "b": {"c": "x"}, "d": [{"e": 1.5}], "n": null}', '{"a": 2, "d": [{"e": 2, "f": true}, {}], "b": {"c": "y", "odd name": 3}}', "{broken", "[1]", "7", "", "{}"]
+    put(tmp_path / "in.json", "\n".join(lines) + "\n")
+    found = records.infer_records(spark, f"{tmp_path}/in.json")
+    assert sorted(found.columns) == ["_corrupt_record", "a", "b", "d", "n"]
+    assert rows_of(found.where("a IS NOT NULL"), "a", "b.c", "b.`odd name`", "d.f") == [(1, "x", None, [None]), (2, "y", 3, [True, None])]
+    assert rows_of(found.where("_corrupt_record IS NOT NULL"), "_corrupt_record") == [("7",), ("[1]",), ("{broken",)]
+    assert found.count() == 6
+    put(tmp_path / "mixed.json", '{"a": 1}\n{"a": "x"}\n')
+    mixed = records.infer_records(spark, f"{tmp_path}/mixed.json")
+    assert rows_of(mixed.select(F.to_json(F.struct("a")))) == [('{"a":"x"}',), ('{"a":1}',)]
+    put(tmp_path / "none.json", "\n")
+    assert records.infer_records(spark, f"{tmp_path}/none.json").count() == 0
+
+
+def test_written_topic_folders(spark, tmp_path):
+    put(tmp_path / "in.json", LINE % 0 + LINE % 3600 + LINE % 90_000)
+    found = records.read_records(spark, f"{tmp_path}/in.json")
+    records.write_topic(found, str(tmp_path), "hf")
+    assert sorted(str(p.relative_to(tmp_path)) for p in (tmp_path / "hf").glob("hourly/*/*/*/*")) == [f"hf/hourly/1970/01/{h}" for h in ("01/00", "01/01", "02/01")]
+    assert rows_of(records.read_topic(spark, str(tmp_path), "hf", 1970, 1, 1), "timestamp") == [("0",), ("3600",)]
+    with pytest.raises(FileExistsError):
+        records.write_topic(found.where("timestamp = '0'"), str(tmp_path), "hf")
+    put(tmp_path / "bad.json", "{broken\n")
+    with pytest.raises(ValueError):
+        records.write_topic(records.read_records(spark, f"{tmp_path}/bad.json"), str(tmp_path), "lf")

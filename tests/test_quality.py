@@ -3,7 +3,7 @@ import random
 import pytest
 
 from tests.conftest import rows_of
-from wattloom.operators.quality import channel_counts, clean_days, common_days, day_quality, gap_detect, readings_of_days
+from wattloom.operators.quality import channel_counts, clean_days, common_days, day_quality, days_of_all, gap_detect, readings_of_days
 
 DAY = 86_400
 START = 1_303_171_200  # a UTC midnight
@@ -123,3 +123,16 @@ def test_readings_of_days_with_shifted_days(spark, readings_of):
     assert rows_of(readings_of_days(frame, days), "ts", "day_start") == [
         (first, first), (START + DAY, first), (first + DAY - 1, first), (first + 3 * DAY + 5, first + 3 * DAY),
     ]
+
+
+def test_days_of_all_channels_of_a_house(spark):
+    draw = random.Random(4)
+    channels = {h: [str(m) for m in range(1, 2 + h)] for h in range(5)}
+    listed = [(h, m, START + d * DAY) for h, ms in channels.items() for m in ms for d in range(60) if draw.random() < 0.9]
+    listed += [(3, m, START + 40_000 * DAY) for m in channels[3]]  # beyond one bitmap
+    listed = [r for r in listed if r[:2] != (4, "2")]  # a channel without any listed day
+    known = spark.createDataFrame([(h, m) for h, ms in channels.items() for m in ms] * 2, "house_id bigint, meter_id string")
+    days = spark.createDataFrame(listed + listed[:9], "house_id bigint, meter_id string, day_start bigint")
+    expected = sorted((h, d) for h, ms in channels.items() for d in {r[2] for r in listed} if all((h, m, d) in set(listed) for m in ms))
+    assert rows_of(days_of_all(days, known, anchor=START)) == expected and len(expected) > 20
+    assert days_of_all(days.where("false"), known, anchor=START).count() == 0

@@ -2,15 +2,19 @@ import json
 import random
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tests.conftest import rows_of
 from wattloom.operators.alerts import overshoot_alerts
-from wattloom.operators.readings import only_layer, parse_json, record_mains_power
+from wattloom.operators.readings import only_layer, parse_json, record_mains_power, rejected_input
+from wattloom.plans.jobs import until_end
 from wattloom.sources import tables
 from wattloom.sources.events import read_readings, stream_readings
+from wattloom.sources.quarantine import read_quarantine
 from wattloom.sources.records import stream_values
 from wattloom.streaming import power as P
+from wattloom.streaming import windows as W
 
 START = 1_303_171_200
 READINGS = "house_id bigint, date string, ts bigint, zip string, label string, meter_id string, power double"
@@ -133,3 +137,95 @@ def test_stream_adapter_takes_a_folder_of_parts(spark, tmp_path):
     assert log.select("batch_id").distinct().count() == 3
     total = only_layer(read_readings(spark, str(tmp_path)), "mains").agg({"power": "sum"}).first()[0]
     assert log.agg({"watts_sum": "sum"}).first()[0] == pytest.approx(total)
+
+
+def feed_windows(spark, tmp_path, batches, width=60, delay=100):
+    """Micro-batches of (house, ts, watts), one at a time; the window stream's last progress of each."""
+    root, ddl, progress = str(tmp_path / "out"), "house_id bigint, date string, ts bigint, zip string, power double", []
+    for batch in batches:
+        rows = [(h, "2011-04-19", START + ts, "z", float(p)) for h, ts, p in batch]
+        spark.createDataFrame(rows, ddl).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(ddl).parquet(str(tmp_path / "in"))
+        W.start_parting(stream, root, f"{root}/parting", width, delay, trigger=None).awaitTermination()
+        query = W.start_windows(spark, root, f"{root}/windows", width, delay, trigger=None)
+        query.awaitTermination()
+        progress += [p for p in query.recentProgress if p["stateOperators"]]
+    found = W.read_windows(spark, root).select("house_id", F.unix_seconds("window_start") - START, "watts_sum", "late_watts_sum")
+    return rows_of(found), progress
+
+
+def test_late_rows_go_to_the_side_table(spark, tmp_path):
+    found, progress = feed_windows(spark, tmp_path, [
+        [(1, 5, 1), (1, 65, 2), (2, 70, 4)],
+        [(1, 400, 8), (1, 10, 16)],  # nothing is closed yet: the latest reading was at 70
+        [(1, 11, 32), (1, 299, 64), (1, 405, 128), (3, 0, 256)],  # windows that end by 400 - 100 are closed
+        [(1, 1200, 512), (2, 61, 1024)],
+        [(1, 1201, 2048), (1, 401, 4096)],
+    ])
+    assert found == sorted([
+        (1, 0, 17.0, 32.0), (1, 60, 2.0, None), (2, 60, 4.0, 1024.0), (1, 360, 136.0, 4096.0), (1, 240, None, 64.0), (3, 0, None, 256.0), (1, 1200, 2560.0, None),
+    ], key=lambda t: tuple((v is not None, v) for v in t))
+    # The watermark lets no row go unseen, and takes closed windows out of the state.
+    operators = [p["stateOperators"][0] for p in progress]
+    assert sum(o["numRowsDroppedByWatermark"] for o in operators) == 0
+    assert operators[-1]["numRowsTotal"] == 1
+
+
+def test_random_batches_lose_nothing(spark, tmp_path):
+    rng = random.Random(8)
+    batches = [[(rng.randrange(2), max(0, 300 * k + rng.randrange(-900, 200)), rng.randrange(1, 9)) for _ in range(40)] for k in range(5)]
+    found, _ = feed_windows(spark, tmp_path, batches)
+    expected, top = {}, None
+    for batch in batches:
+        for house, ts, watts in batch:
+            start = (START + ts) // 60 * 60 - START
+            late = top is not None and start + 60 <= top - 100
+            sums = expected.setdefault((house, start), [None, None])
+            sums[late] = (sums[late] or 0.0) + watts
+        top = max([t for _, t, _ in batch] + ([] if top is None else [top]))
+    assert found == sorted(((*k, *v) for k, v in expected.items()), key=lambda t: tuple((v is not None, v) for v in t))
+    assert sum(v[1] is not None for v in expected.values()) > 5
+
+
+def test_a_batch_that_runs_again_publishes_once(spark, tmp_path, monkeypatch):
+    """The job dies after its partial sums are out and before its mark is: the second run adds nothing."""
+    make = W.Folders.create_text
+
+    def die(self, path, text):
+        if ".marks/" in path:
+            raise OSError("lost")
+        make(self, path, text)
+
+    with monkeypatch.context() as broken:
+        broken.setattr(W.Folders, "create_text", die)
+        with pytest.raises(Exception, match="lost"):
+            feed_windows(spark, tmp_path, [[(1, 5, 1)]])
+    assert len(list((tmp_path / "out" / "window_partials" / "ready").iterdir())) == 1
+    assert feed_windows(spark, tmp_path, [[(1, 6, 2)]])[0] in ([(1, 0, 1.0, None)], [(1, 0, 3.0, None)])
+    assert feed_windows(spark, tmp_path, [[(1, 7, 4)]])[0] == [(1, 0, 7.0, None)]
+
+
+def test_batches_without_rejects_leave_no_files(spark, tmp_path):
+    source, root = tmp_path / "in", str(tmp_path / "out")
+    for i in range(3):
+        write_records(source, f"{i}.json", range(START, START + 30, 7), seed=i)
+        if i != 1:
+            (source / f"{i}.json").write_text((source / f"{i}.json").read_text().replace("{broken\n", ""))
+    records = parse_json(stream_values(spark, "text", str(source), maxFilesPerTrigger="1"))
+    P.start_quarantine(records, rejected_input, root, f"{root}/progress", trigger=None).awaitTermination()
+    assert rows_of(read_quarantine(spark, root), "reason") == [("malformed",)]
+    assert len(list((tmp_path / "out" / "quarantine_log").rglob("batch_id=*"))) == 1
+
+
+def test_a_stream_that_dies_ends_the_job(spark, tmp_path):
+    write_records(tmp_path / "in", "0.json", range(START, START + 30, 7))
+
+    def fail(batch, batch_id):
+        raise ValueError("no room for rejects")
+
+    source = parse_json(stream_values(spark, "text", str(tmp_path / "in")))
+    broken = source.writeStream.option("checkpointLocation", f"{tmp_path}/a").foreachBatch(fail).start()
+    steady = source.writeStream.option("checkpointLocation", f"{tmp_path}/b").trigger(processingTime="1 second").foreachBatch(lambda *_: None).start()
+    with pytest.raises(StreamingQueryException):
+        until_end(steady, broken)
+    assert not steady.isActive

@@ -14,10 +14,3 @@ def digest(seed: int, *keys: Column) -> Column:
 def unit_draw(seed: int, *keys: Column) -> Column:
     """Uniform in [0, 1) from the first 32 bits of the digest. Meant for dimension-sized data."""
     return F.conv(F.substring(digest(seed, *keys), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
-
-
-def spread_draw(spread: float, seed: int, *keys: Column) -> Column:
-    """A factor in [1 - spread, 1 + spread), cheap enough to compute for every reading."""
-    steps = 1_000_000
-    unit = F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(steps)) / F.lit(float(steps))
-    return (unit * 2.0 - 1.0) * F.lit(spread) + F.lit(1.0)

@@ -144,6 +144,28 @@ def common_days(left: DataFrame, right: DataFrame, keys: Sequence[str] = ("house
     return left.select(*columns).intersect(right.select(*columns)).orderBy(*columns)
 
 
+def days_of_all(days: DataFrame, channels: DataFrame, keys: Sequence[str] = ("house_id",), anchor: Column | int = 0) -> DataFrame:
+    """Days that are listed for every channel of a house: (keys, day_start), for any number of channels.
+
+    ``days`` has (keys, meter_id, day_start), counted from ``anchor``; ``channels`` names the channels
+    (keys, meter_id) that have to agree, those without any listed day too. The days of a channel become a bitmap, 4 KB for
+    89 years, and the bitmaps of a house are combined by AND where they are, before a shuffle.
+    """
+    number = F.floor((F.col("day_start") - _as_column(anchor)) / F.lit(DAY)).cast("bigint") + F.lit(1)
+    channel = [*keys, "meter_id"]
+    numbered = days.select(*channel, number.alias("number")).withColumn("bucket", F.bitmap_bucket_number("number"))
+    maps = numbered.groupBy(*channel, "bucket").agg(F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("days"))
+    common = maps.groupBy(*keys, "bucket").agg(F.bitmap_and_agg("days").alias("days"), F.count(F.lit(1)).alias("n"))
+    wanted = channels.select(*channel).distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("n_channels"))
+    whole = common.join(wanted, list(keys)).where("n = n_channels")
+    # Bytes of the bitmap, then the bits that are set in them.
+    per_byte = whole.select(*keys, "bucket", F.posexplode(F.split(F.hex("days"), "(?<=\\G..)")).alias("at", "hex")).where("hex <> '00' AND hex <> ''")
+    bits = per_byte.select(*keys, "bucket", "at", F.conv("hex", 16, 10).cast("int").alias("byte"), F.explode(F.sequence(F.lit(0), F.lit(7))).alias("bit"))
+    found = bits.where("getbit(byte, bit) = 1")
+    index = (F.col("bucket") - F.lit(1)) * F.lit(32_768) + F.col("at") * F.lit(8) + F.col("bit")
+    return found.select(*keys, (_as_column(anchor) + index * F.lit(DAY)).alias("day_start"))
+
+
 def readings_of_days(readings: DataFrame, days: DataFrame, keys: Sequence[str] = ("house_id",)) -> DataFrame:
     """Readings inside a listed day [day_start, day_start + 86400), with that day's columns.
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattloom.functions.days import DAY
-from wattloom.functions.draws import spread_draw
+from wattloom.functions.draws import unit_draw
 from wattloom.functions.units import two_decimals
 from wattloom.operators.quality import readings_of_days
 
@@ -19,7 +19,7 @@ CHANNEL_SPREAD = 0.05
 
 def channel_factor(seed: int = 0) -> Column:
     """A repeatable factor in [0.95, 1.05) for each house and channel."""
-    return spread_draw(CHANNEL_SPREAD, seed, F.col("house_id"), F.col("meter_id"))
+    return (unit_draw(seed, F.col("house_id"), F.col("meter_id")) * 2.0 - 1.0) * F.lit(CHANNEL_SPREAD) + F.lit(1.0)
 
 
 def replay_plan(clean: DataFrame, keys: Sequence[str] = ("house_id",), days: int = CALENDAR_DAYS) -> DataFrame:
@@ -56,12 +56,14 @@ def replicate_days(
     moved = F.col("ts") - F.col("day_start") + F.col("origin") + F.col("day_no") * F.lit(DAY) + offset
     return (
         readings_of_days(readings, replay_plan(clean, keys, days), keys)
+        # A reading is scaled once, however many days it goes to.
+        .withColumn("power", two_decimals(F.col("power") * scale).cast("double"))
         .withColumn("day_no", F.explode("slots"))
         .select(
             *keys,
             "meter_id",
             F.col("day_no").cast("bigint").alias("day_no"),
             moved.cast("bigint").alias("ts"),
-            two_decimals(F.col("power") * scale).cast("double").alias("power"),
+            "power",
         )
     )

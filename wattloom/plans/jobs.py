@@ -54,7 +54,7 @@ def batch(spark: SparkSession, args: argparse.Namespace) -> None:
         ingest(spark, args.root, *args.records)
 
 
-def _until_end(*queries: StreamingQuery) -> None:
+def until_end(*queries: StreamingQuery) -> None:
     """Wait for all streams; one that dies takes the others with it."""
     waiting = list(queries)
     try:
@@ -70,14 +70,14 @@ def live(spark: SparkSession, args: argparse.Namespace) -> None:
     records = _stream(spark, args)
     aside = start_quarantine(records, rejected_mains_records, args.root, f"{args.checkpoint}-rejects", _trigger(args))
     power = record_mains_power(records)
-    _until_end(aside, start_mains_power(power, args.root, args.checkpoint, args.window, _trigger(args), args.merge))
+    until_end(aside, start_mains_power(power, args.root, args.checkpoint, args.window, _trigger(args), args.merge))
 
 
 def alerts(spark: SparkSession, args: argparse.Namespace) -> None:
     records = _stream(spark, args)
     aside = start_quarantine(records, rejected_input, args.root, f"{args.checkpoint}-rejects", _trigger(args))
     stats = stored_stats(args.root)
-    _until_end(aside, start_alerts(expand_readings(records), stats, args.root, args.checkpoint, args.margin, args.salts, _trigger(args)))
+    until_end(aside, start_alerts(expand_readings(records), stats, args.root, args.checkpoint, args.margin, args.salts, _trigger(args)))
 
 
 def _channels(spark: SparkSession, args: argparse.Namespace, beside: str):

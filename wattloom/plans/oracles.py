@@ -109,6 +109,60 @@ def _draw(seed: int) -> str:
     return f"(CAST('0x' || substr({digest}, 1, 8) AS BIGINT) / CAST(4294967296 AS DOUBLE))"
 
 
+# Mains events in the batches they come by; late is what comes when its window is a day past.
+LATE = f"""WITH mains AS (
+  SELECT user_id % 25 AS house_id, strftime(ts, '%Y-%m-%d') AS date, CAST(floor(epoch(ts)) AS BIGINT) AS ts,
+         lpad(CAST(user_id % 25 % 10 AS VARCHAR), 5, '0') AS zip, value AS power,
+         (day(ts) - 1) // 11 + CASE WHEN event_id % 10 = 0 THEN 1 ELSE 0 END AS batch_no
+  FROM events WHERE event_type IN ('view', 'click')),
+tops AS (SELECT batch_no, max(max(ts)) OVER (ORDER BY batch_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM mains GROUP BY batch_no),
+parted AS (
+  SELECT ts - ts % 600 AS window_start, house_id, date, zip, power, coalesce(ts - ts % 600 + 600 <= top - 86400, FALSE) AS late
+  FROM mains JOIN tops USING (batch_no))
+SELECT window_start, house_id, date, zip, round(sum(power) FILTER (NOT late), 6) AS watts_sum, round(sum(power) FILTER (late), 6) AS late_watts_sum
+FROM parted GROUP BY window_start, house_id, date, zip"""
+
+STEP_FACTOR = "(CAST(0.95 AS DOUBLE) + CAST(0.01 AS DOUBLE) * ((r.house_id * 7 + CAST(r.meter_id AS BIGINT) * 3) % 11))"
+DRAWN_FACTOR = (
+    "((CAST('0x' || substr(md5(CAST(r.house_id AS VARCHAR) || '|' || r.meter_id || '|0'), 1, 8) AS BIGINT)"
+    " / CAST(4294967296 AS DOUBLE) * 2 - 1) * CAST(0.05 AS DOUBLE) + 1)"
+)
+
+
+def _replay(source: str, clean: str, days: int, factor: str, shift: int = 0) -> str:
+    """Days of ``clean`` replayed, as the CTEs ordered, targets and replayed."""
+    return f"""
+ordered AS (
+  SELECT house_id, day_start, row_number() OVER (PARTITION BY house_id ORDER BY day_start) - 1 AS ordinal,
+         count(*) OVER (PARTITION BY house_id) AS n_days, min(day_start) OVER (PARTITION BY house_id) AS origin
+  FROM {clean}),
+targets AS (
+  SELECT o.*, k.day_no FROM ordered o JOIN (SELECT range AS day_no FROM range(0, {days})) k
+    ON k.day_no % o.n_days = o.ordinal),
+replayed AS (
+  SELECT r.house_id, r.meter_id, t.day_no, r.ts - t.day_start + t.origin + t.day_no * 86400 + {shift} AS ts,
+         CAST(printf('%.2f', r.power * {factor}) AS DOUBLE) AS power
+  FROM {source} r JOIN targets t ON r.house_id = t.house_id
+   AND r.ts >= t.day_start AND r.ts < t.day_start + 86400)"""
+
+
+def _assigned(houses: str) -> str:
+    """Attributes of ``houses`` (a query of house_id), known or drawn."""
+    return f"""WITH {ZIP_TABLE}, {KNOWN_HOUSES},
+numbered AS (
+  SELECT zip, row_number() OVER (ORDER BY substr(md5(zip || '|0'), 1, 3), zip) - 1 AS idx FROM zip_table),
+houses AS ({houses}),
+drawn AS (
+  SELECT house_id, CAST(floor({_draw(11)} * 5) + 1 AS INTEGER) AS source_house,
+         CAST(floor({_draw(13)} * (SELECT count(*) FROM zip_table)) AS BIGINT) AS idx,
+         ({_draw(12)} * 2 - 1) * CAST(0.2 AS DOUBLE) + 1 AS scale
+  FROM houses)
+SELECT d.house_id, CASE WHEN k.house_id IS NULL THEN d.source_house ELSE k.source_house END AS source_house,
+       CASE WHEN k.house_id IS NULL THEN n.zip ELSE k.zip END AS zip,
+       round(CASE WHEN k.house_id IS NULL THEN d.scale ELSE k.scale END, 6) AS scale
+FROM drawn d JOIN numbered n USING (idx) LEFT JOIN known k ON k.house_id = d.house_id"""
+
+
 def all_oracles() -> dict[str, str]:
     flat_readings = f"WITH {READINGS} SELECT {FLAT} FROM readings"
     windows, alerts = WINDOWS, ALERTS
@@ -184,36 +238,13 @@ SELECT house_id, day_start FROM mains_clean INTERSECT SELECT house_id, day_start
 SELECT r.house_id, r.meter_id, r.ts, r.power, c.day_start
 FROM readings r JOIN clean c ON r.house_id = c.house_id
  AND r.ts >= c.day_start AND r.ts < c.day_start + 86400""",
-        "replicate_days": f"""WITH {CLEAN},
-ordered AS (
-  SELECT house_id, day_start, row_number() OVER (PARTITION BY house_id ORDER BY day_start) - 1 AS ordinal,
-         count(*) OVER (PARTITION BY house_id) AS n_days, min(day_start) OVER (PARTITION BY house_id) AS origin
-  FROM clean),
-targets AS (
-  SELECT o.*, k.day_no FROM ordered o JOIN (SELECT range AS day_no FROM range(0, 30)) k
-    ON k.day_no % o.n_days = o.ordinal)
-SELECT r.house_id, r.meter_id, t.day_no, r.ts - t.day_start + t.origin + t.day_no * 86400 - 3600 AS ts,
-       CAST(printf('%.2f', r.power * (CAST(0.95 AS DOUBLE) + CAST(0.01 AS DOUBLE)
-            * ((r.house_id * 7 + CAST(r.meter_id AS BIGINT) * 3) % 11))) AS DOUBLE) AS power
-FROM readings r JOIN targets t ON r.house_id = t.house_id
- AND r.ts >= t.day_start AND r.ts < t.day_start + 86400""",
+        "replicate_days": f"""WITH {CLEAN}, {_replay("readings", "clean", 30, STEP_FACTOR, -3600)}
+SELECT house_id, meter_id, day_no, ts, power FROM replayed""",
         "label_lookup": f"""WITH {READINGS},
 labels_of AS (SELECT house_id, meter_id, min(label) AS label FROM readings GROUP BY house_id, meter_id)
 SELECT r.house_id, r.ts, r.meter_id, l.label, r.power
 FROM readings r LEFT JOIN labels_of l USING (house_id, meter_id)""",
-        "house_assign": f"""WITH {ZIP_TABLE}, {KNOWN_HOUSES},
-numbered AS (
-  SELECT zip, row_number() OVER (ORDER BY substr(md5(zip || '|0'), 1, 3), zip) - 1 AS idx FROM zip_table),
-houses AS (SELECT DISTINCT user_id AS house_id FROM events),
-drawn AS (
-  SELECT house_id, CAST(floor({_draw(11)} * 5) + 1 AS INTEGER) AS source_house,
-         CAST(floor({_draw(13)} * (SELECT count(*) FROM zip_table)) AS BIGINT) AS idx,
-         ({_draw(12)} * 2 - 1) * CAST(0.2 AS DOUBLE) + 1 AS scale
-  FROM houses)
-SELECT d.house_id, CASE WHEN k.house_id IS NULL THEN d.source_house ELSE k.source_house END AS source_house,
-       CASE WHEN k.house_id IS NULL THEN n.zip ELSE k.zip END AS zip,
-       round(CASE WHEN k.house_id IS NULL THEN d.scale ELSE k.scale END, 6) AS scale
-FROM drawn d JOIN numbered n USING (idx) LEFT JOIN known k ON k.house_id = d.house_id""",
+        "house_assign": _assigned("SELECT DISTINCT user_id AS house_id FROM events"),
         "zip_diff": f"WITH {READINGS}, {ZIP_TABLE} SELECT zip FROM zip_table EXCEPT SELECT zip FROM readings",
         "zip_refresh": f"""WITH {READINGS}, {ZIP_TABLE},
 unused AS (SELECT zip FROM zip_table EXCEPT SELECT zip FROM readings),
@@ -238,6 +269,42 @@ SELECT house_id, date, zip, label, round(kwh, 10) AS kwh FROM latest
 UNION ALL
 SELECT house_id, date, zip, label, round(kwh, 10) AS kwh
 FROM earlier e ANTI JOIN latest l USING (house_id, date, zip, label)""",
+        "rt_late_power_stream": LATE,
+        "rt_power_merge_batches": windows,
+        "rt_batch_power_packed": f"""WITH {READINGS}
+SELECT house_id, date, zip, round(sum(power), 6) AS watts_sum
+FROM readings WHERE layer = 'mains' GROUP BY house_id, date, zip""",
+        "batch_runs_energy": f"WITH {ENERGY} SELECT house_id, date, zip, label, round(kwh, 10) AS kwh FROM label_days",
+        "batch_runs_share": SHARE,
+        "batch_runs_stats": f"WITH {STATS} SELECT house_id, meter_id, p97 FROM stats",
+        "batch_file_ledger": """
+SELECT 'accepted' AS outcome, count(*) AS n FROM events UNION ALL SELECT 'timestamp', count(*) FROM events""",
+        "json_inference": f"""WITH {READINGS}, {PACKED.format(step=1)}
+SELECT CAST(ts AS VARCHAR) AS timestamp, house_id, zip,
+       string_agg(meter_id || ':' || CAST(power AS VARCHAR) || ':' || label, ',' ORDER BY meter_id) AS payload
+FROM packed GROUP BY ts, house_id, zip, layer, record_no""",
+        "topic_scan": f"{flat_readings} WHERE date = '2024-01-15'",
+        "clean_days_all": f"""WITH {READINGS}, {_days("readings", "house_id, meter_id", 64800, "channel")},
+wanted AS (SELECT house_id, count(DISTINCT meter_id) AS n_channels FROM readings WHERE ts >= 1704067200 GROUP BY house_id)
+SELECT house_id, day_start FROM channel JOIN wanted USING (house_id)
+GROUP BY house_id, day_start, n_channels HAVING count(*) = n_channels""",
+        "replicate_days_drawn": f"""WITH {CLEAN}, {_replay("readings", "clean", 30, DRAWN_FACTOR)}
+SELECT house_id, meter_id, day_no, ts, power FROM replayed""",
+        "house_range": _assigned("SELECT unnest(range((SELECT min(user_id) FROM events), (SELECT max(user_id) + 1 FROM events))) AS house_id"),
+        "zip_sample": f"""WITH {ZIP_TABLE}
+SELECT zip FROM (SELECT zip FROM zip_table ORDER BY md5(zip || '|7'), zip LIMIT 1000)""",
+        "replay_chain": f"""WITH {READINGS},
+channels AS (SELECT house_id, meter_id, ts, label, CAST(printf('%.2f', power) AS DOUBLE) AS power FROM readings),
+first_rows AS (SELECT * FROM channels WHERE meter_id = '1'),
+third_rows AS (SELECT * FROM channels WHERE meter_id = '3'),
+{_days("first_rows", "house_id", 43200, "first_clean")},
+{_days("third_rows", "house_id", 43200, "third_clean")},
+both_clean AS (SELECT house_id, day_start FROM first_clean INTERSECT SELECT house_id, day_start FROM third_clean),
+{_replay("channels", "both_clean", 10, DRAWN_FACTOR)},
+labels_of AS (SELECT house_id, meter_id, min(label) AS label FROM readings GROUP BY house_id, meter_id)
+SELECT s_suppkey AS house_id, r.ts, printf('%05d', s_nationkey) AS zip, l.label, r.meter_id, r.power
+FROM replayed r JOIN labels_of l USING (house_id, meter_id) JOIN supplier ON s_nationkey % 5 + 1 = r.house_id""",
+        "house_history_indexed": energy_of + "'mains' AND house_id = 7",
         "batch_appliance_share": SHARE,
         "batch_meter_stats": f"WITH {STATS} SELECT house_id, meter_id, p97 FROM stats",
         "geo_on_date": f"""WITH {ENERGY}

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.operators.dimensions import lookup_labels
-from wattloom.operators.quality import MAX_GAP, clean_days, common_days
+from wattloom.operators.quality import MAX_GAP, clean_days, common_days, days_of_all
 from wattloom.operators.readings import pack_readings
 from wattloom.operators.replicate import CALENDAR_DAYS, replicate_days
 
@@ -24,6 +24,12 @@ def clean_days_of(channels: DataFrame, anchor: Column | int, max_gap: int = MAX_
     return common_days(mains, appliance)
 
 
+def clean_days_of_all(channels: DataFrame, anchor: Column | int, max_gap: int = MAX_GAP) -> DataFrame:
+    """Days of each house that are clean on all channels it has."""
+    known = channels.where(F.col("ts") >= (F.lit(anchor) if isinstance(anchor, int) else anchor))
+    return days_of_all(clean_days(channels, anchor=anchor, max_gap=max_gap), known, anchor=anchor)
+
+
 def replay_records(
     channels: DataFrame,
     clean: DataFrame,

@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 
 from wattloom.functions.days import day_floor, parse_anchor, ts_to_date, SHORT_DATE_FORMAT
 from wattloom.operators.alerts import overshoot_alerts
-from wattloom.operators.dimensions import assign_houses, lookup_labels, refresh_zips, zip_difference
+from wattloom.operators.dimensions import (
+    assign_houses,
+    house_range,
+    lookup_labels,
+    refresh_zips,
+    sample_zips,
+    zip_difference,
+)
 from wattloom.operators.energy import daily_energy, geo_energy, label_day_energy, meter_day_energy
 from wattloom.operators.quality import (
     channel_counts,
@@ -34,13 +41,14 @@ from wattloom.operators.readings import (
 from wattloom.operators.replicate import replicate_days
 from wattloom.operators.share import appliance_share, appliance_share_joined
 from wattloom.operators.stats import meter_p97
-from wattloom.plans.batch import run_batch
-from wattloom.schema import ZIP_COLUMNS
+from wattloom.plans.batch import ingest, run_batch
+from wattloom.plans.prep import clean_days_of, clean_days_of_all, replay_records
+from wattloom.schema import READING_COLUMNS, ZIP_COLUMNS
 from wattloom.session import fresh_dir, tune
-from wattloom.sources import files, tables
-from wattloom.sources.events import read_known_houses, read_readings, read_zip_table, stream_readings
+from wattloom.sources import files, runs, tables
+from wattloom.sources.events import events_as_readings, read_known_houses, read_readings, read_source_houses, read_zip_table, stream_readings
 from wattloom.sources.quarantine import read_quarantine
-from wattloom.sources.records import read_hourly, stream_values, write_hourly
+from wattloom.sources.records import infer_records, read_hourly, read_topic, stream_values, write_hourly, write_topic
 from wattloom.streaming.power import (
     BATCH_POWER,
     mains_power_windows,
@@ -50,6 +58,7 @@ from wattloom.streaming.power import (
     start_mains_power,
     stored_stats,
 )
+from wattloom.streaming.windows import read_windows, start_parting, start_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,6 +73,12 @@ FIRST_HOUR, LAST_HOUR = "2024-01-10-06", "2024-01-12-17"
 ONE_DATE, ONE_HOUSE = "2024-01-15", 7
 NEW_ZIPS, ZIP_SEED, HOUSE_SEED = 50, 7, 11
 HOUSE = ("house_id",)
+ALL_GAP, CHAIN_GAP = 64_800, 43_200
+WINDOW_SECONDS, LATE_SECONDS = 600, 86_400
+MANY_ZIPS = 1_000
+CHAIN_DAYS = 10
+# Events come in batches of so many days of the month; every tenth comes one batch later.
+BATCH_DAYS, LATER = 11, 10
 
 
 # Float sums depend on the order of addition in their last bits, so reports are rounded. Energy
@@ -369,6 +384,148 @@ def q_table_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(tables.read(spark, root, tables.MAINS_ENERGY), "kwh")
 
 
+def _event_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Mains readings as they would come in: some of each stretch of days together with the next."""
+    events = tune(spark).read.parquet(f"{sf_dir}/events.parquet")
+    number = F.floor((F.dayofmonth("ts") - 1) / F.lit(BATCH_DAYS)) + F.when(F.col("event_id") % LATER == 0, 1).otherwise(0)
+    return [only_layer(events_as_readings(events.where(number == k)), MAINS) for k in range(31 // BATCH_DAYS + 2)]
+
+
+def _feed(spark: SparkSession, sf_dir: str, folder: str, step: Callable[[DataFrame], None]) -> None:
+    """Write the batches one after the other, and let ``step`` take what is new of their stream after each."""
+    for batch in _event_batches(spark, sf_dir):
+        batch.select(*READING_COLUMNS).write.mode("append").parquet(folder)
+        step(spark.readStream.schema(batch.select(*READING_COLUMNS).schema).parquet(folder))
+
+
+def q_rt_late_power_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows with state over several micro-batches, readings of closed ones from the side table."""
+    root = fresh_dir(tune(spark), "late")
+
+    def step(mains: DataFrame) -> None:
+        _finish(start_parting(mains, root, f"{root}/parting", WINDOW_SECONDS, LATE_SECONDS, trigger=None))
+        _finish(start_windows(spark, root, f"{root}/windows", WINDOW_SECONDS, LATE_SECONDS, trigger=None))
+
+    _feed(spark, sf_dir, f"{root}/readings", step)
+    return rounded(_epoch_windows(read_windows(spark, root)), "late_watts_sum")
+
+
+def q_rt_power_merge_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keyed live table after several micro-batches, each merged as it comes."""
+    root = fresh_dir(tune(spark), "live")
+    _feed(spark, sf_dir, f"{root}/readings", lambda mains: _finish(start_mains_power(mains, root, f"{root}/checkpoint", WINDOW, trigger=None, merge=True)))
+    return _epoch_windows(tables.read(spark, root, tables.RT_POWER))
+
+
+def q_rt_batch_power_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log of several micro-batches that is packed meanwhile."""
+    root = fresh_dir(tune(spark), "live")
+
+    def step(mains: DataFrame) -> None:
+        _finish(start_batch_power(mains, root, f"{root}/checkpoint", trigger=None))
+        tables.pack_log(spark, root, BATCH_POWER, fan_in=2)
+
+    _feed(spark, sf_dir, f"{root}/readings", step)
+    log = tables.read_log(spark, root, BATCH_POWER)
+    return rounded(log.groupBy("house_id", "date", "zip").agg(F.sum("watts_sum").alias("watts_sum")), "watts_sum")
+
+
+_split: dict[tuple[str, str], str] = {}
+
+
+def _split_root(spark: SparkSession, sf_dir: str) -> str:
+    """Tables that three runs have filled: the mornings, the afternoons, and readings strewn over both."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _split:
+        root, ts = fresh_dir(tune(spark), "runs"), F.col("ts")
+        strewn, morning = ts % 7 == 0, ts % 86_400 < 43_200
+        for part, condition in (("afternoon", ~strewn & ~morning), ("strewn", strewn), ("morning", ~strewn & morning)):
+            run_batch(pack_readings(_readings(spark, sf_dir).where(condition)), root, part)
+        _split[key] = root
+    return _split[key]
+
+
+def q_batch_runs_energy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Energy of days that came in several runs."""
+    root = _split_root(spark, sf_dir)
+    both = tables.read(spark, root, tables.MAINS_ENERGY).unionByName(tables.read(spark, root, tables.APPLIANCE_ENERGY))
+    return rounded(both, "kwh")
+
+
+def q_batch_runs_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(tables.read(spark, _split_root(spark, sf_dir), tables.APPLIANCE_SHARE), "percent")
+
+
+def q_batch_runs_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles over all days and runs of a meter, from its stored sketches."""
+    return tables.read(spark, _split_root(spark, sf_dir), tables.METER_STATS)
+
+
+def q_batch_file_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What three runs over a growing folder have taken in: good files first, then files of another kind, then nothing new."""
+    root = fresh_dir(tune(spark), "ledger")
+    messages = to_messages(pack_readings(_readings(spark, sf_dir)), "meters_hf", "meters_lf").select("value")
+    other = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("props").alias("value"))
+    for name, lines in (("good", messages), ("other", other), (None, None)):
+        if name:
+            lines.write.text(f"{root}/in/{name}")
+        ingest(spark, root, f"{root}/in")
+    taken = runs.read(spark, root, runs.READINGS).select(F.lit("accepted").alias("outcome"))
+    aside = read_quarantine(spark, root).select(F.col("reason").alias("outcome"))
+    return taken.unionByName(aside).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_json_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records whose schema comes from their own lines."""
+    path = fresh_dir(tune(spark), "json-lines")
+    to_messages(pack_readings(_readings(spark, sf_dir)), "meters_hf", "meters_lf").select("value").write.text(path)
+    payload = F.array_join(F.transform("readings", lambda r: F.concat_ws(":", r["meterId"], r["power"], r["label"])), ",")
+    return infer_records(spark, path).select("timestamp", F.col("houseId").alias("house_id"), "zip", payload.alias("payload"))
+
+
+def q_topic_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One day of a topic in plain hour folders."""
+    root = fresh_dir(tune(spark), "topics")
+    write_topic(pack_readings(_readings(spark, sf_dir)), root, "meters")
+    year, month, day = map(int, ONE_DATE.split("-"))
+    return expand_readings(read_topic(spark, root, "meters", year, month, day))
+
+
+def q_clean_days_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days that are clean on every channel of a house."""
+    return clean_days_of_all(_readings(spark, sf_dir), _anchor(), ALL_GAP)
+
+
+def q_replicate_days_drawn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The replay with each channel's drawn factor."""
+    clean = tables.stage(_clean_days(spark, sf_dir), "clean-days")
+    return replicate_days(_readings(spark, sf_dir), clean)
+
+
+def q_house_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attributes of every house number from the first to the last user, known or drawn."""
+    events = tune(spark).read.parquet(f"{sf_dir}/events.parquet")
+    first, last = events.agg(F.min("user_id"), F.max("user_id")).first()
+    houses = house_range(spark, first, last)
+    return rounded(assign_houses(houses, read_known_houses(spark, sf_dir), read_zip_table(spark, sf_dir), HOUSE_SEED), "scale")
+
+
+def q_zip_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sample_zips(read_zip_table(tune(spark), sf_dir), MANY_ZIPS, ZIP_SEED)
+
+
+def q_replay_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Channel files to clean days to the records of other houses that replay them, and these expanded."""
+    readings, work = _readings(spark, sf_dir), fresh_dir(spark, "chain")
+    files.write_channels(readings, f"{work}/channels")
+    channels = files.read_channels(spark, f"{work}/channels")
+    files.write_clean_days(clean_days_of(channels, _anchor(), CHAIN_GAP), f"{work}/days")
+    files.write_labels(readings.groupBy("house_id", "meter_id").agg(F.min("label").alias("label")), f"{work}/labels")
+    clean, labels = files.read_clean_days(spark, f"{work}/days"), files.read_labels(spark, f"{work}/labels")
+    records = replay_records(channels, tables.stage(clean, "clean-days"), tables.stage(labels, "labels"), read_source_houses(spark, sf_dir), days=CHAIN_DAYS)
+    return expand_readings(records).select("house_id", "ts", "zip", "label", "meter_id", "power")
+
+
 _served: dict[tuple[str, str], str] = {}
 
 
@@ -402,6 +559,12 @@ def q_house_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(tables.house_history(_served_table(spark, sf_dir, tables.MAINS_ENERGY), ONE_HOUSE), "kwh")
 
 
+def q_house_history_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from the files that may have the house, by the table's index."""
+    rows = tables.read_value(tune(spark), _serving_root(spark, sf_dir), tables.MAINS_ENERGY, ONE_HOUSE)
+    return rounded(rows.orderBy("date", "zip", "label"), "kwh")
+
+
 def q_appliance_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     appliance = _served_table(spark, sf_dir, tables.APPLIANCE_ENERGY)
     return rounded(tables.appliance_breakdown(appliance, ONE_HOUSE, ONE_DATE), "kwh")

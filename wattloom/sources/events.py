@@ -74,3 +74,14 @@ def read_known_houses(spark: SparkSession, sf_dir: str, segment: str | None = "H
         F.format_string("%05d", "c_custkey").alias("zip"),
         (F.lit(1.0) + F.col("c_nationkey") / F.lit(100.0)).alias("scale"),
     )
+
+
+def read_source_houses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """House dimension of a replay: a house for each supplier, in the zip of its nation."""
+    supplier = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    return supplier.select(
+        F.col("s_suppkey").alias("house_id"),
+        (F.col("s_nationkey") % 5 + 1).cast("int").alias("source_house"),
+        F.format_string("%05d", "s_nationkey").alias("zip"),
+        F.lit(1.0).alias("scale"),
+    )

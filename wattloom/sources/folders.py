@@ -47,6 +47,18 @@ class Folders:
         stream.write(bytearray(text.encode()))
         stream.close()
 
+    def make(self, path: str) -> None:
+        """A folder, with those above it."""
+        fs, place = self._at(path)
+        fs.mkdirs(place)
+
+    def move(self, source: str, target: str) -> None:
+        """A folder under another name, at once where the store can rename; an error if there is one already."""
+        fs, place = self._at(source)
+        self.make(target.rsplit("/", 1)[0])
+        if fs.exists(self._at(target)[1]) or not fs.rename(place, self._at(target)[1]):
+            raise FileExistsError(target)
+
     def remove(self, path: str) -> None:
         fs, place = self._at(path)
         fs.delete(place, True)

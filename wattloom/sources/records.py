@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattloom.functions.parsing import parse_seconds
 from wattloom.schema import COMPACT_WITH_CORRUPT, CORRUPT_COLUMN
+from wattloom.session import fresh_dir
 from wattloom.sources.folders import Folders
+from wattloom.sources.tables import stage
 
 HOUR_COLUMNS = ["year", "month", "day", "hour"]
 # Fixed value: the folder that Spark gives rows without a partition value.
@@ -19,9 +23,29 @@ def read_records(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.schema(COMPACT_WITH_CORRUPT).option("columnNameOfCorruptRecord", CORRUPT_COLUMN).json(list(paths))
 
 
+def _as_type(variant_schema: str) -> str:
+    """The type of a variant's schema, in DDL; a member that is always null is text."""
+    return re.sub(r"\bVOID\b", "STRING", re.sub(r"\bOBJECT<", "STRUCT<", variant_schema))
+
+
 def infer_records(spark: SparkSession, *paths: str) -> DataFrame:
-    """JSON lines with an inferred schema. Reads the files twice; meant for a first look."""
-    return spark.read.json(list(paths))
+    """JSON lines with an inferred schema, read once.
+
+    Lines become variants, which are written to the working folder; their schemas are merged over all lines, and the
+    variants, not the texts, are taken apart by it. Members that differ in kind stay variants. Lines that are no
+    JSON objects keep their text in ``_corrupt_record``, a column that is there if there are any.
+    """
+    lines = spark.read.text(list(paths)).where(F.length(F.trim("value")) > 0)
+    parsed = F.try_parse_json("value")
+    kind = F.schema_of_variant(parsed)
+    is_object = F.coalesce(kind.startswith("OBJECT<"), F.lit(False))
+    read = lines.select(F.when(is_object, parsed).alias("record"), F.when(~is_object, F.col("value")).alias(CORRUPT_COLUMN))
+    records = stage(read, "variant-records")
+    found = records.agg(F.schema_of_variant_agg("record").alias("schema"), F.count(CORRUPT_COLUMN).alias("n_corrupt")).first()
+    rest = [CORRUPT_COLUMN] if found["n_corrupt"] else []
+    if not found["schema"].startswith("OBJECT<"):
+        return records.select(*rest)
+    return records.select(F.variant_get("record", "$", _as_type(found["schema"])).alias("r"), *rest).select("r.*", *rest)
 
 
 def topic_glob(
@@ -46,6 +70,28 @@ def read_topic(
     return records.withColumn("source_file", F.col("_metadata.file_path"))
 
 
+def write_topic(records: DataFrame, root: str, topic: str) -> None:
+    """JSON lines in a topic's plain ``hourly/YYYY/MM/DD/HH`` folders, as ``read_topic`` reads them.
+
+    Hours are written beside and renamed one by one, a folder each. An hour that is there already, and
+    records whose time can't be read, fail the job before anything is moved.
+    """
+    spark = records.sparkSession
+    folders, staged = Folders(spark), fresh_dir(spark, "topic-hours")
+    write_hourly(records, staged)
+    hours = _hour_folders(spark, staged, "0000", "9999-99-99-99")
+    base = f"{root.rstrip('/')}/{topic}/hourly"
+    plain = {place: f"{base}/{'/'.join(part.split('=')[1] for part in place.split('/')[-4:])}" for place in hours}
+    if folders.exists("/".join([staged, *(f"{c}={NO_HOUR}" for c in HOUR_COLUMNS)])):
+        raise ValueError("records without a readable time")
+    taken = [target for target in plain.values() if folders.exists(target)]
+    if taken:
+        raise FileExistsError(taken[0])
+    for place, target in plain.items():
+        folders.move(place, target)
+    folders.remove(staged)
+
+
 def with_hour(records: DataFrame) -> DataFrame:
     """Add the year, month, day and hour (text, session zone) of the record's timestamp."""
     at = F.timestamp_seconds(parse_seconds(F.col("timestamp")))

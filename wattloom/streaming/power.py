@@ -58,7 +58,7 @@ def each_batch(
     return writer.foreachBatch(hand_on).start()
 
 
-def _append_and_pack(rows: DataFrame, root: str, table: Table, batch_id: int, run: str) -> None:
+def append_and_pack(rows: DataFrame, root: str, table: Table, batch_id: int, run: str) -> None:
     """Append a micro-batch, and now and then pack those before it."""
     append_batch(rows, root, table, batch_id, run)
     if batch_id % FAN_IN == FAN_IN - 1:
@@ -97,7 +97,7 @@ def start_batch_power(power: DataFrame, root: str, checkpoint: str, trigger: str
     run = run_of(power.sparkSession, checkpoint)
 
     def hand_on(batch: DataFrame, batch_id: int) -> None:
-        _append_and_pack(batch_power(batch), root, BATCH_POWER, batch_id, run)
+        append_and_pack(batch_power(batch), root, BATCH_POWER, batch_id, run)
 
     return each_batch(power, checkpoint, trigger, hand_on)
 
@@ -131,7 +131,7 @@ def start_alerts(
 
     def hand_on(batch: DataFrame, batch_id: int) -> None:
         found = overshoot_alerts(batch, stats(batch.sparkSession), margin, salts).withColumn("date", ts_to_date(F.col("ts")))
-        _append_and_pack(found, root, ALERTS, batch_id, run)
+        append_and_pack(found, root, ALERTS, batch_id, run)
 
     return each_batch(readings, checkpoint, trigger, hand_on)
 
@@ -145,7 +145,7 @@ def start_quarantine(
     def hand_on(batch: DataFrame, batch_id: int) -> None:
         bad = rejected(batch)
         text = F.to_json(F.struct(*[c for c in bad.columns if c != "reject_reason"])).alias("original")
-        _append_and_pack(bad.select(F.col("reject_reason").alias("reason"), text), root, STREAM_REJECTS, batch_id, run)
+        append_and_pack(bad.select(F.col("reject_reason").alias("reason"), text), root, STREAM_REJECTS, batch_id, run)
 
     return each_batch(records, checkpoint, trigger, hand_on)
 
