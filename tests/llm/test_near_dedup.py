@@ -91,3 +91,26 @@ def test_components_of_a_path_and_a_star(spark):
     frame = spark.createDataFrame(edges, "a bigint, b bigint")
     found = dict(tuple(r) for r in connected_components(frame, "a", "b").collect())
     assert found == {i: 100 for i in range(101, 141)} | {i: 5 for i in range(200, 260)}
+
+
+def test_a_large_group_of_near_misses_ends_in_rounds_of_hubs(spark, monkeypatch, tmp_path):
+    """Each two differ by a little too much: every round has to settle as many as there are hubs, and leaves no tables."""
+    made = []
+
+    def fresh(session, name):
+        made.append(f"{tmp_path}/{len(made)}-{name}")
+        return made[-1]
+
+    monkeypatch.setattr(module, "HUBS", 12)
+    monkeypatch.setattr(module, "fresh_dir", fresh)
+    draw, rows = random.Random(3), []
+    base = [f"w{i}" for i in range(60)]
+    for i in range(60):
+        words = list(base)
+        for at in draw.sample(range(1, 59, 3), 3):
+            words[at] = f"x{i}y{at}"
+        rows.append((i, " ".join(words)))
+    expected = brute(rows, 2, 80)
+    assert run(spark, rows, 2) == expected and sum(kept for *_, kept in expected) > 40
+    assert sum(name.endswith("-led-buckets") for name in made) <= 60 / 12 + 3
+    assert not any(path.is_dir() for path in tmp_path.iterdir())

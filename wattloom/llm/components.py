@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.sources.tables import stage
+from wattloom.session import fresh_dir
+from wattloom.sources.folders import Folders
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -31,14 +32,25 @@ def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
 
     Both stars combine per node before the shuffle and keep at most as many edges as there were, so a
     node with very many neighbours costs no more than its edges. Each step is written to the shared
-    folder. Edges with a null end and loops are nothing; repeated edges count once.
+    folder and the one before it removed. Edges with a null end and loops are nothing; repeated edges count once.
     """
     a, b = F.col(left), F.col(right)
     pairs = edges.where(a != b).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct()
-    pairs = stage(pairs, "edges")
+    spark = edges.sparkSession
+    places: list[str] = []
+
+    def held(rows: DataFrame) -> DataFrame:
+        places.append(fresh_dir(spark, "edges"))
+        rows.write.parquet(places[-1])
+        for place in places[:-1]:  # the step before is not needed any more
+            Folders(spark).remove(place)
+        del places[:-1]
+        return spark.read.schema(rows.schema).parquet(places[-1])
+
+    pairs = held(pairs)
     before = _state(pairs)
     while True:
-        pairs = stage(_small_star(_large_star(pairs)), "edges")
+        pairs = held(_small_star(_large_star(pairs)))
         after = _state(pairs)
         if after == before:
             return pairs.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -9,8 +9,9 @@ puts out links that connect something new, never all pairs.
 
 Groups of up to ``HUBS`` documents are so decided in one round. In larger ones the rest meets again in
 the next round, but for what is settled: documents that are connected already, and, as 1 - similarity is a
-metric, connected ones too near to the leader to be linked to any that is not connected. Rounds go on until
-nothing is left, so every pair of documents that share a band is decided.
+metric, connected ones too near to the leader to be linked to any that is not connected. Every round draws
+its hubs anew from those that are left, as many each time, so a group of n near misses takes some n / ``HUBS`` rounds.
+They go on until nothing is left, so every pair of documents that share a band is decided. A round's tables go with it.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from pyspark.sql import functions as F
 
 from wattloom.llm.arrowtext import blocks, coded, filled, split_words
 from wattloom.llm.components import connected_components
+from wattloom.session import fresh_dir
+from wattloom.sources.folders import Folders
 from wattloom.sources.tables import stage
 
 # 50 bands of 6 minima: two sets at similarity 0.8 miss each other in all bands once in four million
@@ -286,36 +289,51 @@ def _past_hubs(group: DataFrame, values: DataFrame, value: str) -> DataFrame:
 
 def similar_links(signed: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Confirmed links doc_id, other that connect all similar documents of ``signed`` that share a band."""
-    reach = 1 - percent / 100 + 1e-9
+    reach, spark = 1 - percent / 100 + 1e-9, signed.sparkSession
+    places: list[str] = []
+
+    def held(rows: DataFrame, name: str) -> DataFrame:
+        """A table of the round."""
+        places.append(fresh_dir(spark, name))
+        rows.write.parquet(places[-1])
+        return spark.read.schema(rows.schema).parquet(places[-1])
+
+    def dropped(done: list[str]) -> None:
+        for place in done:
+            Folders(spark).remove(place)
+            places.remove(place)
+
     members = signed.select(F.explode("bands").alias("bucket"), "doc_id")
     crowded = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    left = stage(members.join(crowded, "bucket"), "buckets")
+    left = held(members.join(crowded, "bucket"), "buckets")
     sketches, sizes = signed.select("doc_id", "sketch"), signed.select("doc_id", "n_shingles")
-    links, first_round = None, True
+    links, number = None, 0
     while True:
+        number += 1
         leaders = left.groupBy("bucket").agg(F.min("doc_id").alias("leader"))
-        led = stage(left.join(leaders, "bucket"), "led-buckets")
+        led = held(left.join(leaders, "bucket"), "led-buckets")
         group = led.select("leader", "doc_id").distinct().join(sizes, "doc_id")
         totals = group.groupBy("leader").agg(F.least(F.lit(float(HUBS)) / F.count(F.lit(1)), F.lit(float(HUB_SHINGLES)) / F.sum("n_shingles")).alias("share"))
-        draw = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 30)) / float(1 << 30)
+        draw = F.pmod(F.xxhash64("doc_id", F.lit(SEED), F.lit(number)), F.lit(1 << 30)) / float(1 << 30)
         is_hub = (F.col("doc_id") == F.col("leader")) | (draw < F.col("share"))
-        group = stage(group.join(totals, "leader").select("leader", "doc_id", is_hub.alias("is_hub")), "groups")
+        group = held(group.join(totals, "leader").select("leader", "doc_id", is_hub.alias("is_hub")), "groups")
 
         rated = _past_hubs(group, sketches, "sketch").mapInArrow(_estimate(percent), _RATED)
-        rated = stage(rated.groupBy("leader", "doc_id").agg(F.max("near").alias("near"), F.min("distance").alias("distance")), "rated")
-        near = stage(group.join(rated.where("near"), ["leader", "doc_id"]).select("leader", "doc_id", "is_hub"), "near-groups")
-        wanted = stage(near.select("doc_id").distinct(), "near-ids")
+        rated = held(rated.groupBy("leader", "doc_id").agg(F.max("near").alias("near"), F.min("distance").alias("distance")), "rated")
+        near = held(group.join(rated.where("near"), ["leader", "doc_id"]).select("leader", "doc_id", "is_hub"), "near-groups")
+        wanted = held(near.select("doc_id").distinct(), "near-ids")
         # The first list grows with the corpus and is never broadcast.
-        bodies = texts.join(wanted.hint("merge") if first_round else wanted, "doc_id", "left_semi")
-        judged = stage(_past_hubs(near, bodies, "text").mapInArrow(_confirm(size, percent), _JUDGED), "judged")
-        found = judged.where("other IS NOT NULL").select("doc_id", "other")
-        links, first_round = (found if links is None else links.unionByName(found)), False
+        bodies = texts.join(wanted.hint("merge") if number == 1 else wanted, "doc_id", "left_semi")
+        judged = held(_past_hubs(near, bodies, "text").mapInArrow(_confirm(size, percent), _JUDGED), "judged")
+        found = stage(judged.where("other IS NOT NULL").select("doc_id", "other"), "links")
+        links = found if links is None else links.unionByName(found)
 
         # Who is left: members of buckets with two or more that were no hubs.
         rest = led.join(group.where("NOT is_hub").select("leader", "doc_id"), ["leader", "doc_id"])
         several = rest.groupBy("bucket").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("bucket")
-        rest = stage(rest.join(several, "bucket"), "rest")
+        rest = held(rest.join(several, "bucket"), "rest")
         if rest.isEmpty():
+            dropped(list(places))
             return links
         roots = connected_components(links, "doc_id", "other")
         exact = judged.groupBy("leader", "doc_id").agg(F.max("distance").alias("exact"))
@@ -327,13 +345,16 @@ def similar_links(signed: DataFrame, texts: DataFrame, size: int, percent: int)
         )
         # Lower bounds will do for those outside; a connected one without an exact distance may be anywhere.
         distance = F.coalesce("exact", F.when(F.col("inside"), 1.0).otherwise(F.col("distance")))
-        rooted = stage(rooted.select("bucket", "doc_id", "inside", distance.alias("distance")), "rooted")
+        rooted = held(rooted.select("bucket", "doc_id", "inside", distance.alias("distance")), "rooted")
         far = rooted.where("NOT inside").groupBy("bucket").agg(F.min("distance").alias("nearest"))
         open_rows = rooted.join(far, "bucket").where(~F.col("inside") | (F.col("distance") >= F.col("nearest") - reach))
         open_rows = open_rows.select("bucket", "doc_id")
         several = open_rows.groupBy("bucket").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("bucket")
-        left = stage(open_rows.join(several, "bucket"), "buckets")
+        done = list(places)
+        left = held(open_rows.join(several, "bucket"), "buckets")
+        dropped(done)
         if left.isEmpty():
+            dropped(list(places))
             return links
 
 
