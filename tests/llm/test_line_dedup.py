@@ -1,8 +1,10 @@
 import random
+import time
 
+import pyarrow as pa
 import pytest
 
-from wattloom.llm.line_dedup import line_dedup
+from wattloom.llm.line_dedup import _select, line_dedup
 
 
 def brute(rows, least):
@@ -59,3 +61,19 @@ def test_odd_rows(spark):
 
 def test_empty_table(spark):
     assert run(spark, []) == []
+
+
+def test_blank_lines_cost_no_more_than_others(spark):
+    text = "\n" * (1 << 20) + "\n".join(f"word{i} next" for i in range(30))
+    batch = pa.record_batch([pa.array([1, 2]), pa.array([text, "other " + text])], names=["doc_id", "text"])
+    began = time.process_time()
+    rows = sum(part.num_rows for part in _select(50)([batch]))
+    assert time.process_time() - began < 4 and rows > 1 << 20  # two texts of a megabyte each
+    found = run(spark, [(1, "\n" * 3000 + text[-400:]), (2, "end " * 50 + "\n" * 3000 + text[-400:])])
+    assert [r[2] for r in found] == [0, 3000 + text[-400:].count("\n")]
+
+
+def test_long_texts_and_lines(spark):
+    passage = "\n".join(f"line {i} of the passage with some words" for i in range(3000))
+    rows = [(1, passage), (2, "before\n" + passage + "\nafter"), (3, "x " * 200_000), (4, "x " * 200_000 + "\nown")]
+    assert [(r[0], r[2], len(r[3])) for r in run(spark, rows)] == [(1, 0, len(passage)), (2, 3000, 12), (3, 0, 400_000), (4, 1, 3)]

@@ -3,9 +3,10 @@
 A window is a shortest run of whole lines with at least ``min_words`` words that begins or ends at a given
 line. Every repeated run of so many words contains the same windows at both places, so their minima, the
 lines with the smallest hash in each window, are fingerprints that both places select. Fingerprints that
-occur at one place only go no further. At the others, positions are joined and a match is
-extended to both ends of every window that selected the fingerprint; neighbouring windows carry it on
-over the whole run. Of equal windows the first by (doc_id, line) stays and lines of the others go.
+occur at one place only go no further. At the others a match reaches to both ends of every window that selected
+the fingerprint, which is told by the window's rolling hash and not line by line; neighbouring windows carry it on
+over the whole run. Of equal windows the first by (doc_id, line) stays and lines of the others go. So a
+place is met with the first of its kind only: two places of a frequent line are never paired otherwise.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.arrowtext import blocks, filled, split_words
+from wattloom.llm.arrowtext import blocks, coded, filled, split_words
 from wattloom.sources.tables import stage
 
 MIN_WORDS = 50
@@ -28,43 +29,93 @@ _FOUND = "print bigint, doc_id bigint, line int, window binary, first_line int,
 _CLEAN = "doc_id bigint, n_lines bigint, n_removed bigint, text string"
 
 
-def _windows(words: np.ndarray, least: int) -> list[tuple[int, int]]:
-    """Shortest runs of lines with enough words, from each first line and to each last line."""
-    sums = np.concatenate([[0], np.cumsum(words)])
-    if sums[-1] < least:
-        return []
-    n = len(words)
-    last = np.searchsorted(sums, sums[:-1] + least)  # lines [i, last) have enough
-    ahead = {(i, int(e) - 1) for i, e in enumerate(last) if e <= n}
+# Primes below 2^31 and a base for each. A window is named by four remainders and its number of lines.
+_FIELDS = ((2_147_483_647, 1_103_515_245), (2_147_483_629, 1_220_703_125), (2_147_483_587, 1_664_525_001), (2_147_483_579, 1_812_433_253))
+
+
+def _windows(words: np.ndarray, begin: np.ndarray, end: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last line of the shortest runs with enough words, from each first line and to each last line.
+
+    Lines of several texts in a row; ``begin`` and ``end`` say for each line where its text does.
+    """
+    n, at = len(words), np.arange(len(words))
+    sums = np.concatenate([[0], np.cumsum(words, dtype=np.int64)])
+    last = np.searchsorted(sums[1:], sums[:-1] + least)
     first = np.searchsorted(sums, sums[1:] - least, side="right") - 1
-    behind = {(int(b), j) for j, b in enumerate(first) if sums[j + 1] >= least}
-    return sorted(ahead | behind)
+    ahead, behind = last < end, first >= begin
+    pairs = np.unique(np.concatenate([at[ahead] * n + last[ahead], first[behind] * n + at[behind]]))
+    return pairs // max(n, 1), pairs % max(n, 1)
+
+
+def _powers(base: int, n: int, prime: int) -> np.ndarray:
+    found = np.ones(max(n, 1), np.uint64)
+    known = 1
+    while known < n:
+        more = min(known, n - known)
+        found[known : known + more] = found[:more] * np.uint64(pow(base, known, prime)) % np.uint64(prime)
+        known += more
+    return found[:n]
+
+
+def _names(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.Array:
+    """A name for each run of lines a..b from the lines' four 32-bit hashes: a rolling hash, so the length costs nothing."""
+    parts = []
+    for part, (prime, base) in zip(hashes.T, _FIELDS):
+        p = np.uint64(prime)
+        sums = np.concatenate([[0], np.cumsum(part % p * _powers(base, len(part), prime) % p)]).astype(np.uint64) % p
+        parts.append((sums[b + 1] + p - sums[a]) % p * _powers(pow(base, -1, prime), len(part), prime)[a] % p)
+    names = np.ascontiguousarray(np.stack([*parts, (b - a + 1).astype(np.uint64)], axis=1).astype("<u4"))
+    offsets = np.arange(len(a) + 1, dtype=np.int32) * (4 * names.shape[1])
+    return pa.BinaryArray.from_buffers(pa.binary(), len(a), [None, pa.py_buffer(offsets), pa.py_buffer(names)])
+
+
+def _lowest(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The place of the first smallest value in each stretch low..high, by tables of powers of two."""
+    tables = [np.arange(len(values))]
+    while 2 << len(tables) - 1 <= (high - low).max(initial=1):
+        one, step = tables[-1], 1 << len(tables) - 1
+        left, right = one[:-step], one[step:]
+        tables.append(np.where(values[left] <= values[right], left, right))
+    level = np.frexp((high - low).astype(float))[1] - 1
+    found = np.empty(len(low), np.int64)
+    for at, table in enumerate(tables):
+        mine = level == at
+        left, right = table[low[mine]], table[high[mine] - (1 << at)]
+        found[mine] = np.where(values[left] <= values[right], left, right)
+    return found
 
 
 def _select(least: int):
-    """The windows of each text with their fingerprint and a digest of all their lines."""
+    """The windows of each text with their fingerprint, the line with words whose hash is smallest, and a name.
+
+    Every step is linear in the lines of the block: a text of blank lines costs no more than another one.
+    """
 
     def select(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, 1):
             pieces = pc.split_pattern(filled(batch.column(1)), "\n")
-            starts = pieces.offsets.to_numpy()
-            lines = pieces.flatten()
+            starts = pieces.offsets.to_numpy().astype(np.int64)
+            lines, starts = pieces.flatten(), starts - starts[0]
+            sizes = np.diff(starts)
+            begin, end = np.repeat(starts[:-1], sizes), np.repeat(starts[1:], sizes)
             words = np.diff(split_words(lines)[1])
-            raw = lines.cast(pa.large_binary()).to_pylist()
-            hashes = [xxhash.xxh3_64_intdigest(line) for line in raw]
-            out = []
-            for doc_id, start, end in zip(batch.column(0).to_pylist(), starts[:-1] - starts[0], starts[1:] - starts[0]):
-                for a, b in _windows(words[start:end], least):
-                    inside = hashes[start + a : start + b + 1]
-                    low = min(inside)
-                    name = xxhash.xxh3_128_digest(b"\n".join(raw[start + a : start + b + 1]))
-                    out.append((low - (1 << 63), doc_id, a + inside.index(low), name, a, b))
-            if out:
-                types = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out), types)],
-                    names=["print", "doc_id", "line", "window", "first_line", "last_line"],
-                )
+            a, b = _windows(words, begin, end, least)
+            if not len(a):
+                continue
+            distinct, code = coded(lines)
+            raw = distinct.cast(pa.large_binary()).to_pylist()
+            hashes = np.frombuffer(b"".join([xxhash.xxh3_128_digest(x) for x in raw]), "<u4").reshape(-1, 4)[code].astype(np.uint64)
+
+            full = np.flatnonzero(words > 0)
+            before = np.concatenate([[0], np.cumsum(words > 0)])
+            prints = hashes[full, 0] << np.uint64(32) | hashes[full, 1]
+            lowest = _lowest(prints, before[a], before[b + 1])
+            ids = batch.column(0).take(pa.array(np.repeat(np.arange(len(sizes)), sizes)[a]))
+            places = [(x - begin[a]).astype(np.int32) for x in (full[lowest], a, b)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(prints[lowest].view(np.int64)), ids, pa.array(places[0]), _names(hashes, a, b), pa.array(places[1]), pa.array(places[2])],
+                names=["print", "doc_id", "line", "window", "first_line", "last_line"],
+            )
 
     return select
 
@@ -120,7 +171,7 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_i
     A run of consecutive lines, equal byte for byte to an earlier run, goes if both have ``min_words``
     words or more; earlier is by (doc_id, line). A run that overlaps its own copy keeps the first copy
     whole. A null text stays null with no lines; an empty one is one empty line; shorter texts never
-    change. Rows with a null doc_id are left as they are. A doc_id names one document: rows that repeat it are no
+    change. A very long text, of blank lines too, costs time by its length. Rows with a null doc_id are left as they are. A doc_id names one document: rows that repeat it are no
     copies of each other. An empty table gives no rows; other columns aren't read.
     """
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
