@@ -61,7 +61,9 @@ def take_in(records: DataFrame, root: str, run: str, part: str | None, files: Da
     schema, _ = runs.KINDS[runs.READINGS]
     place = runs.kind_path(root, run, runs.READINGS)
     readings = spark.read.schema(schema).parquet(place) if Folders(spark).exists(place) else spark.createDataFrame([], schema)
-    meter_day_segments(readings).select("*", named).write.partitionBy("date").parquet(runs.kind_path(root, run, runs.SEGMENTS))
+    # A run of many dates would else leave a file for each task and date.
+    segments = meter_day_segments(readings).select("*", named).hint("rebalance", "date")
+    segments.write.partitionBy("date").parquet(runs.kind_path(root, run, runs.SEGMENTS))
     power_sketches(readings).select("*", named).write.parquet(runs.kind_path(root, run, runs.SKETCHES))
     if files is not None:
         files.select("*", named).write.parquet(runs.kind_path(root, run, runs.FILES))
