@@ -1,9 +1,11 @@
+import math
 import random
 import re
 from collections import Counter
 
 from pyspark.sql import functions as F
 
+from wattloom.llm import quality_rules as module
 from wattloom.llm.quality_rules import BASE, Condition, DecisionList, learn, quality
 
 
@@ -65,3 +67,76 @@ def test_the_first_rule_that_fits_is_named(spark):
     rules = DecisionList(((Condition("n_words", True, 3.0),), (Condition("n_words", True, 1.0), Condition("symbols_per_word", False, 0.5))))
     docs = spark.createDataFrame([(1, "a b c d"), (2, "a b"), (3, "# #"), (4, None)], "doc_id bigint, text string")
     assert {r.doc_id: r.rule for r in quality(docs, rules).collect()} == {1: 1, 2: 2, 3: None, 4: None}
+
+
+def plain_list(rows, names):
+    """Sequential covering by the definition, over (bad, held, values): grow by information gain, prune on the held third, stop."""
+    cuts = []
+    for f in range(len(names)):
+        ordered = sorted(r[2][f] for r in rows)
+        cuts.append(sorted({ordered[max(0, math.ceil(i / module.BINS * len(ordered)) - 1)] for i in range(1, module.BINS)}))
+
+    def meets(values, rule):
+        return all(values[f] > cut if above else values[f] <= cut for f, above, cut in rule)
+
+    def count(some, rule):
+        bad = sum(r[0] for r in some if meets(r[2], rule))
+        return bad, sum(meets(r[2], rule) for r in some) - bad
+
+    rules, left = [], rows
+    while len(rules) < module.MAX_RULES:
+        grown, held, rule = [r for r in left if not r[1]], [r for r in left if r[1]], []
+        while len(rule) < module.MAX_CONDITIONS:
+            p0, n0 = count(grown, rule)
+            if not p0 or not n0:
+                break
+            best = (0.0, None)
+            for f in range(len(names)):
+                for cut in cuts[f]:
+                    for above in (False, True):
+                        p, n = count(grown, [*rule, (f, above, cut)])
+                        gain = p * (math.log2(p / (p + n)) - math.log2(p0 / (p0 + n0))) if p else 0.0
+                        if p >= module.LEAST_COVER and gain > best[0] + 1e-9:
+                            best = (gain, (f, above, cut))
+            if best[1] is None:
+                break
+            rule.append(best[1])
+        if not rule:
+            break
+        ways = []
+        for k in range(1, len(rule) + 1):
+            p, n = count(held, rule[:k])
+            ways.append((p / (p + n) if p + n else 0.0, -k, p, n))
+        precision, k, p, _ = max(ways)
+        if p < module.LEAST_COVER or precision < module.LEAST_PRECISION:
+            break
+        rules.append(rule[:-k])
+        left = [r for r in left if not meets(r[2], rules[-1])]
+    return [[(names[f], above, float(cut)) for f, above, cut in rule] for rule in rules]
+
+
+def test_the_learned_list_equals_brute_force(spark):
+    draw = random.Random(9)
+    docs, labels = [], []
+    for i in range(900):
+        kind = draw.choices(["good", "symbols", "long", "mixed"], [6, 1, 1, 1])[0]
+        size = draw.randrange(60, 90) if kind != "long" else draw.randrange(200, 260)
+        words = [draw.choice("abcdefghij") * draw.randrange(2, 8) + str(draw.randrange(1000)) for _ in range(size)]
+        if kind == "symbols" or (kind == "mixed" and draw.random() < 0.5):
+            words = [w + "##" if draw.random() < 0.8 else w for w in words]
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(kind in ("good", "mixed"))))
+    texts, known = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, quality int")
+    names = list(module.features())
+    values = module.with_statistics(texts).where(~module.base_failed()).join(known, "doc_id").select(
+        (F.col("quality") == 0).alias("bad"), (F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0).alias("held"), F.array(*module.features().values()).alias("values")
+    )
+    expected = plain_list([tuple(r) for r in values.collect()], names)
+    found = learn(texts, known, F.col("quality") == 0)
+    assert [[(c.feature, c.above, c.threshold) for c in rule] for rule in found.rules] == expected and expected
+
+
+def test_a_very_long_text_is_judged(spark):
+    text = " ".join(f"w{i}" for i in range(300_000))
+    row = quality(spark.createDataFrame([(1, text)], "doc_id bigint, text string"), DecisionList(())).first()
+    assert (row.n_words, row.n_repeat_words, row.kept) == (300_000, 0, True)

@@ -201,7 +201,8 @@ def fit_rates(mixed: DataFrame, names: Sequence[str], targets: Sequence[float])
     Minimises the squared distance of (sum over documents of rate * n_tokens * posterior) from
     ``targets`` over rates of 0 or more, by projected gradient from rate 1. The gradient is taken in the
     metric in which a document counts by its tokens, and is scaled by the domains' Gram matrix, which
-    makes the first step exact where no rate is cut off; a step that does not help is halved.
+    makes the first step exact where no rate is cut off; a step that does not help is halved. Targets far
+    out of reach may end at rates that are not yet the nearest ones; the totals returned say how far.
     """
     k = len(names)
     weight = F.col("n_tokens").cast("double")
