@@ -1,4 +1,6 @@
-from wattloom.llm.license_scan import RULES, SENTENCES, scan_licenses
+import duckdb
+
+from wattloom.llm.license_scan import ORACLE_SQL, RULES, SENTENCES, scan_licenses
 
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
 of this software and associated documentation files (the "Software"), to deal
@@ -122,3 +124,43 @@ def test_official_notices(spark):
     docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(NOTICES)], "doc_id bigint, text string")
     found = {r.doc_id: r.licenses for r in scan_licenses(docs).collect()}
     assert found == {i: name for i, (name, _) in enumerate(NOTICES)}
+
+
+LINES = [
+    ("BSD-3-Clause", BSD + "3. Neither the name of Foo Inc. nor the names of its contributors may be used\n   to endorse or promote products derived from this software without specific\n   prior written permission."),
+    ("BSD-3-Clause", BSD + "3. Neither the name of the University nor the names of its contributors\n   may be used to endorse or promote products derived from this software\n   without specific prior written permission."),
+    ("BSD-3-Clause", BSD + "3. The name of the author may not be used to endorse or promote products\n   derived from this software without specific prior written permission."),
+    ("BSD-2-Clause", BSD.replace("1. ", "(a) ").replace("2. ", "(b) ")),
+    ("MIT", MIT.replace("and this permission notice shall", "and this permission notice (including the next\nparagraph) shall")),
+    ("MIT", "This project is licensed under the MIT License - see the LICENSE file for details."),
+    ("MIT", "It is released under the MIT License (https://opensource.org/licenses/MIT)"),
+    ("Apache-2.0,MIT", "Dual licensed under the MIT license or the Apache License, Version 2.0."),
+    ("Apache-2.0,MIT", "// SPDX-License-Identifier: MIT OR Apache-2.0"),
+    ("GPL-2.0-or-later", "/* SPDX-License-Identifier: GPL-2.0-or-later */"),
+    ("GPL-2.0-or-later", "# SPDX-License-Identifier: GPL-2.0+"),
+    ("GPL-2.0", "# SPDX-License-Identifier: GPL-2.0"),
+    ("BSD-3-Clause,MPL-2.0", "SPDX-License-Identifier: (BSD-3-Clause AND MPL-2.0)"),
+    ("BSD-2-Clause", "Distributed under the 2-clause BSD license"),
+    ("", "This is not licensed under the MIT license."),
+    ("", "SPDX-License-Identifier: LicenseRef-Own"),
+    ("MPL-2.0", "Available under the terms of the Mozilla Public License, v. 2.0"),
+]
+
+
+def test_holders_notes_links_and_identifiers(spark):
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(LINES)], "doc_id bigint, text string")
+    found = {r.doc_id: r.licenses for r in scan_licenses(docs).collect()}
+    assert found == {i: name for i, (name, _) in enumerate(LINES)}
+
+
+def test_repeated_rows_long_texts_and_the_sql(spark, tmp_path):
+    """Every text above, some twice and one very long, through both engines."""
+    texts = [t for _, t in NOTICES + LINES] + [MIT, MIT, "word " * 200_000 + "\n\n" + MIT, None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(5, texts[5])], "doc_id bigint, text string")
+    docs.coalesce(1).write.parquet(str(tmp_path / "documents"))
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents/*.parquet'")
+    columns = ["doc_id", "sentence_ids", "licenses", "n_licenses", "n_unknown"]
+    found = sorted(tuple(r) for r in scan_licenses(docs).select(*columns).collect())
+    assert found == sorted(db.sql(f"SELECT {', '.join(columns)} FROM ({ORACLE_SQL})").fetchall())
+    assert len(found) == len(texts) + 1 and found[-3][2] == "MIT"

@@ -1,7 +1,7 @@
 """License scans by sentence rules.
 
 A text is cut into sentences, sentences that may speak of a licence are normalised and mapped to the
-identifiers of known licence sentences, and the sequence of identifiers is matched against ordered rules.
+identifiers of known licence sentences, some of which have slots for holders, notes and links, and the sequence of identifiers is matched against ordered rules.
 A rule takes the identifiers that it matches, so a later and shorter rule does not see them again.
 Everything is built-in expressions on one row; nothing is shuffled.
 """
@@ -63,8 +63,46 @@ SENTENCES = {
     "CcByRef": "licensed under cc by 4 0",
     "CcBySaRef": "licensed under cc by sa 4 0",
     "AllRights": "all rights reserved",
+    "Bsd2Ref": "licensed under the bsd 2 clause license",
+    "Bsd3Ref": "licensed under the bsd 3 clause license",
+    "IscRef": "licensed under the isc license",
 }
 
+_ENDORSE = "may{} be used to endorse or promote products derived from this software without specific prior written permission$"
+_UNDER = "^(.* )?(licensed|released|distributed|available|published) under (the )?(terms of )?(the )?{}( .*)?$"
+_LICENSE = "licen[cs]e"
+
+# Sentences with a slot, as patterns of the normalised sentence, in the order in which they are tried; one
+# may stand for several identifiers.
+SLOTS = [
+    ("BsdNames", "^(.* )?nor the names of (its|their|the|any) contributors " + _ENDORSE.format("")),
+    ("BsdNames", "^(the )?names? of .* " + _ENDORSE.format(" not")),
+    ("BsdSource", "^[0-9a-z]{1,2} " + SENTENCES["BsdSource"] + "$"),
+    ("BsdBinary", "^[0-9a-z]{1,2} " + SENTENCES["BsdBinary"] + "$"),
+    ("MitNotice", "^the above copyright notice and this permission notice .* shall be included in all copies or substantial portions of the software$"),
+]
+REFERENCES = [
+    ("MitRef Apache2Ref", _UNDER.format(f"(either of )?(the )?mit( {_LICENSE})? (or|and) (the )?apache( {_LICENSE})? (version |v)?2 0")),
+    ("Apache2Ref MitRef", _UNDER.format(f"(either of )?(the )?apache( {_LICENSE})? (version |v)?2 0( {_LICENSE})? (or|and) (the )?mit")),
+    ("MitRef", _UNDER.format(f"(mit|expat) {_LICENSE}")),
+    ("Apache2Ref", _UNDER.format(f"apache( {_LICENSE})? (version |v)?2 0")),
+    ("Bsd2Ref", _UNDER.format(f"(bsd 2 clause|2 clause bsd|simplified bsd) {_LICENSE}")),
+    ("Bsd3Ref", _UNDER.format(f"(bsd 3 clause|3 clause bsd|new bsd|modified bsd) {_LICENSE}")),
+    ("IscRef", _UNDER.format(f"isc {_LICENSE}")),
+    ("MplRef", _UNDER.format(f"mozilla public {_LICENSE}( (version |v)?2 0| v)")),
+]
+# A reference that is denied is none.
+DENIED = "(^| )(not|never|isn t|aren t) "
+
+# Names in a line that begins with this, and what they stand for.
+SPDX_LINE = "spdx license identifier "
+SPDX = {
+    "mit": "MitRef", "apache 2 0": "Apache2Ref", "bsd 2 clause": "Bsd2Ref", "bsd 3 clause": "Bsd3Ref", "isc": "IscRef", "mpl 2 0": "MplRef",
+    "gpl 2 0": "Gpl2Ref", "gpl 2 0 only": "Gpl2Ref", "gpl 2 0 orlater": "Gpl2Plus", "gpl 3 0": "Gpl3Ref", "gpl 3 0 only": "Gpl3Ref",
+    "gpl 3 0 orlater": "Gpl3Plus", "lgpl 2 1 orlater": "Lgpl21Plus", "lgpl 3 0 orlater": "Lgpl3Plus", "agpl 3 0 orlater": "Agpl3Plus",
+    "cc0 1 0": "Cc0Ref", "unlicense": "UnlicenseGrant", "epl 1 0": "Epl1Notice", "epl 2 0": "Epl2Notice", "cc by 4 0": "CcByRef", "cc by sa 4 0": "CcBySaRef", "cc by nc 4 0": "CcByNcRef",
+}
+
 # Ordered rules, from a sequence of identifiers to a licence.
 RULES = [
     ("BSD-3-Clause", "BsdGrant BsdSource BsdBinary BsdNames"),
@@ -113,6 +151,9 @@ RULES = [
     ("CC-BY-NC-4.0", "CcByNcRef"),
     ("CC-BY-SA-4.0", "CcBySaRef"),
     ("CC-BY-4.0", "CcByRef"),
+    ("BSD-2-Clause", "Bsd2Ref"),
+    ("BSD-3-Clause", "Bsd3Ref"),
+    ("ISC", "IscRef"),
     ("All-Rights-Reserved", "AllRights"),
 ]
 
@@ -139,11 +180,36 @@ def normalised(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(F.translate(sentence, UPPER, LOWER), "[^a-z0-9]+", " "))
 
 
+# The name of a licence is part of its line, and a plus means that later versions will do.
+_PREPARED = [("SPDX-License-Identifier[: \\t]+", "SPDX-License-Identifier ", False), ("(GPL-[0-9.]+)[+]", "{}-or-later", True)]
+
+
+def prepared(text: Column) -> Column:
+    for pattern, by, group in _PREPARED:
+        text = F.regexp_replace(text, pattern, by.format("$1") if group else by)
+    return text
+
+
+def _with_slots(s: Column) -> Column:
+    """The identifiers of a sentence that is not known word by word; null if it fits no slot."""
+    found = F.lit(None).cast("string")
+    for name, pattern in reversed(REFERENCES):
+        found = F.when(s.rlike(pattern), name).otherwise(found)
+    found = F.when(~s.rlike(DENIED), found)
+    for name, pattern in reversed(SLOTS):
+        found = F.when(s.rlike(pattern), name).otherwise(found)
+    line = F.regexp_replace(s, " or later", " orlater")
+    listed = F.split(F.substring(line, len(SPDX_LINE) + 1, 1 << 30), " or | and | with ")
+    names = F.create_map(*(F.lit(x) for x in chain.from_iterable(SPDX.items())))
+    spdx = F.array_join(F.filter(F.transform(listed, lambda n: names[n]), lambda n: n.isNotNull()), " ")
+    return F.when(s.startswith(SPDX_LINE), F.when(spdx != "", spdx)).otherwise(found)
+
+
 def sentence_ids(text: Column, breaks: str) -> Column:
     """The identifiers of the critical sentences in order, blank-separated; ``?`` for one that is not known."""
     known = F.create_map(*(F.lit(x) for x in chain.from_iterable((s, name) for name, s in SENTENCES.items())))
-    critical = F.filter(F.transform(F.split(text, breaks), normalised), lambda s: s.rlike(SPEAKS_NORMAL))
-    return F.array_join(F.transform(critical, lambda s: F.coalesce(known[s], F.lit(UNKNOWN))), " ")
+    critical = F.filter(F.transform(F.split(prepared(text), breaks), normalised), lambda s: s.rlike(SPEAKS_NORMAL))
+    return F.array_join(F.transform(critical, lambda s: F.coalesce(known[s], _with_slots(s), F.lit(UNKNOWN))), " ")
 
 
 def matched(sequence: Column) -> Column:
@@ -182,13 +248,25 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     )
 
 
+def _sql_slots() -> str:
+    slots = " ".join(f"WHEN regexp_matches(s, '{pattern}') THEN '{name}'" for name, pattern in SLOTS)
+    references = " ".join(f"WHEN regexp_matches(s, '{pattern}') THEN '{name}'" for name, pattern in REFERENCES)
+    names = " ".join(f"WHEN '{n}' THEN '{name}'" for n, name in SPDX.items())
+    listed = f"string_split(regexp_replace(replace(s[{len(SPDX_LINE) + 1}:], ' or later', ' orlater'), ' or | and | with ', chr(2), 'g'), chr(2))"
+    spdx = f"nullif(array_to_string(list_filter(list_transform({listed}, lambda n: CASE n {names} END), lambda n: n IS NOT NULL), ' '), '')"
+    return f"CASE WHEN starts_with(s, '{SPDX_LINE}') THEN {spdx} {slots} WHEN regexp_matches(s, '{DENIED}') THEN NULL {references} END"
+
+
 def _sql_ids(breaks: str) -> str:
     cases = " ".join(f"WHEN '{s}' THEN '{name}'" for name, s in SENTENCES.items())
+    body = "body"
+    for pattern, by, group in _PREPARED:
+        body = f"regexp_replace({body}, '{pattern}', '{by.format(chr(92) + '1') if group else by}', 'g')"
     clean = f"trim(regexp_replace(translate(s, '{UPPER}', '{LOWER}'), '[^a-z0-9]+', ' ', 'g'))"
     # A break is marked by a character that no sentence keeps.
-    parts = f"string_split(regexp_replace(body, '{breaks}', chr(1), 'g'), chr(1))"
+    parts = f"string_split(regexp_replace({body}, '{breaks}', chr(1), 'g'), chr(1))"
     critical = f"list_filter(list_transform({parts}, lambda s: {clean}), lambda s: regexp_matches(s, '{SPEAKS_NORMAL}'))"
-    return f"array_to_string(list_transform({critical}, lambda s: CASE s {cases} ELSE '{UNKNOWN}' END), ' ')"
+    return f"array_to_string(list_transform({critical}, lambda s: coalesce(CASE s {cases} END, {_sql_slots()}, '{UNKNOWN}')), ' ')"
 
 
 def _sql_matched(column: str) -> str:
