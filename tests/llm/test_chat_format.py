@@ -85,3 +85,9 @@ def test_history_cut_far_back_is_found():
     last_sixty = lambda ts: "".join(f"<{r}>{t}\n" for r, t in ts[-60:])
     seen = module._Conversation(last_sixty, "assistant")
     assert [r[-1] for r in map(lambda t: seen.add(*t), LONG)] == [False] * 60 + [True] * 40
+
+
+def test_very_long_texts(spark):
+    rows = [(1, 0, "user", "ask <|im_end|> " * 40_000), (1, 1, "assistant", "answer é " * 60_000), (1, 2, "user", "x"), (1, 3, "assistant", "y" * 700_000)]
+    found, expected = run(spark, rows), brute(rows)
+    assert {k: v[: len(expected[k])] for k, v in found.items()} == expected

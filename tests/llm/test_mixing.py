@@ -96,3 +96,10 @@ def test_rates_are_the_least_squares_solution(spark):
             rates = np.maximum(0, rates - size * (part.T @ (part @ rates - goal)) / tokens)
         best = np.linalg.norm(part @ rates - goal)
         assert found <= best + 0.01 * sum(goal)
+
+
+def test_a_very_long_text_counts_by_all_its_words(spark):
+    docs, labels = corpus(spark, 40)
+    long = spark.createDataFrame([(1000, "sea boat " * 300_000)], "doc_id bigint, text string")
+    row = mix(docs.unionByName(long), labels, F.col("kind"), {"a": 0.5, "b": 0.3, "c": 0.2}, "a").where("doc_id = 1000").first()
+    assert row.n_tokens == 600_000 and row.rate >= 0

@@ -65,3 +65,10 @@ def test_many_shards_in_one_or_many_branches(spark, limit):
     assert cascade.n_shards == 14 and marked.count() == 2000
     assert marked.where(F.col("is_listed") != (F.col("in_list") & F.col("k").isNotNull())).count() == 0
     assert module.BROADCAST_BYTES > 0
+
+
+def test_long_urls_null_ids_and_repeated_rows(spark):
+    urls = ["http://bad.net/" + "x" * 500_000, "http://" + "sub." * 20_000 + "example.org/es/", "http://bad.net/" + "x" * 500_000, None]
+    pages = spark.createDataFrame([(None, u) for u in urls], "page_id bigint, url string")
+    found = sorted((r.host, r.path, r.rule, r.verdict) for r in judge_urls(pages, URL_RULES, F.col("host") == "bad.net").collect())
+    assert found == sorted(brute(u, {"bad.net"}) for u in urls)

@@ -308,8 +308,8 @@ def _encoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, ids, decoded for each row of ``docs``: token ids of the whole text, and their bytes.
 
-    A null text is empty; an empty text has no ids. Repeated rows and null identifiers each give their row. An empty
-    table gives no rows; other columns aren't read.
+    A null text is empty; an empty text has no ids; a very long text is a block by itself. Repeated rows and null
+    identifiers each give their row. An empty table gives no rows; other columns aren't read.
     """
     return _encoded(docs, ranks, pattern, id_col, text_col, _tokens, _ENCODED)
 

@@ -141,7 +141,8 @@ def format_turns(conversations: DataFrame, template: Template = chat_template, l
     Rows are ordered by turn, then role and text; a null turn comes first; null role and text are empty;
     rows with a null conv_id are one conversation. A conversation is read as a stream. With a template
     declared ``local_to_turn`` it may be longer than memory, as a prefix holds the last ``2 * CONTEXT`` turns
-    at most; with any other, all its turns are held and rendered for each new one.
+    at most; with any other, all its turns are held and rendered for each new one. A very long text is rendered
+    whole. Repeated rows are turns of their own; an empty table gives no rows.
     """
     rows = conversations.select(
         F.col("conv_id").cast("bigint"),

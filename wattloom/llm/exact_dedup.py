@@ -88,8 +88,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Texts are equal when identical after lower-casing A-Z only; a null text is empty. Of equal texts
     the largest identifier stays (the smallest with ``largest=False``). Null identifiers lose
     against any other; where a group has no other, keep_id is null and its rows are kept. Rows that
-    repeat both identifier and text are one document: each is returned, with the same decision. An
-    empty table gives no rows; other columns of ``docs`` are not read.
+    repeat both identifier and text are one document: each is returned, with the same decision. Of a very long text
+    only the digests leave the task that reads it. An empty table gives no rows; other columns of ``docs`` are not read.
     """
     source = docs.select(
         F.col(id_col).cast("bigint"), F.col(text_col).cast("string"), F.spark_partition_id().cast("bigint")

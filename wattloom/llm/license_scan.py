@@ -226,8 +226,8 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Sentences end at punctuation before white space and at blank lines. They are read once with every line break as an end
     and once with line breaks as blanks, since licence texts are often wrapped: sentence_ids and
     n_unknown (critical sentences that no rule took) are of the first reading, licenses of both. A null
-    or empty text has no sentences. Repeated rows and null identifiers each give their row; other
-    columns aren't read.
+    or empty text has no sentences; a very long one is read whole, as any other. Repeated rows and null identifiers
+    each give their row; an empty table gives none; other columns aren't read.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     speaks = text.rlike(SPEAKS)

@@ -258,8 +258,8 @@ def mix(
     ``weights`` gives each domain, in the order of the numbers of ``domain``, its share of the mixture's expected
     tokens. The total is set by the domain ``anchor``: it keeps its expected tokens times ``growth``. Rates
     are fitted over all documents. A null text has no words, the prior as its posterior and a rate
-    like any other; null identifiers share one draw. Repeated rows are rated alike. An empty table
-    gives no rows; other columns aren't read.
+    like any other; null identifiers share one draw. Repeated rows are rated alike. A very long text is a block by
+    itself and counts by all its words. An empty table gives no rows; other columns aren't read.
     """
     names = [f"p_{n}" for n in weights]
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))

@@ -365,7 +365,8 @@ def near_dedup(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, id_
     component_id is the smallest identifier reachable over links. A text without words (null, empty or
     white space) has no shingles and is linked with nothing. A null identifier is linked with nothing,
     its component is null and it is kept. An identifier names one document: rows that repeat it share
-    its links. An empty table gives no rows; other columns aren't read.
+    its links. A very long text is a block by itself, with all its shingles. An empty table gives no rows; other
+    columns aren't read.
     """
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     signed = stage(texts.mapInArrow(_sign(size), _SIGNED), "signatures")

@@ -211,7 +211,8 @@ def judge_urls(
     The longest rule that fits decides. Where none does, pages of a listed host are blocked and all
     others allowed; ``listed`` says over the columns host and path which hosts are listed, and a host
     is if any of its pages is. A null url or one without ``://`` has an empty host and path, so no
-    rule fits. Repeated rows are judged alike; an empty table gives no rows; other columns aren't read.
+    rule fits; a very long one is judged whole. Repeated rows are judged alike, rows without a page_id too; an empty
+    table gives no rows; other columns aren't read.
     """
     url = F.col(url_col).cast("string")
     urls = pages.select(F.col(id_col).alias("page_id"), url_host(url).alias("host"), url_path(url).alias("path"))
