@@ -30,7 +30,7 @@ from wattloom.sources.tables import stage
 # Weight of the next lower order, in tokens.
 PRIOR = 8.0
 # Bytes of text in a block, and tokens of the corpus for each bucket.
-BLOCK, BUCKET_TOKENS = 16 << 20, 1 << 20
+BLOCK, BUCKET_TOKENS = 8 << 20, 1 << 20
 _LEVEL = 3
 
 _PLACES = "block bigint, doc_ids array<bigint>, lengths array<bigint>, words binary, places binary"
@@ -104,8 +104,12 @@ class _Events:
         current = np.insert(at, np.cumsum(sizes[full]), end)
         previous = np.concatenate([[begin], current[:-1]])[: len(current)]
         previous[np.concatenate([[0], np.cumsum(sizes[full] + 1)])[:-1]] = begin
-        self.document = np.repeat(full, sizes[full] + 1)
-        pairs, self.pair = np.unique(previous * (begin + 1) + current, return_inverse=True)
+        self.document = np.repeat(full.astype(np.int32), sizes[full] + 1)
+        codes = previous * (begin + 1) + current
+        del previous, current
+        pairs, self.pair = np.unique(codes, return_inverse=True)
+        del codes
+        self.pair = self.pair.astype(np.int32)
         self.current, self.previous = pairs % (begin + 1), pairs // (begin + 1)
         marked = np.concatenate([hashes, [_END, _BEGIN]])
         # Keys of words and the end mark, and of pairs.
@@ -123,12 +127,14 @@ def _send(bits: int):
 
     def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, lengths, words, places, targets in zip(*(c.to_pylist() for c in batch.columns)):
+            for at in range(batch.num_rows):  # a block at a time is unpacked
+                block, lengths, words, places, targets = (c[at].as_py() for c in batch.columns)
                 events = _Events(lengths, words, places)
                 target = np.zeros(len(lengths), bool)
                 target[targets or []] = True
                 sides = [events.counts(target), events.counts(~target)]
                 sent = [(k[o], t[o], b[o]) for k, o, t, b in zip(events.keys, events.orders, *sides)]
+                del events, sides
                 cuts = [np.searchsorted(k >> np.uint64(64 - bits) if bits else k * np.uint64(0), np.arange((1 << bits) + 1, dtype=np.uint64)) for k, _, _ in sent]
                 rows = []
                 for bucket in range(1 << bits):
@@ -138,8 +144,7 @@ def _send(bits: int):
                         for keys in (0, 3):
                             piece[keys] = np.diff(piece[keys], prepend=np.uint64(0))
                         rows.append((bucket, block, _packed(*piece)))
-                for at in range(0, len(rows), 256):
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows[at : at + 256]), (pa.int64(), pa.int64(), pa.binary()))], names=["bucket", "block", "pack"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 3, (pa.int64(), pa.int64(), pa.binary()))], names=["bucket", "block", "pack"])
 
     return send
 
