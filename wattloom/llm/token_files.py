@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -37,7 +38,7 @@ END = 0
 # Tokens after which a file is closed; it holds whole documents, and a longer document is a file by itself.
 FILE_TOKENS = 8 << 20
 # Bytes of text whose distinct pre-tokens are encoded together, and pre-tokens that a task remembers.
-ENCODE_BLOCK = 16 << 20
+ENCODE_BLOCK = 12 << 20
 REMEMBERED = 400_000
 
 _MAGIC, _VERSION = b"WTOK", 1
@@ -152,15 +153,15 @@ class Encoder:
         if tokenizer.normalizer is not None or type(tokenizer.pre_tokenizer).__name__ != "ByteLevel":
             raise ValueError("no plain byte-level tokenizer")
         self._merge = tokenizer.model.tokenize
-        self._kind = np.uint16 if tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self._find, self._letters = _matcher(pattern), _byte_letters()
-        self._known: dict[str, np.ndarray] = {}
+        self._known: dict[str, bytes] = {}
 
-    def _word(self, word: str) -> np.ndarray:
+    def _word(self, word: str) -> bytes:
+        """The ids of a pre-token, four bytes each."""
         ids = self._known.get(word)
         if ids is None:
             letters = word.encode().decode("latin-1").translate(self._letters)
-            ids = self._known[word] = np.array([t.id for t in self._merge(letters)], self._kind)
+            ids = self._known[word] = array("I", [t.id for t in self._merge(letters)]).tobytes()
         return ids
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -169,17 +170,18 @@ class Encoder:
         if len(self._known) > REMEMBERED:
             self._known = {}
         # One more word: the end of a text.
-        lists = [self._word(w) for w in block.words.to_pylist()] + [np.array([END], np.uint32)]
-        sizes = np.array([len(x) for x in lists], np.int64)
-        flat = np.concatenate(lists).astype(np.uint32)
-        end = np.array([len(lists) - 1], np.int64)
-        uses = np.concatenate([x for s in block.sequences for x in (s, end)] or [end[:0]]).astype(np.int64)
+        lists = [self._word(w) for w in block.words.to_pylist()] + [array("I", [END]).tobytes()]
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
+        flat = np.frombuffer(b"".join(lists), np.uint32)
+        end = np.array([len(lists) - 1], np.int32)
+        uses = np.concatenate([x for s in block.sequences for x in (s, end)] or [end[:0]])
+        stops = np.cumsum([len(s) + 1 for s in block.sequences])
+        del lists, block
         counts = sizes[uses]
         ends = np.cumsum(counts)
-        first = np.concatenate([[0], np.cumsum(sizes)])[uses]
-        ids = flat[np.repeat(first - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)]
-        stops = np.cumsum([len(s) + 1 for s in block.sequences])
-        return ids, np.diff(np.concatenate([[0], ends[stops - 1] if len(stops) else []])).astype(np.int64)
+        at = np.repeat((np.cumsum(sizes) - sizes)[uses] - (ends - counts), counts)
+        at += np.arange(len(at))
+        return flat[at], np.diff(np.concatenate([[0], ends[stops - 1] if len(stops) else []])).astype(np.int64)
 
 
 def _files(definition: str, pattern: str, file_tokens: int):
