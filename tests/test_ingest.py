@@ -41,9 +41,14 @@ def served(spark, root):
     return {t.name: rows_of(tables.read(spark, root, t).selectExpr(*columns)) for t, columns in TABLES.items()}
 
 
-def whole(spark, tmp_path, readings):
-    run_batch(pack_readings(readings), f"{tmp_path}/whole")
-    return served(spark, f"{tmp_path}/whole")
+def whole(spark, root, readings):
+    run_batch(pack_readings(readings), str(root))
+    return served(spark, str(root))
+
+
+@pytest.fixture(scope="module")
+def in_one_run(spark, tmp_path_factory):
+    return whole(spark, tmp_path_factory.mktemp("whole"), make_readings(spark))
 
 
 SPLITS = {
@@ -57,12 +62,12 @@ SPLITS = {
 
 
 @pytest.mark.parametrize("split", list(SPLITS))
-def test_any_split_into_runs_gives_the_same_tables(spark, tmp_path, split):
+def test_any_split_into_runs_gives_the_same_tables(spark, tmp_path, split, in_one_run):
     readings = make_readings(spark)
     for k, condition in enumerate(SPLITS[split]):
         run_batch(pack_readings(readings.where(condition)), f"{tmp_path}/parts", part=str(k))
     found = served(spark, f"{tmp_path}/parts")
-    assert found == whole(spark, tmp_path, readings)
+    assert found == in_one_run
     assert len(found["mains_energy"]) >= 12 and len(found["meter_stats"]) == 8
 
 
@@ -159,7 +164,7 @@ def test_a_part_with_other_contents_replaces_all_it_had(spark, tmp_path):
     run_batch(pack_readings(readings.where("date = '2011-04-19'")), root, "kept")
     run_batch(pack_readings(first), root, "changed")
     run_batch(pack_readings(second), root, "changed")
-    assert served(spark, root) == whole(spark, tmp_path, readings.where("date = '2011-04-19'").unionByName(second))
+    assert served(spark, root) == whole(spark, tmp_path / "whole", readings.where("date = '2011-04-19'").unionByName(second))
 
 
 def test_many_runs_are_packed_and_stay_the_same(spark, tmp_path, monkeypatch):

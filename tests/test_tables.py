@@ -1,5 +1,3 @@
-from pathlib import Path
-
 import pytest
 
 from tests.conftest import rows_of
@@ -78,24 +76,29 @@ def test_readers_live_through_commits_and_old_versions_go(spark, tmp_path, monke
 
 def test_a_reader_lives_through_a_hundred_commits(spark, tmp_path, monkeypatch):
     """By age, as any reader does; then by a lease alone, after whose end the old files go."""
-    root, path = str(tmp_path), f"{tmp_path}/mains_energy"
-    T.overwrite(energy(spark, (1, "2011-05-21", "m", 0), (2, "2011-05-22", "m", 0)), root, T.MAINS_ENERGY)
-    reader = T.read(spark, root, T.MAINS_ENERGY)
+    root, table, manifests = str(tmp_path), T.GEO_ENERGY, tmp_path / "geo_energy" / "manifests"
+
+    def commit(*rows):
+        frame = spark.createDataFrame([(f"2011-05-{d}", "02366", float(k)) for d, k in rows], "date string, zip string, kwh double")
+        T.overwrite(frame.coalesce(1), root, table)
+
+    commit((21, 0), (22, 0))
+    reader = T.read(spark, root, table)
     for k in range(1, 51):
-        T.overwrite(energy(spark, (1, "2011-05-21", "m", k)), root, T.MAINS_ENERGY)
+        commit((21, k))
     assert rows_of(reader, "kwh") == [(0.0,), (0.0,)]
-    with T.leased(spark, root, T.MAINS_ENERGY) as rows:
+    with T.leased(spark, root, table) as rows:
         monkeypatch.setattr(T, "RETAINED_SECONDS", 0)
         for k in range(51, 101):
-            T.overwrite(energy(spark, (1, "2011-05-21", "m", k)), root, T.MAINS_ENERGY)
+            commit((21, k))
         assert rows_of(rows, "kwh") == [(0.0,), (50.0,)]
         # What came before the lease is gone, what came after it is not.
-        assert len(list((tmp_path / "mains_energy" / "manifests").glob("*.json"))) == 51
-    T.overwrite(energy(spark, (1, "2011-05-21", "m", 101)), root, T.MAINS_ENERGY)
-    assert len(list((tmp_path / "mains_energy" / "manifests").glob("*.json"))) == T.KEPT_MANIFESTS
-    assert not Path(f"{path}/leases").exists() or not list(Path(f"{path}/leases").glob("0*"))
+        assert len(list(manifests.glob("*.json"))) == 51
+    commit((21, 101))
+    assert len(list(manifests.glob("*.json"))) == T.KEPT_MANIFESTS
+    assert not list((tmp_path / "geo_energy").glob("leases/0*"))
     # The date that no commit has touched is still there.
-    assert rows_of(T.read(spark, root, T.MAINS_ENERGY), "date", "kwh") == [("2011-05-21", 101.0), ("2011-05-22", 0.0)]
+    assert rows_of(T.read(spark, root, table), "date", "kwh") == [("2011-05-21", 101.0), ("2011-05-22", 0.0)]
 
 
 def test_a_lease_that_has_run_out_holds_nothing(spark, tmp_path, monkeypatch):
@@ -109,7 +112,7 @@ def test_a_lease_that_has_run_out_holds_nothing(spark, tmp_path, monkeypatch):
 
 def test_a_log_of_many_batches_is_packed_by_size(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(T, "RETAINED_SECONDS", 0)
-    root, n = str(tmp_path), 150
+    root, n = str(tmp_path), 100
     for k in range(n):
         if k % 7:  # every seventh batch is empty
             T.append_batch(energy(spark, (k, "2011-05-21", "m", k)).coalesce(1), root, T.MAINS_ENERGY, k, "a")
@@ -120,7 +123,7 @@ def test_a_log_of_many_batches_is_packed_by_size(spark, tmp_path, monkeypatch):
     expected = [("a", k, k, float(k)) for k in range(n) if k % 7] + [("b", 0, 0, 5.0)]
     assert rows_of(T.read_log(spark, root, T.MAINS_ENERGY), "run", "batch_id", "house_id", "kwh") == expected
     folders = [p for kind in ("log", "packs") for p in (tmp_path / f"mains_energy_{kind}").rglob("date=*")]
-    # At most 3 packs on each of log4(150) levels, and some that the kept manifests still name.
+    # At most 3 packs on each of log4(100) levels, and some that the kept manifests still name.
     assert len(folders) <= 3 * 4 + 4 * T.KEPT_MANIFESTS + 4
     # A batch that is packed and comes again is not there twice.
     T.append_batch(energy(spark, (8, "2011-05-21", "m", 8)), root, T.MAINS_ENERGY, 8, "a")
