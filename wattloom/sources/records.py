@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattloom.functions.parsing import parse_seconds
 from wattloom.schema import COMPACT_WITH_CORRUPT, CORRUPT_COLUMN
-from wattloom.session import fresh_dir
 from wattloom.sources.folders import Folders
 from wattloom.sources.tables import stage
 
@@ -77,10 +77,11 @@ def write_topic(records: DataFrame, root: str, topic: str) -> None:
     records whose time can't be read, fail the job before anything is moved.
     """
     spark = records.sparkSession
-    folders, staged = Folders(spark), fresh_dir(spark, "topic-hours")
+    # Beside the topic: a rename does not leave a store.
+    base = f"{root.rstrip('/')}/{topic}/hourly"
+    folders, staged = Folders(spark), f"{root.rstrip('/')}/{topic}/_staged-{uuid.uuid4().hex}"
     write_hourly(records, staged)
     hours = _hour_folders(spark, staged, "0000", "9999-99-99-99")
-    base = f"{root.rstrip('/')}/{topic}/hourly"
     plain = {place: f"{base}/{'/'.join(part.split('=')[1] for part in place.split('/')[-4:])}" for place in hours}
     if folders.exists("/".join([staged, *(f"{c}={NO_HOUR}" for c in HOUR_COLUMNS)])):
         raise ValueError("records without a readable time")
