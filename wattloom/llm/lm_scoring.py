@@ -5,7 +5,7 @@ share one vocabulary, all words of the corpus, the orders and the smoothing, and
 scaled to as many tokens as the target's (matched), so that a difference of the losses is one of the texts and not
 of the amounts of data. Counts cover every token of every document.
 
-Documents are cut into blocks once. A block sends each of its distinct words and word pairs once, as 64-bit keys with
+Documents are cut into blocks once. A block sends each of its distinct words and word pairs once, as 56-bit keys with
 their counts, packed by bucket of the key. A bucket adds up what all blocks have sent and answers each with the totals
 of its own keys; there are as many buckets as keep one small however large the corpus is. At the block the totals are joined with
 the pairs, and the losses of a document's tokens are added up. Neither model is ever in one place.
@@ -31,6 +31,8 @@ from wattloom.sources.tables import stage
 PRIOR = 8.0
 # Bytes of text in a block, and tokens of the corpus for each bucket.
 BLOCK, BUCKET_TOKENS = 8 << 20, 1 << 20
+# Two of a hundred million keys of this size are the same about once in ten corpora.
+KEY_BITS = 56
 _LEVEL = 3
 
 _PLACES = "block bigint, doc_ids array<bigint>, lengths array<bigint>, words binary, places binary"
@@ -113,7 +115,7 @@ class _Events:
         self.current, self.previous = pairs % (begin + 1), pairs // (begin + 1)
         marked = np.concatenate([hashes, [_END, _BEGIN]])
         # Keys of words and the end mark, and of pairs.
-        self.keys = [_mix(marked[:-1]), _mix(marked[self.previous] * _STEP + marked[self.current])]
+        self.keys = [_mix(x) >> np.uint64(64 - KEY_BITS) for x in (marked[:-1], marked[self.previous] * _STEP + marked[self.current])]
         self.orders = [np.argsort(k) for k in self.keys]
 
     def counts(self, side: np.ndarray) -> list[np.ndarray]:
@@ -135,7 +137,7 @@ def _send(bits: int):
                 sides = [events.counts(target), events.counts(~target)]
                 sent = [(k[o], t[o], b[o]) for k, o, t, b in zip(events.keys, events.orders, *sides)]
                 del events, sides
-                cuts = [np.searchsorted(k >> np.uint64(64 - bits) if bits else k * np.uint64(0), np.arange((1 << bits) + 1, dtype=np.uint64)) for k, _, _ in sent]
+                cuts = [np.searchsorted(k >> np.uint64(KEY_BITS - bits), np.arange((1 << bits) + 1, dtype=np.uint64)) for k, _, _ in sent]
                 rows = []
                 for bucket in range(1 << bits):
                     piece = [a[c[bucket] : c[bucket + 1]] for part, c in zip(sent, cuts) for a in part]
@@ -226,7 +228,8 @@ def cross_entropy_difference(
 
     bits = max(3, int(np.ceil(np.log2(max(sum(tokens) / BUCKET_TOKENS, 1)))))
     targets = flagged.where("is_target").groupBy("block").agg(F.sort_array(F.collect_list("place")).alias("targets"))
-    marked = placed.join(targets, "block", "left").select("block", "lengths", "words", "places", "targets")
+    # The list of targets grows with the corpus: a merge at every size.
+    marked = placed.join(targets.hint("merge"), "block", "left").select("block", "lengths", "words", "places", "targets")
     pieces = marked.mapInArrow(_send(bits), _PIECES)
     answers = stage(pieces.groupBy("bucket").applyInArrow(_add_up, _ANSWERS), "bucket-answers")
     n_words = answers.agg(F.sum("new_words")).first()[0] or 0
