@@ -36,10 +36,10 @@ from wattloom.sources.tables import stage
 # The id that closes each document.
 END = 0
 # Tokens after which a file is closed; it holds whole documents, and a longer document is a file by itself.
-FILE_TOKENS = 8 << 20
+FILE_TOKENS = 4 << 20
 # Bytes of text whose distinct pre-tokens are encoded together, and pre-tokens that a task remembers.
-ENCODE_BLOCK = 12 << 20
-REMEMBERED = 400_000
+ENCODE_BLOCK = 6 << 20
+REMEMBERED = 300_000
 
 _MAGIC, _VERSION = b"WTOK", 1
 _HEAD = struct.Struct("<4sIIIQQQ")
@@ -61,9 +61,10 @@ def pack_levels(ids: np.ndarray) -> list[bytes]:
         sections += [struct.pack("<Q", len(rest)), _padded((rest & 0xFF).astype(np.uint8).tobytes())]
         if not more.any():
             return sections
-        full = -(-len(rest) // _STRETCH) * _STRETCH
-        bits = np.packbits(np.pad(more, (0, full - len(rest))), bitorder="little")
-        before = np.concatenate([[0], np.cumsum(more.view(np.uint8), dtype=np.int64)])[np.arange(0, full, _STRETCH)]
+        bits = np.packbits(more, bitorder="little")
+        bits = np.pad(bits, (0, -len(bits) % (_STRETCH // 8)))
+        counts = np.bitwise_count(bits).reshape(-1, _STRETCH // 8).sum(axis=1, dtype=np.int64)
+        before = np.cumsum(counts) - counts
         sections += [bits.tobytes(), _padded(before.astype("<u4").tobytes())]
         rest = rest[more] >> 8
 
