@@ -10,6 +10,7 @@ from tests.conftest import rows_of
 from tests.oracle import compare, connect
 from wattloom.operators.energy import label_day_energy, meter_day_energy
 from wattloom.operators.readings import expand_readings, pack_readings, parse_json, to_messages
+from wattloom.operators.replicate import replicate_days
 from wattloom.operators.share import appliance_share
 from wattloom.operators.stats import meter_p97
 from wattloom.plans import batch
@@ -155,6 +156,31 @@ def test_prep_job(spark):
     assert per_house[70].top <= 8 * 1.05 * 0.5 and per_house[71].labels == 2
 
 
+def test_houses_of_one_source_share_their_records(spark):
+    """Records are packed once for each set of sources, and houses that repeat or are null have all that they replay."""
+    channels = spark.createDataFrame(
+        [(h, m, START + s, 8.0 + s) for h in (1, 2) for m in ("1", "3") for s in (0, 0, 600, 1200)],
+        "house_id bigint, meter_id string, ts bigint, power double",
+    )
+    clean = spark.createDataFrame([(1, START), (2, START)], "house_id bigint, day_start bigint")
+    labels = spark.createDataFrame([(1, "1", "mains"), (1, "3", "oven")], "source_house int, meter_id string, label string")
+    given = [(70, 1, "02366", 2.0), (71, 1, "02366", 2.0), (71, 1, "02366", 2.0), (71, 2, "02366", 1.0), (72, 2, "00001", None),
+             (None, 1, None, 2.0), (None, 2, "00001", 1.0), (73, None, "00001", 1.0), (74, 9, "00001", 1.0), (75, 1, "00002", 3.0)]
+    houses = spark.createDataFrame(given, "house_id bigint, source_house int, zip string, scale double")
+    for scaled in (False, True):
+        records = replay_records(channels, clean, labels, houses, days=2, scaled=scaled)
+        flat = replicate_days(channels, clean, days=2).withColumnRenamed("house_id", "source_house")
+        flat = flat.join(labels, ["source_house", "meter_id"], "left").join(houses, "source_house")
+        power = F.col("power") * F.col("scale") if scaled else F.col("power")
+        plain = pack_readings(flat.select("house_id", "ts", "zip", "label", "meter_id", power.alias("power")))
+        text = [F.to_json(F.struct(*plain.columns)).alias("record")]
+        assert records.schema.simpleString() == plain.schema.simpleString()
+        assert rows_of(records.select(text)) == rows_of(plain.select(text))
+        # The houses come in above the packing, so nothing is packed or shuffled house by house.
+        above_packing = records._jdf.queryExecution().optimizedPlan().toString().split("collect_list(struct(channel")[0]
+        assert "Join" in above_packing
+
+
 def test_a_hot_meter_and_second_stay_exact(spark):
     """A third of all readings in one second of one meter: the collapse must carry the count."""
     cold = random_readings(spark)

@@ -14,6 +14,9 @@ from wattloom.operators.replicate import CALENDAR_DAYS, replicate_days
 MAINS_CHANNEL = "1"
 APPLIANCE_CHANNEL = "3"
 
+# Fixed value: parts in which the records of a recipe are handed to its houses, so that a source of many houses has many tasks.
+RECIPE_PARTS = 64
+
 
 def clean_days_of(channels: DataFrame, anchor: Column | int, max_gap: int = MAX_GAP) -> DataFrame:
     """Days of each house that are clean on its first mains and its first appliance channel."""
@@ -30,6 +33,27 @@ def clean_days_of_all(channels: DataFrame, anchor: Column | int, max_gap: int =
     return days_of_all(clean_days(channels, anchor=anchor, max_gap=max_gap), known, anchor=anchor)
 
 
+def _recipes(houses: DataFrame, scaled: bool) -> DataFrame:
+    """The recipe of each (house_id, zip): the sources it replays, with their scale if that counts, and how often each."""
+    term = ["source_house", "scale"] if scaled else ["source_house"]
+    terms = houses.where("source_house IS NOT NULL").groupBy("house_id", "zip", *term).agg(F.count(F.lit(1)).cast("int").alias("times"))
+    return terms.groupBy("house_id", "zip").agg(F.sort_array(F.collect_list(F.struct(*term, "times"))).alias("recipe"))
+
+
+def _to_houses(records: DataFrame, houses: DataFrame) -> DataFrame:
+    """``records``, whose house and zip are those of the ``first`` house, for each of ``houses``; no record is shuffled after that.
+
+    Both sides are dealt to as many tasks whatever their size, since what comes of them is their product.
+    """
+    part = F.pmod(F.xxhash64("step_start", "layer", "record_no"), F.lit(RECIPE_PARTS))
+    parts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(RECIPE_PARTS - 1).cast("bigint")))
+    first = F.struct(F.col("houseId").alias("house_id"), "zip")
+    shared = records.select(*[c for c in records.columns if c not in ("houseId", "zip")], F.struct(first.alias("first"), part.alias("part")).alias("key"))
+    own = houses.select("house_id", "zip", "first", parts.alias("part")).select(F.col("house_id").alias("houseId"), "zip", F.struct("first", "part").alias("key"))
+    shared, own = (side.repartition(4 * RECIPE_PARTS, "key") for side in (shared, own))
+    return shared.join(own, "key").select(*records.columns)
+
+
 def replay_records(
     channels: DataFrame,
     clean: DataFrame,
@@ -43,10 +67,19 @@ def replay_records(
 
     ``channels`` and ``clean`` are keyed by source house (as ``house_id``), ``labels`` by
     ``source_house``. ``scaled`` applies the scale of the house to its power.
+
+    Houses that replay the same differ in name and zip only, so records are packed once, for the first of
+    them, and handed to the others as they are: what is shuffled grows with the channels and with the houses, not with
+    their product. With ``scaled`` that holds for houses of one source and scale.
     """
     replayed = replicate_days(channels, clean, days=days, shift=shift).withColumnRenamed("house_id", "source_house")
     labelled = lookup_labels(replayed, labels, ("source_house", "meter_id"))
-    flat = labelled.join(houses, "source_house").withColumn(
+    recipes = _recipes(houses, scaled)
+    firsts = recipes.groupBy("recipe").agg(F.min(F.struct("house_id", "zip")).alias("first"))
+    packed_for = firsts.select("first.*", F.explode("recipe").alias("term")).select("house_id", "zip", "term.*")
+    copies = packed_for.withColumn("copy", F.explode(F.sequence(F.lit(1), "times")))
+    flat = labelled.join(copies, "source_house").withColumn(
         "power", F.col("power") * F.col("scale") if scaled else F.col("power")
     )
-    return pack_readings(flat.select("house_id", "ts", "zip", "label", "meter_id", "power"))
+    records = pack_readings(flat.select("house_id", "ts", "zip", "label", "meter_id", "power"))
+    return _to_houses(records, recipes.join(firsts, "recipe"))
