@@ -157,3 +157,12 @@ def test_a_second_reading_of_a_meter_fails_the_short_way(spark, readings_of):
     with pytest.raises(Exception, match="two readings in one step"):
         R.pack_readings(frame, one_per_meter=True).collect()
     assert R.pack_readings(frame).count() == 2
+
+
+def test_records_of_copies_are_built_by_many_tasks(readings_of):
+    """Copies are counted before the shuffle, so its few bytes must not merge the building of records into one task."""
+    few = readings_of(*[(house, "1", 100 * step, "mains", 5.0) for house in range(4) for step in range(10)])
+    packed = R.pack_readings(few.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(50)))).drop("copy"))
+    built = packed.groupBy(F.spark_partition_id().alias("task")).agg(F.count(F.lit(1)).alias("n")).collect()
+    assert sum(r.n for r in built) == 2_000
+    assert len(built) > 1 and max(r.n for r in built) < 1_000

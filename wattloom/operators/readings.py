@@ -150,10 +150,13 @@ def _numbered(stepped: DataFrame, unit: list[str]) -> DataFrame:
     from_no = F.greatest(F.col("last_no") - F.col("copies"), F.col("block") * F.lit(COPY_BLOCK)) + F.lit(1)
     to_no = F.least(F.col("last_no"), (F.col("block") + F.lit(1)) * F.lit(COPY_BLOCK))
     blocks = F.sequence(block_of(F.col("last_no") - F.col("copies") + F.lit(1)), block_of(F.col("last_no")))
+    # The shuffle has counts, so its size says little of the records to build. With a number of tasks of its
+    # own, adaptive execution does not merge the blocks into a few tasks.
+    tasks = int(stepped.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         counted.withColumn("last_no", last)
         .withColumn("block", F.explode(blocks))
-        .repartition(*unit, "block")
+        .repartition(tasks, *unit, "block")
         .withColumn("record_no", F.explode(F.sequence(from_no, to_no)))
     )
 
