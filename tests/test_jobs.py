@@ -181,6 +181,15 @@ def test_houses_of_one_source_share_their_records(spark):
         assert "Join" in above_packing
 
 
+def test_a_run_of_copies_is_written_by_many_tasks(spark, readings_of, tmp_path):
+    few = readings_of(*[(house, "1", START + 100 * step, "mains", 5.0) for house in range(4) for step in range(10)])
+    copied = few.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(50)))).drop("copy")
+    batch.take_in(pack_readings(copied), str(tmp_path), "one", None, None)
+    rows = spark.read.parquet(f"{tmp_path}/ingest/runs/one/rows/outcome=accepted")
+    files = [r.n for r in rows.groupBy("_metadata.file_path").agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert sum(files) == 2_000 and max(files) < 1_000
+
+
 def test_a_hot_meter_and_second_stay_exact(spark):
     """A third of all readings in one second of one meter: the collapse must carry the count."""
     cold = random_readings(spark)
