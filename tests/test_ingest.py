@@ -211,6 +211,14 @@ def test_routed_records_are_what_the_parts_are(spark):
     assert routed.where("outcome = 'rejected' AND original IS NULL").count() == 0
 
 
+def test_what_readings_share_is_worked_out_once_a_record(spark):
+    texts = spark.createDataFrame([(GOOD % (START, 5),)], "value string")
+    plan = route_records(parse_json(texts))._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and plan.count("from_unixtime") == 1
+    above, below = plan.split("Generate explode")
+    assert "from_unixtime" in below and "readings#" not in above
+
+
 def test_empty_input(spark, tmp_path):
     run_batch(parse_json(spark.createDataFrame([], "value string")), str(tmp_path))
     assert read_quarantine(spark, str(tmp_path)).count() == 0 and tables.read(spark, str(tmp_path), tables.METER_STATS).count() == 0

@@ -166,3 +166,13 @@ def test_records_of_copies_are_built_by_many_tasks(readings_of):
     built = packed.groupBy(F.spark_partition_id().alias("task")).agg(F.count(F.lit(1)).alias("n")).collect()
     assert sum(r.n for r in built) == 2_000
     assert len(built) > 1 and max(r.n for r in built) < 1_000
+
+
+def test_counting_shuffles_what_readings_have(spark, readings_of):
+    """Layer and step follow from meter and time, so they are in no row that is counted; a given layer is kept."""
+    few = readings_of((1, "1", TS, "mains", 5), (1, "3", TS + 1, "oven", 2))
+    plan = R.pack_readings(few, 60)._jdf.queryExecution().optimizedPlan().toString()
+    counted = plan.split("Aggregate [")[-1].split("]")[0]
+    assert "meter_id" in counted and "layer" not in counted and "step_start" not in counted
+    given = R.pack_readings(few.withColumn("layer", F.lit("other")), 60)
+    assert rows_of(given, "layer", "step_start", "record_no") == [("other", TS - TS % 60, 1)]

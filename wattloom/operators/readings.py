@@ -107,30 +107,41 @@ def route_records(records: DataFrame, date_format: str = DATE_FORMAT) -> DataFra
     records makes both, so a single write by outcome parses each text once.
     """
     flagged, ts = flag_records(records), parse_seconds(F.col("timestamp"))
-    fields = {"house_id": "bigint", "date": "string", "ts": "bigint", "zip": "string", "label": "string", "meter_id": "string", "power": "double"}
+    whole, usable = F.col("reject_reason").isNotNull(), F.col("reject_reason").isNull()
+    fields = {"house_id": F.col("houseId").cast("bigint"), "date": ts_to_date(ts, date_format), "ts": ts, "zip": F.col("zip").cast("string")}
     broken = F.to_json(F.struct(*[F.col(c) for c in records.columns]))
-    whole = F.struct(
-        *[F.lit(None).cast(kind).alias(name) for name, kind in fields.items()],
-        F.col("reject_reason").alias("reason"),
-        broken.alias("original"),
+    # What readings share is worked out once a record, below the explode, which then carries no array along. A
+    # rejected record has one piece, a null reading.
+    shared = flagged.select(
+        *[F.when(usable, value).alias(name) for name, value in fields.items()],
+        "reject_reason",
+        F.when(whole, broken).alias("broken"),
+        "readings",
+    )
+    each = F.when(whole, F.array(F.get("readings", F.lit(-1)))).otherwise(F.col("readings"))
+    pieces = shared.select(*fields, "reject_reason", "broken", F.explode(each).alias("reading"))
+    reading = F.col("reading")
+    parsed = pieces.select(
+        *fields,
+        reading["label"].cast("string").alias("label"),
+        reading["meterId"].cast("string").alias("meter_id"),
+        parse_power(reading["power"]).alias("power"),
+        reading["power"].alias("power_text"),
+        "reject_reason",
+        "broken",
+    )
+    reason = F.when(whole, F.col("reject_reason")).when(F.col("power").isNull(), "power").when(F.col("meter_id").try_cast("int").isNull(), "meter")
+    wrong = F.to_json(F.struct(*fields, "label", "meter_id", "power_text"))
+    routed = parsed.withColumn("reason", reason)
+    return routed.select(
+        *fields,
+        "label",
+        "meter_id",
+        "power",
+        "reason",
+        F.when(whole, F.col("broken")).when(F.col("reason").isNotNull(), wrong).alias("original"),
+        F.when(F.col("reason").isNull(), "accepted").otherwise("rejected").alias("outcome"),
     )
-    shared = {"house_id": F.col("houseId"), "date": ts_to_date(ts, date_format), "ts": ts, "zip": F.col("zip")}
-
-    def piece(reading: Column) -> Column:
-        power, channel = parse_power(reading["power"]), reading["meterId"].try_cast("int")
-        reason = F.when(power.isNull(), "power").when(channel.isNull(), "meter")
-        own = {"label": reading["label"], "meter_id": reading["meterId"]}
-        wrong = F.to_json(F.struct(*[v.alias(n) for n, v in (shared | own | {"power_text": reading["power"]}).items()]))
-        values = shared | own | {"power": power}
-        return F.struct(
-            *[values[n].cast(kind).alias(n) for n, kind in fields.items()],
-            reason.alias("reason"),
-            F.when(reason.isNotNull(), wrong).alias("original"),
-        )
-
-    pieces = F.when(F.col("reject_reason").isNotNull(), F.array(whole)).otherwise(F.transform("readings", piece))
-    outcome = F.when(F.col("reason").isNull(), "accepted").otherwise("rejected").alias("outcome")
-    return flagged.select(F.inline(pieces)).select("*", outcome)
 
 
 def rejected_input(records: DataFrame) -> DataFrame:
@@ -138,9 +149,15 @@ def rejected_input(records: DataFrame) -> DataFrame:
     return rejected_records(records).unionByName(rejected_readings(records), allowMissingColumns=True)
 
 
-def _numbered(stepped: DataFrame, unit: list[str]) -> DataFrame:
+def _stepped(readings: DataFrame, step: int) -> DataFrame:
+    return with_layer(readings).withColumn("step_start", bucket_floor(F.col("ts"), step))
+
+
+def _numbered(readings: DataFrame, step: int, unit: list[str]) -> DataFrame:
     """Readings with the number, from 1, of the record they go to, and the block it lies in."""
-    counted = stepped.groupBy(*unit, "meter_id", "ts", "label", "power").agg(F.count(F.lit(1)).alias("copies"))
+    # Layer and step follow from what is counted, so they are worked out after it and not shuffled.
+    own = [c for c in ("house_id", "zip", "layer", "meter_id", "ts", "label", "power") if c in readings.columns]
+    counted = _stepped(readings.groupBy(*own).agg(F.count(F.lit(1)).alias("copies")), step)
     in_order = Window.partitionBy(*unit, "meter_id").orderBy("ts", "label", "power")
     last = F.sum("copies").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
@@ -152,7 +169,7 @@ def _numbered(stepped: DataFrame, unit: list[str]) -> DataFrame:
     blocks = F.sequence(block_of(F.col("last_no") - F.col("copies") + F.lit(1)), block_of(F.col("last_no")))
     # The shuffle has counts, so its size says little of the records to build. With a number of tasks of its
     # own, adaptive execution does not merge the blocks into a few tasks.
-    tasks = int(stepped.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(readings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         counted.withColumn("last_no", last)
         .withColumn("block", F.explode(blocks))
@@ -173,12 +190,12 @@ def pack_readings(readings: DataFrame, step: int = 1, one_per_meter: bool = Fals
     task of its own. ``one_per_meter=True`` skips all that, for readings known to have one row per
     meter and step, and needs a single shuffle; a second reading fails the job.
     """
-    unit = ["house_id", "zip", "layer", "step_start"]
-    stepped = with_layer(readings).withColumn("step_start", bucket_floor(F.col("ts"), step))
+    # Sorts compare the first column by itself and the others row against row, so the one with most values leads.
+    unit = ["step_start", "house_id", "zip", "layer"]
     if one_per_meter:
-        numbered, record = stepped.withColumn("record_no", F.lit(1).cast("bigint")), unit
+        numbered, record = _stepped(readings, step).withColumn("record_no", F.lit(1).cast("bigint")), unit
     else:
-        numbered, record = _numbered(stepped, unit), [*unit, "block"]
+        numbered, record = _numbered(readings, step, unit), [*unit, "block"]
     entry = F.struct(F.col("meter_id").try_cast("int").alias("channel"), "meter_id", "power", "label", "ts")
     packed = numbered.groupBy(*record, "record_no").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
     timestamp = F.get("entries", F.lit(0))["ts"].cast("string")
