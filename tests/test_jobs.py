@@ -13,7 +13,7 @@ from wattloom.operators.readings import expand_readings, pack_readings, parse_js
 from wattloom.operators.replicate import replicate_days
 from wattloom.operators.share import appliance_share
 from wattloom.operators.stats import meter_p97
-from wattloom.plans import batch
+from wattloom.plans import batch, prep
 from wattloom.plans.batch import run_batch
 from wattloom.plans.oracles import all_oracles as oracle_sql
 from wattloom.plans.prep import clean_days_of, replay_records
@@ -181,6 +181,42 @@ def test_houses_of_one_source_share_their_records(spark):
         assert "Join" in above_packing
 
 
+def test_shared_records_expand_to_the_readings_of_every_house(spark, monkeypatch):
+    """Lists of houses, however long, give each house the readings of its own records; a null house gives none."""
+    monkeypatch.setattr(prep, "HOUSE_BLOCK", 3)
+    channels = spark.createDataFrame(
+        [(h, m, START + s, 8.0 + s) for h in (1, 2) for m in ("1", "3") for s in (0, 0, 600)] + [(1, "x", START, 4.0), (1, "1", START, None)],
+        "house_id bigint, meter_id string, ts bigint, power double",
+    )
+    clean = spark.createDataFrame([(1, START), (2, START)], "house_id bigint, day_start bigint")
+    labels = spark.createDataFrame([(1, "1", "mains"), (1, "3", "oven")], "source_house int, meter_id string, label string")
+    given = [(h, h % 3, f"{h % 4:05d}", 1.0) for h in range(70, 90)] + [(70, 1, "00002", 1.0), (71, 1, None, 1.0), (None, 1, "00001", 1.0), (None, 2, None, 1.0)]
+    houses = spark.createDataFrame(given, "house_id bigint, source_house int, zip string, scale double")
+    of_each, shared = (replay_records(channels, clean, labels, houses, days=2, shared=shared) for shared in (False, True))
+    assert shared.count() < of_each.count()
+    assert expand_readings(shared).schema.simpleString() == expand_readings(of_each).schema.simpleString()
+    rows = rows_of(expand_readings(shared))
+    assert rows == rows_of(expand_readings(of_each))
+    assert {r[0] for r in rows} == {h for h in range(70, 90) if h % 3} and {r[5] for r in rows} == {"1", "3"}
+    # Where neither side is broadcast, few bytes go to as many tasks: what comes of them is their product.
+    with_merge = spark.newSession()
+    with_merge.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    channels, clean, labels, houses = (with_merge.createDataFrame(f.collect(), f.schema) for f in (channels, clean, labels, houses))
+    merged = expand_readings(replay_records(channels, clean, labels, houses, days=2, shared=True))
+    assert rows_of(merged) == rows and merged._jdf.queryExecution().toRdd().getNumPartitions() == 4 * prep.RECIPE_PARTS
+
+
+def test_replay_reads_the_text_of_a_record_once_for_all_its_houses(spark, tmp_path):
+    """Above the place where houses come in, the registered query parses nothing: its rows are copies there."""
+    spark.sql("SELECT id AS event_id, timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, 0, 0, 0, id * 3600) AS ts, 1 + id % 2 AS user_id, "
+              "'view' AS event_type, 1.5D AS value, '' AS props FROM range(100)").write.parquet(str(tmp_path / "events.parquet"))
+    spark.sql("SELECT id AS s_suppkey, CAST(id % 25 AS int) AS s_nationkey FROM range(100)").write.parquet(str(tmp_path / "supplier.parquet"))
+    plan = queries()["replay_chain"](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    above_houses, found, below = plan.partition("Generate inline(")
+    assert found and "RLIKE" not in above_houses and "try_cast" not in above_houses
+    assert "RLIKE" in below.split("Join")[0]
+
+
 def test_a_run_of_copies_is_written_by_many_tasks(spark, readings_of, tmp_path):
     few = readings_of(*[(house, "1", START + 100 * step, "mains", 5.0) for house in range(4) for step in range(10)])
     copied = few.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(50)))).drop("copy")

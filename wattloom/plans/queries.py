@@ -522,7 +522,7 @@ def q_replay_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     files.write_clean_days(clean_days_of(channels, _anchor(), CHAIN_GAP), f"{work}/days")
     files.write_labels(readings.groupBy("house_id", "meter_id").agg(F.min("label").alias("label")), f"{work}/labels")
     clean, labels = files.read_clean_days(spark, f"{work}/days"), files.read_labels(spark, f"{work}/labels")
-    records = replay_records(channels, tables.stage(clean, "clean-days"), tables.stage(labels, "labels"), read_source_houses(spark, sf_dir), days=CHAIN_DAYS)
+    records = replay_records(channels, tables.stage(clean, "clean-days"), tables.stage(labels, "labels"), read_source_houses(spark, sf_dir), days=CHAIN_DAYS, shared=True)
     return expand_readings(records).select("house_id", "ts", "zip", "label", "meter_id", "power")
 
 

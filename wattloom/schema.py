@@ -10,6 +10,8 @@ READING_STRUCT = "struct<meterId:string,power:string,label:string>"
 COMPACT = f"timestamp string, houseId bigint, zip string, readings array<{READING_STRUCT}>"
 CORRUPT_COLUMN = "_corrupt_record"
 COMPACT_WITH_CORRUPT = f"{COMPACT}, {CORRUPT_COLUMN} string"
+# A record that several houses share has no house and zip of its own but a list of theirs.
+HOUSES_COLUMN = "_houses"
 
 READING_COLUMNS = ["house_id", "date", "ts", "zip", "label", "meter_id", "power"]
 
