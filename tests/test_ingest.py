@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows_of
-from wattloom.operators.energy import merge_segments, meter_day_energy, meter_day_segments, segment_energy
+from wattloom.operators import energy
+from wattloom.operators.energy import collapse_pays, merge_segments, meter_day_energy, meter_day_segments, segment_energy
 from wattloom.operators.readings import expand_readings, pack_readings, parse_json, rejected_readings, rejected_records, route_records
 from wattloom.operators.stats import meter_p97, power_sketches, sketched_p97
 from wattloom.plans import batch
@@ -80,6 +81,39 @@ def test_segments_of_a_split_in_time_need_no_readings(spark):
     assert rows_of(segment_energy(merged.drop("interleaved")), *columns) == rows_of(meter_day_energy(readings), *columns)
 
 
+def test_readings_read_again_are_collapsed_only_where_that_pays(spark, tmp_path, monkeypatch):
+    """Rows that come twice, null labels and zips, and one meter-day of copies: the tables are those of collapsing all."""
+    schema = "house_id bigint, meter_id string, ts bigint, label string, power double, zip string"
+    odd = [(7, "3", START + k * 7, None if k % 3 else "tv", 2.0 + k, None if k % 2 else "z9") for k in range(20)]
+    hot = [(8, "1", START + k % 4, "mains", k / 4, "z1") for k in range(200)]
+    more = spark.createDataFrame([*odd, *odd, *hot], schema).withColumn("date", F.from_unixtime("ts", "yyyy-MM-dd"))
+    readings, seen = make_readings(spark).unionByName(more), []
+
+    def spy(rows, collapse=None):
+        if collapse is not None:
+            seen.append((collapse, {r.house_id for r in rows.select("house_id").distinct().collect()}))
+        return meter_day_segments(rows, collapse is not False)
+
+    monkeypatch.setattr(batch, "meter_day_segments", spy)
+    found = {}
+    for most in (energy.DAY_ROWS, 0):
+        monkeypatch.setattr(energy, "DAY_ROWS", most)
+        for k, condition in enumerate(SPLITS["interleaved"][:2]):
+            run_batch(pack_readings(readings.where(condition)), f"{tmp_path}/{most}", part=str(k))
+        found[most] = served(spark, f"{tmp_path}/{most}")
+    assert found[energy.DAY_ROWS] == found.pop(90_000)
+    plain, collapsed, every = seen
+    assert plain[0] is False and plain[1] >= {0, 1} and 8 not in plain[1]
+    assert collapsed[0] is True and 8 in collapsed[1]
+    assert every[0] is True and every[1] >= {0, 1, 8}
+
+
+def test_segments_say_whether_the_collapse_pays(spark):
+    rows = [("few", 5, 5), ("ties", 6, 3), ("many", 90_001, 90_001), ("of an older run", 5, None)]
+    segments = spark.createDataFrame(rows, "name string, n_readings bigint, n_rows bigint")
+    assert rows_of(segments.where(~collapse_pays()), "name") == [("few",)]
+
+
 def test_an_ended_second_that_goes_on_is_interleaved(spark, readings_of):
     one, two = readings_of((1, "3", START, "a", 1), (1, "3", START + 5, "b", 2)), readings_of((1, "3", START + 5, "a", 9), (1, "3", START + 9, "a", 1))
     merged = merge_segments(meter_day_segments(one).unionByName(meter_day_segments(two)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattloom.functions.units import joules_to_kwh
@@ -14,6 +14,9 @@ LABEL_DAY = ["house_id", "label", "zip", "date"]
 # Fixed value: label of a meter-day that has too few readings to hold any energy.
 NO_LABEL = "NONE"
 
+# Fixed value: seconds of the longest day, so what the collapse leaves of a meter-day and label at most.
+DAY_ROWS = 90_000
+
 
 def collapse_ties(readings: DataFrame) -> DataFrame:
     """One row per meter-day, second and label, with the largest power and the number of readings.
@@ -32,7 +35,7 @@ def meter_day_segments(readings: DataFrame, collapse: bool = True) -> DataFrame:
 
     Readings are taken in (ts, label, power) order and each holds until the next one of the same
     day; the last adds nothing. Segments of one meter-day that follow each other in time add up to the
-    segment of all their readings, see :func:`merge_segments`.
+    segment of all their readings, see :func:`merge_segments`. ``n_rows`` counts what the collapse left of the readings.
 
     After the collapse a window partition has at most one row per second of the day and label
     (90,000 on the longest day), whatever the input holds. ``collapse=False`` gives the same result
@@ -54,10 +57,21 @@ def meter_day_segments(readings: DataFrame, collapse: bool = True) -> DataFrame:
             F.max(F.when(F.col("next_ts").isNull(), F.col("power"))).alias("last_power"),
             F.coalesce(F.sum((F.col("next_ts") - F.col("ts")) * F.col("power")), F.lit(0.0)).alias("joules"),
             F.sum("n_readings").alias("n_readings"),
+            F.count(F.lit(1)).alias("n_rows"),
         )
     )
 
 
+def collapse_pays() -> Column:
+    """Of a segment: whether its readings, read again, should be collapsed before they are put in order.
+
+    That saves a shuffle of all of them where it leaves half or less, and it keeps a meter-day of any number of readings
+    to ``DAY_ROWS``. Else it only adds a shuffle. Segments that don't say what it left are collapsed.
+    """
+    few = (F.col("n_readings") <= DAY_ROWS) & (F.col("n_readings") < 2 * F.col("n_rows"))
+    return ~F.coalesce(few, F.lit(False))
+
+
 def segment_energy(segments: DataFrame) -> DataFrame:
     """Energy of whole meter-days, one segment each; a day with one reading gives label 'NONE' and 0 J."""
     single = F.col("n_readings") <= 1
@@ -99,6 +113,7 @@ def merge_segments(segments: DataFrame) -> DataFrame:
             F.max(F.when(F.col("latest"), F.col("last_power"))).alias("last_power"),
             F.sum(F.col("joules") + F.coalesce("bridge", F.lit(0.0))).alias("joules"),
             F.sum("n_readings").alias("n_readings"),
+            F.sum("n_rows").alias("n_rows"),
             F.coalesce(F.max("clash"), F.lit(False)).alias("interleaved"),
         )
     )

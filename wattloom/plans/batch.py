@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wattloom.operators.energy import (
     METER_DAY,
+    collapse_pays,
     geo_energy,
     label_day_energy,
     merge_segments,
@@ -73,18 +74,24 @@ def meter_days_of(spark: SparkSession, root: str, store: runs.Store, dates: list
     """Energy of the meter-days of some dates from the segments of all runs.
 
     Readings are read again only for meter-days in which those of several runs interleave, from runs that have
-    these dates.
+    these dates. The segments say which of these are so few and so seldom of one second that they need no collapse.
     """
     merge_segments(runs.read(spark, root, runs.SEGMENTS, store, dates)).write.parquet(f"{place}/merged")
     merged = spark.read.parquet(f"{place}/merged")
-    interleaved = merged.where("interleaved").select(*METER_DAY)
+    interleaved = merged.where("interleaved").select(*METER_DAY, collapse_pays().alias("collapse"))
     whole = merged.where("NOT interleaved").drop("interleaved")
-    mixed_dates = [r["date"] for r in interleaved.select("date").distinct().collect()]  # some of ``dates``
-    if mixed_dates:
-        readings = runs.read(spark, root, runs.READINGS, store, mixed_dates).drop("part")
-        anew = meter_day_segments(readings.join(interleaved, METER_DAY, "left_semi"))
-        anew.write.parquet(f"{place}/anew")
-        whole = whole.unionByName(spark.read.parquet(f"{place}/anew"))
+    mixed = interleaved.select("date", "collapse").distinct().collect()  # some of ``dates``, twice at most
+    for collapse in sorted({r["collapse"] for r in mixed}):
+        readings = runs.read(spark, root, runs.READINGS, store, [r["date"] for r in mixed if r["collapse"] == collapse]).drop("part")
+        of_these = interleaved.where(F.col("collapse") == collapse).select(*METER_DAY)
+        again = readings.join(of_these, METER_DAY, "left_semi")
+        if not collapse:
+            # Readings come in the order of their records and so shuffle to few bytes. With a number of tasks of its own,
+            # adaptive execution does not make fewer and larger tasks of these.
+            again = again.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *METER_DAY)
+        anew = meter_day_segments(again, collapse)
+        anew.write.parquet(f"{place}/anew-{collapse}")
+        whole = whole.unionByName(spark.read.parquet(f"{place}/anew-{collapse}"))
     return segment_energy(whole)
 
 

@@ -33,7 +33,7 @@ KINDS = {
     READINGS: ("house_id bigint, date string, ts bigint, zip string, label string, meter_id string, power double", None),
     REJECTS: ("reason string, original string", None),
     SEGMENTS: (
-        f"{_METER_DAY}, first_label string, first_ts bigint, last_ts bigint, last_power double, joules double, n_readings bigint",
+        f"{_METER_DAY}, first_label string, first_ts bigint, last_ts bigint, last_power double, joules double, n_readings bigint, n_rows bigint",
         "date",
     ),
     SKETCHES: ("house_id bigint, meter_id string, date string, sketch binary", None),
