@@ -171,6 +171,19 @@ def test_late_rows_go_to_the_side_table(spark, tmp_path):
     assert operators[-1]["numRowsTotal"] == 1
 
 
+def test_windows_with_state_leave_few_files(spark, tmp_path):
+    """State has a partition for each task, but a batch leaves no file for each of these."""
+    day = 86_400
+    batches = [[(h, k * 3 * day + d * day + 60 * m, 1) for h in range(4) for d in range(3) for m in range(10)] for k in range(2)]
+    batches[1] += [*batches[1][:5], (1, 0, 3)]  # some twice, and one that is days late
+    found, _ = feed_windows(spark, tmp_path, batches)
+    assert sum(watts or 0 for *_, watts, _ in found) == 245 and [r for r in found if r[3]] == [(1, 0, 1.0, 3.0)]
+    written = tables.read_log(spark, str(tmp_path / "out"), W.WINDOW_POWER)
+    files = [r.n for r in written.groupBy("run", "batch_id").agg(F.count_distinct("_metadata.file_path").alias("n")).collect()]
+    assert files == [1, 1]
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+
+
 def test_random_batches_lose_nothing(spark, tmp_path):
     rng = random.Random(8)
     batches = [[(rng.randrange(2), max(0, 300 * k + rng.randrange(-900, 200)), rng.randrange(1, 9)) for _ in range(40)] for k in range(5)]

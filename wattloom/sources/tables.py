@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattloom.schema import struct_of
-from wattloom.session import fresh_dir
+from wattloom.session import adaptive, fresh_dir
 from wattloom.sources.folders import Folders
 
 # Partitions of the meter statistics, which have no date to go by.
@@ -371,11 +371,12 @@ def append_batch(rows: DataFrame, root: str, table: Table, batch_id: int, run: s
     """Add the rows of one micro-batch as their own (run, batch_id, date) folders; one without rows leaves nothing.
 
     A batch that is run again replaces its own folders, so nothing is counted twice. The rebalance
-    keeps a small batch from leaving one small file per task and date.
+    keeps a small batch from leaving one small file per task and date; without adaptive execution it would do nothing.
     """
     place = f"{table_path(root, table)}_log/run={run}/batch_id={batch_id}"
     rows = table.with_partition(rows.select(*table.all_columns))
-    rows.hint("rebalance", table.partition).write.mode("overwrite").partitionBy(table.partition).parquet(place)
+    with adaptive(rows.sparkSession):
+        rows.hint("rebalance", table.partition).write.mode("overwrite").partitionBy(table.partition).parquet(place)
     folders = Folders(rows.sparkSession)
     if not any("=" in name for name in folders.names(place)):
         folders.remove(place)
