@@ -1,4 +1,5 @@
 import json
+import re
 
 import pytest
 
@@ -176,3 +177,34 @@ def test_counting_shuffles_what_readings_have(spark, readings_of):
     assert "meter_id" in counted and "layer" not in counted and "step_start" not in counted
     given = R.pack_readings(few.withColumn("layer", F.lit("other")), 60)
     assert rows_of(given, "layer", "step_start", "record_no") == [("other", TS - TS % 60, 1)]
+
+
+def test_no_shuffle_of_packing_has_layer_or_step(spark, readings_of):
+    few = readings_of((1, "1", TS, "mains", 5), (1, "3", TS + 1, "oven", 2))
+    plan = spark._jvm.PythonSQLUtils.explainString(R.pack_readings(few, 60)._jdf.queryExecution(), "formatted")
+    shuffled = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]\n", plan)
+    assert len(shuffled) == 3 and all("meter_id" in columns for columns in shuffled)
+    assert not any(name in columns for columns in shuffled for name in ("layer", "step_start"))
+
+
+@pytest.mark.parametrize("step", [1, 60])
+def test_null_and_repeated_readings_are_packed(spark, monkeypatch, step):
+    """Each null counts as a value of its own; blocks of two readings put the third into another task."""
+    monkeypatch.setattr(R, "COPY_BLOCK", 2)
+    base = TS - TS % 60
+    rows = [(1, base, "z", "a", "3", 5.0)] * 3 + [(None, base, "z", "a", "3", 5.0)] * 2 + [
+        (1, None, "z", "a", "3", 5.0), (1, base, None, "a", "3", 5.0), (1, base, "z", None, "3", 5.0), (1, base, "z", "a", None, 5.0), (1, base, "z", "a", "3", None),
+    ]
+    frame = spark.createDataFrame(rows, "house_id bigint, ts bigint, zip string, label string, meter_id string, power double")
+    packed = R.pack_readings(frame, step)
+    entries = F.to_json("readings", {"ignoreNullFields": "false"})
+    got = rows_of(packed, "houseId", "zip", "layer", "step_start", "record_no", entries)
+
+    def entry(label="a", meter="3", power="5.0"):
+        return json.dumps([{"meterId": meter, "power": power, "label": label}], separators=(",", ":"))
+
+    both = [(1, "z", "appliance", base, n, e) for n, e in enumerate([entry(label=None), entry(power=None), entry(), entry(), entry()], 1)]
+    first = both[0]
+    with_null_meter = json.dumps([json.loads(e)[0] for e in (entry(meter=None), first[-1])], separators=(",", ":"))
+    expected = [(*first[:-1], with_null_meter), *both[1:], *[(None, "z", "appliance", base, n, entry()) for n in (1, 2)], (1, None, "appliance", base, 1, entry()), (1, "z", "appliance", None, 1, entry())]
+    assert got == sorted(expected, key=lambda t: tuple((v is not None, v) for v in t))

@@ -172,9 +172,11 @@ def _stepped(readings: DataFrame, step: int) -> DataFrame:
 
 def _numbered(readings: DataFrame, step: int, unit: list[str]) -> DataFrame:
     """Readings with the number, from 1, of the record they go to, and the block it lies in."""
-    # Layer and step follow from what is counted, so they are worked out after it and not shuffled.
+    # Layer and step follow from what is counted, so they are worked out after each shuffle and are in none.
     own = [c for c in ("house_id", "zip", "layer", "meter_id", "ts", "label", "power") if c in readings.columns]
-    counted = _stepped(readings.groupBy(*own).agg(F.count(F.lit(1)).alias("copies")), step)
+    at = [bucket_floor(F.col("ts"), step), "house_id", "zip"]
+    layer = F.col("layer") if "layer" in own else layer_of(F.col("meter_id"))
+    counted = readings.groupBy(*own).agg(F.count(F.lit(1)).alias("copies")).repartition(*at, "meter_id")
     in_order = Window.partitionBy(*unit, "meter_id").orderBy("ts", "label", "power")
     last = F.sum("copies").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
@@ -187,12 +189,14 @@ def _numbered(readings: DataFrame, step: int, unit: list[str]) -> DataFrame:
     # The shuffle has counts, so its size says little of the records to build. With a number of tasks of its
     # own, adaptive execution does not merge the blocks into a few tasks.
     tasks = int(readings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (
-        counted.withColumn("last_no", last)
+    in_blocks = (
+        _stepped(counted, step)
+        .withColumn("last_no", last)
         .withColumn("block", F.explode(blocks))
-        .repartition(tasks, *unit, "block")
-        .withColumn("record_no", F.explode(F.sequence(from_no, to_no)))
+        .select(*own, "copies", "last_no", "block")
+        .repartition(tasks, *at, layer, "block")
     )
+    return _stepped(in_blocks, step).withColumn("record_no", F.explode(F.sequence(from_no, to_no)))
 
 
 def pack_readings(readings: DataFrame, step: int = 1, one_per_meter: bool = False) -> DataFrame:
